@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, sharding, telephony
+from . import bpe, sharding, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -16,6 +16,16 @@ def op2_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op8_token_files(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    manifest, folder = token_files.write_token_files(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_digests(manifest, folder)
+
+
 def op10_byte_shards(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
@@ -23,6 +33,8 @@ def op10_byte_shards(spark, sf_dir):
 QUERIES = {
     "op1_telephony_audio": op1_telephony_audio,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op5_token_counts": op5_token_counts,
+    "op8_token_files": op8_token_files,
     "op10_byte_shards": op10_byte_shards,
 }
 

@@ -37,14 +37,14 @@ def byte_offsets(sized: DataFrame, keys: list[str], size: str = "size") -> DataF
         part,
         F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"),
         F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__row_base"),
+        F.sum("__sum").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
     )
-    total = totals.agg(F.sum("__sum").alias("total"))
     ordered = Window.partitionBy(part).orderBy(*keys, tie)
     within = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return (
         ranged.withColumn("__within", F.coalesce(F.sum(size).over(within), F.lit(0)))
         .withColumn("__row", F.row_number().over(ordered) - 1)
-        .join(F.broadcast(bases.crossJoin(F.broadcast(total))), part)
+        .join(F.broadcast(bases), part)
         .withColumn("offset", F.col("__base") + F.col("__within"))
         .withColumn("row", (F.col("__row_base") + F.col("__row")).cast("long"))
         .drop(tie, part, "__base", "__row_base", "__within", "__row")
