@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, sharding, telephony, token_counts, token_files
+from . import bpe, language_id, mixing, sharding, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -20,12 +21,21 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op7_source_mix(spark, sf_dir):
+    mixed = mixing.calibrate(table(spark, sf_dir, "documents"))
+    return mixed.withColumns({"factor": F.round("factor", 9), "prob": F.round("prob", 9)})
+
+
 def op8_token_files(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     manifest, folder = token_files.write_token_files(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_files.read_digests(manifest, folder)
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_shards(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
@@ -34,8 +44,12 @@ QUERIES = {
     "op1_telephony_audio": op1_telephony_audio,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op5_token_counts": op5_token_counts,
+    "op7_source_mix": op7_source_mix,
     "op8_token_files": op8_token_files,
+    "op9_language_id": op9_language_id,
     "op10_byte_shards": op10_byte_shards,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_source_mix": mixing.calibrate_sql(),
+}
