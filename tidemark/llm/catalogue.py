@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, mixing, sharding, telephony, token_counts, token_files
+from . import bpe, language_id, mixing, sharding, substring_dedup, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -21,6 +21,11 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op6_substring_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return substring_dedup.deduplicate(documents).select("doc_id", "text", "removed_chunks", "removed_bytes")
+
+
 def op7_source_mix(spark, sf_dir):
     mixed = mixing.calibrate(table(spark, sf_dir, "documents"))
     return mixed.withColumns({"factor": F.round("factor", 9), "prob": F.round("prob", 9)})
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_telephony_audio": op1_telephony_audio,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
