@@ -16,11 +16,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .rows import map_texts
 from .unicode_classes import LETTERS, NUMBERS, SPACES
@@ -208,6 +211,28 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return map_texts(docs, run, "doc_id long, ids array<int>", rows=128)
 
 
+def encode_rows(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with n_tokens, ids array<int> and round_trips (decoding gives the text back), for every row and column.
+
+    A null text counts as an empty one; columns of ``docs`` that have one of the new names are replaced.
+    """
+    docs = docs.drop("n_tokens", "ids", "round_trips")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = codec(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                found = [encoder.encode(t).astype(np.int32) for t in texts]
+                same = [decoder.decode(f) == (t or "") for f, t in zip(found, texts, strict=True)]
+                columns = [*batch.columns, pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.array(same)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "n_tokens", "ids", "round_trips"])
+
+    new = T.StructType.fromDDL("n_tokens long, ids array<int>, round_trips boolean")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))
+
+
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give null."""
 
