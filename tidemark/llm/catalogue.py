@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, mixing, near_duplicates, sharding, substring_dedup, telephony, token_counts, token_files
+from . import additive_search, bpe, language_id, mixing, near_duplicates, sharding, substring_dedup, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -17,6 +17,10 @@ def op2_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_additive_search(spark, sf_dir):
+    return additive_search.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op4_jaccard_components(spark, sf_dir):
     return near_duplicates.near_duplicate_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -52,6 +56,7 @@ def op10_byte_shards(spark, sf_dir):
 QUERIES = {
     "op1_telephony_audio": op1_telephony_audio,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_additive_search": op3_additive_search,
     "op4_jaccard_components": op4_jaccard_components,
     "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
@@ -62,6 +67,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_additive_search": additive_search.exact_sql(),
     "op4_jaccard_components": near_duplicates.components_sql(3, 90),
     "op7_source_mix": mixing.calibrate_sql(),
 }
