@@ -12,6 +12,7 @@ A repeated or speculative task writes under a name of its own and moves the file
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,18 +26,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import new_path, stage
+from .bpe import byte_letters
+from .unicode_classes import LETTERS, NUMBERS, SPACES
 
-MEMO_CHUNKS = 500_000
+MEMO_RUNS, MEMO_PIECES = 400_000, 400_000
 
 #: Characters on which lower-casing one by one, composition and splitting at white space surely agree with the library.
 SURE = re.compile("[\\t-\\r -~\\xa1-\\u012f\\u0131-\\u024f]*")
+# The split pattern of the word vocabulary, and the same for ``re``.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
+
+
+class PieceMemo(dict):
+    """Ids of pieces that the split pattern yields, merged by the library's model."""
+
+    def __init__(self, library, dtype: np.dtype):
+        super().__init__()
+        self.model, self.dtype = library.model, dtype
+        self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMO_PIECES:
+            self.clear()
+        tokens = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.letters))
+        found = self[piece] = np.array([t.id for t in tokens], self.dtype).tobytes()
+        return found
 
 
 class WordEncoder(dict):
-    """Ids of whole texts; a bounded memo by lower-cased run of non-blanks serves the usual characters.
+    """Ids of whole texts; bounded memos by lower-cased run of non-blanks, and by piece, serve the usual characters.
 
-    The split pattern never joins characters across white space, so runs can be encoded on their own. Texts with
-    other characters, or with strings of added tokens, go to the library whole.
+    The split pattern never joins characters across white space, so runs can be encoded on their own. Texts with other
+    characters or with strings of added tokens, and all texts under a vocabulary that splits otherwise, go to the library
+    whole.
     """
 
     def __init__(self, path: str):
@@ -48,11 +71,15 @@ class WordEncoder(dict):
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.pieces = PieceMemo(self.library, self.dtype)
+        split = json.loads(self.library.to_str())["pre_tokenizer"] or {}
+        first = (split.get("pretokenizers") or [{}])[0]
+        self.usual = first.get("pattern") == {"Regex": SPLIT}
 
     def __missing__(self, run: str) -> bytes:
-        if len(self) >= MEMO_CHUNKS:
+        if len(self) >= MEMO_RUNS:
             self.clear()
-        found = self._whole(run)
+        found = b"".join(map(self.pieces.__getitem__, PIECE.findall(run)))
         if len(run) <= 64:
             self[run] = found
         return found
@@ -63,7 +90,7 @@ class WordEncoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if SURE.fullmatch(text) is None or any(t in text for t in self.added):
+        if not self.usual or SURE.fullmatch(text) is None or any(t in text for t in self.added):
             return self._whole(text)
         return b"".join(map(self.__getitem__, text.lower().split()))
 
