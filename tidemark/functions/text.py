@@ -72,22 +72,23 @@ def redact(text: Column | str, prefixes: tuple[str, ...] = SECRET_PREFIXES) -> C
     return F.regexp_replace(keyed, "(?i)\\b(Bearer\\s+)[A-Za-z0-9_\\-.]{4,}", f"$1{REDACTED}")
 
 
-#: Query parameters that carry credentials in signed addresses.
+# What marks the query of an address as carrying credentials, and what replaces that query.
 SIGNATURE_MARKERS = (
-    "signature", "sig", "token", "access_key", "accesskeyid", "expires", "x-amz-signature", "x-amz-credential",
-    "x-amz-security-token", "x-oss-signature", "x-oss-credential", "ossaccesskeyid", "security-token", "x-goog-signature",
-    "x-goog-credential", "awsaccesskeyid", "auth_key", "sign",
+    "Signature=", "signature=", "UCloudPublicKey", "OSSAccessKeyId", "X-Amz-Signature", "X-Amz-Credential", "SignedHeaders", "Credential=",
+    "AccessKeyId=", "AKID[A-Za-z0-9]{6,}", "q-sign-algorithm", "q-ak=", "q-signature", "security-token", "pre-signed", "presigned", "token=", "Token=",
 )
+SIGNED_URL = "__REDACTED_SIGNED_URL__"
 
 
 def signed_url_pattern() -> str:
-    return "(?i)(https?://[^\\s\"'<>?]+)\\?(?=[^\\s\"'<>]*\\b(?:" + "|".join(SIGNATURE_MARKERS) + ")=)[^\\s\"'<>]*"
+    inside = "[^\\s\"'\\\\,]"
+    return f"(https?://{inside}+?)\\?(?={inside}*(?:{'|'.join(SIGNATURE_MARKERS)})){inside}*"
 
 
 def redact_signed_urls(text: Column | str) -> Column:
-    """struct<text, n>: signed addresses lose their query; n counts them."""
+    """struct<text, n>: addresses whose query carries credentials lose it; n counts them."""
     return F.struct(
-        F.regexp_replace(col(text), signed_url_pattern(), "$1?" + REDACTED).alias("text"),
+        F.regexp_replace(col(text), signed_url_pattern(), f"$1?{SIGNED_URL}").alias("text"),
         F.regexp_count(col(text), F.lit(signed_url_pattern())).alias("n"),
     )
 
