@@ -174,3 +174,31 @@ def classify_path(path: Column | str) -> Column:
     kind = F.when(extension != "", F.try_element_at(kinds, extension)).otherwise(F.try_element_at(names, name))
     skip = name.isin(*EXCLUDED_NAMES) | (F.size(folders) > 0) | kind.isNull()
     return F.when(~skip, F.struct(kind.alias("kind"), F.try_element_at(langs, extension).alias("lang")))
+
+
+def redact_map(values: Column | str) -> Column:
+    """Headers and other maps of strings with redacted values."""
+    return F.transform_values(col(values), lambda _, v: redact(v))
+
+
+def redact_array(values: Column | str) -> Column:
+    return F.transform(col(values), lambda v: redact(v))
+
+
+def is_reasoning_model(group: Column | str, without: tuple[str, ...]) -> Column:
+    """Not one of the groups that never reason, with or without ``-fast``."""
+    return ~F.regexp_replace(col(group), "-fast$", "").isin(*without)
+
+
+def can_switch_off(group: Column | str, prefixes: tuple[str, ...]) -> Column:
+    """Not of a family that rejects switching its reasoning off."""
+    can = F.lit(True)
+    for p in prefixes:
+        can = can & ~col(group).startswith(p)
+    return can
+
+
+def with_default(key: Column | str, values: dict[str, str], default: str) -> Column:
+    """A setting by name, or the default."""
+    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair]) if values else F.create_map().cast("map<string,string>")
+    return F.coalesce(F.try_element_at(table, col(key)), F.lit(default))

@@ -168,3 +168,10 @@ def html_table(table: Column) -> Column:
     cells = lambda h, t: F.transform(F.regexp_extract_all(h, F.lit(f"(?s)<{t}(?: [^>]*)?>(.*?)</{t}>"), F.lit(1)), strip_tags)
     rows = F.transform(F.regexp_extract_all(body, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1)), lambda r: cells(r, "td"))
     return F.struct(cells(head, "th").alias("headers"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
+
+
+def parameters(html: Column | str, keys: tuple[str, ...]) -> Column:
+    """map of the request parameters that a page's examples show: the first value of each key."""
+    value = lambda k: F.trim(F.regexp_replace(F.trim(F.regexp_extract(col(html), f'"\\Q{k}\\E"\\s*:\\s*("?[^,}}\\n]+"?)', 1)), '^"+|"+$', ""))
+    entries = F.array(*[F.struct(F.lit(k).alias("k"), value(k).alias("v")) for k in keys])
+    return F.map_from_entries(F.filter(entries, lambda e: (e["v"] != "") & ~F.contains(e["v"], F.lit("og-cover"))))
