@@ -70,4 +70,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_additive_search": additive_search.exact_sql(),
     "op4_jaccard_components": near_duplicates.components_sql(3, 90),
     "op7_source_mix": mixing.calibrate_sql(),
+    "op10_byte_shards": sharding.shards_sql(40),
 }

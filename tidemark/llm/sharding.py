@@ -79,3 +79,16 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
         (F.col("row") - F.col("__first")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def shards_sql(shards: int = 40, docs: str = "documents") -> str:
+    """DuckDB SQL for the rows of :func:`shard_by_bytes`; the crc is folded byte by byte, so it is for small tables."""
+    step = "lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"""WITH t AS MATERIALIZED (SELECT list(list_reduce(range(8), {step}, i) ORDER BY i) AS tab FROM range(256) r(i)),
+h AS (SELECT doc_id, coalesce(strlen(text), 0) + {OVERHEAD} AS size, hex(encode(coalesce(text, ''))) AS h FROM {docs}),
+b AS (SELECT doc_id, size, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM h),
+c AS (SELECT doc_id, size, xor(list_reduce(b, lambda a, x: xor(a >> 8, tab[xor(a & 255, x) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM b, t),
+o AS (SELECT *, row_number() OVER w - 1 AS row, sum(size) OVER w - size AS before, sum(size) OVER () AS total FROM c
+  WINDOW w AS (ORDER BY doc_id NULLS FIRST, crc, size ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, least({shards - 1}, (2 * before + size) * {shards} // (2 * total))::INTEGER AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard, row - min(row) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard FROM s"""
