@@ -25,10 +25,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Whether shuffle files go as soon as the query that wrote them has ended, rather than with the driver's garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of what was written."""
+    """Write ``df`` to the shared folder and return a reader of what was written.
+
+    The written table replaces all that led to it, so its shuffle files are dropped at once.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
