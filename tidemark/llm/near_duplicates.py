@@ -37,7 +37,8 @@ from .rows import map_texts
 BLOCK = 2048
 FLUSH_ENTRIES = 1_500_000
 ENTRIES_A_BUCKET = 1_500_000
-SUBPARTS = 2
+#: Elements that a signature's subset should hold, so that few unrelated sets agree in it by being empty there.
+LEAST_ELEMENTS = 6
 
 ENTRY = np.dtype([("signature", "<u8"), ("node", "<i8")])
 
@@ -96,8 +97,8 @@ class Bands:
         return int(allowed_difference(2 * self.upper[band], self.percent))
 
     def width(self, band: int) -> int:
-        """Bits of the parity bitmap: a power of two, four for each difference allowed."""
-        return 1 << min(14, max(6, int(4 * self.differences(band) - 1).bit_length()))
+        """Bits of the parity bitmap: three for each difference allowed, in whole words of 64."""
+        return 64 * max(1, -(-3 * self.differences(band) // 64))
 
 
 @cache
@@ -105,6 +106,12 @@ def bands(percent: int) -> Bands:
     return Bands(percent)
 
 
+def subparts_for(percent: int) -> int:
+    """The fewest subparts n2, 2 to 6, with which the subsets of a set hold LEAST_ELEMENTS in the mean."""
+    a_part = (100 + percent) / (100 - percent)  # elements of a first-level part: twice the set over k
+    return next((n2 for n2 in range(2, 6) if a_part * (n2 - 1) / n2 >= LEAST_ELEMENTS), 6)
+
+
 @cache
 def subsets(n2: int, left_out: int) -> np.ndarray:
     """Rows of 0 and 1: the ways to take all but ``left_out`` of n2 parts."""
@@ -116,8 +123,8 @@ def subsets(n2: int, left_out: int) -> np.ndarray:
     return rows
 
 
-def signatures(elements: np.ndarray, band: int, percent: int, subparts: int = SUBPARTS) -> np.ndarray:
-    """PartEnum signatures of a sorted set in the instance of a band."""
+def signatures(elements: np.ndarray, band: int, percent: int, subparts: int) -> np.ndarray:
+    """PartEnum signatures of a sorted set in the instance of a band; the lowest bit is that of the band's number."""
     k = bands(percent).differences(band)
     n1, n2, left_out = (k // 2 + 1, subparts, 1) if k else (1, 1, 0)
     part = (elements >> np.uint64(32)) * np.uint64(n1 * n2) >> np.uint64(32)
@@ -127,12 +134,13 @@ def signatures(elements: np.ndarray, band: int, percent: int, subparts: int = SU
     taken = subsets(n2, left_out)
     projected = sums @ taken.T
     place = np.arange(projected.size, dtype=np.uint64) + np.uint64(band << 40)
-    return mix(projected.ravel() + mix(place))
+    return mix(projected.ravel() + mix(place)) & ~np.uint64(1) | np.uint64(band & 1)
 
 
 def bitmap(elements: np.ndarray, width: int) -> np.ndarray:
     """For each of ``width`` buckets, whether an odd number of elements fall there."""
-    return np.packbits(np.bincount((elements & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1)
+    bucket = (elements & np.uint64(0xFFFFFFFF)) * np.uint64(width) >> np.uint64(32)
+    return np.packbits(np.bincount(bucket.astype(np.int64), minlength=width).astype(np.uint8) & 1)
 
 
 class Forest:
@@ -162,8 +170,7 @@ def possible_partners(bits: np.ndarray, sizes: np.ndarray, i: int, percent: int)
 
 def candidate_forest(bits: list[np.ndarray], sizes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """A spanning forest of the members that may link."""
-    packed = np.stack(bits)
-    packed = packed.view(np.uint64) if packed.shape[1] % 8 == 0 else packed
+    packed = np.stack(bits).view(np.uint64)
     forest = Forest(len(bits))
     for i in range(len(bits) - 1):
         for j in possible_partners(packed, sizes, i, percent).tolist():
@@ -190,10 +197,10 @@ def link_forest(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int
 
 
 def _set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest, node, and the bitmaps of the set's own and the next band."""
+    """doc_id, n_shingles, digest, node, band, and the bitmaps of the set's own and the next band."""
 
     def run(ids, texts):
-        counts, digests, nodes, own, following = [], [], [], [], []
+        counts, digests, nodes, levels, own, following = [], [], [], [], [], []
         known = bands(percent)
         for text in texts:
             elements = shingle_set(text, n)
@@ -202,11 +209,12 @@ def _set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
             digests.append(digest)
             nodes.append(node_of(digest) if digest else None)
             band = known.band(len(elements)) if digest else 0
+            levels.append(band)
             own.append(bitmap(elements, known.width(band)).tobytes() if digest else None)
             following.append(bitmap(elements, known.width(band + 1)).tobytes() if digest else None)
-        return [ids, counts, digests, nodes, own, following]
+        return [ids, counts, digests, nodes, levels, own, following]
 
-    return map_texts(docs, run, "doc_id long, n_shingles long, digest binary, node long, own binary, following binary")
+    return map_texts(docs, run, "doc_id long, n_shingles long, digest binary, node long, band int, own binary, following binary")
 
 
 def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buckets: int, block: int) -> DataFrame:
@@ -243,43 +251,51 @@ def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buc
                     parts, held = [], 0
         yield from flush(parts)
 
+    def keys(members: np.ndarray, starts: np.ndarray, parity: np.ndarray) -> np.ndarray:
+        """A number for each run of members, made from them alone, whose lowest bit is that of the instance."""
+        sums = np.add.reduceat(mix(members.view(np.uint64)), starts)
+        return (mix(sums) & ~np.uint64(1) | parity & np.uint64(1)).view(np.int64)
+
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         found = np.unique(np.frombuffer(b"".join(pdf["entries"]), ENTRY))
-        signature = found["signature"]
+        signature, node = found["signature"], np.ascontiguousarray(found["node"])
         starts = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
         counts = np.diff(np.append(starts, len(found)))
-        keep = np.repeat((counts > 1) & (counts <= block), counts)
-        tasks, nodes = [signature[keep].view(np.int64)], [found["node"][keep]]
+        usual = (counts > 1) & (counts <= block)
+        keep = np.repeat(usual, counts)
+        own = np.cumsum(counts[usual]) - counts[usual]
+        tasks, nodes = [], [node[keep]]
+        if len(own):
+            tasks.append(np.repeat(keys(nodes[0], own, signature[starts[usual]]), counts[usual]))
         for at, count in zip(starts[counts > block].tolist(), counts[counts > block].tolist()):
-            members = np.array_split(found["node"][at : at + count], -(-count // (block // 2)))
+            members = np.array_split(node[at : at + count], -(-count // (block // 2)))
             for i, j in combinations(range(len(members)), 2):
                 pair = np.concatenate([members[i], members[j]])
-                key = mix(signature[at : at + 1] + mix(np.array([i << 32 | j], np.uint64)))
-                tasks.append(np.repeat(key, len(pair)).view(np.int64))
+                tasks.append(np.repeat(keys(pair, np.zeros(1, np.int64), signature[at : at + 1]), len(pair)))
                 nodes.append(pair)
-        return pd.DataFrame({"task": np.concatenate(tasks), "node": np.concatenate(nodes)})
+        return pd.DataFrame({"task": np.concatenate([np.empty(0, np.int64), *tasks]), "node": np.concatenate(nodes)})
 
     packed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(emit, "bucket int, entries binary")
-    return packed.groupBy("bucket").applyInPandas(gather, "task long, node long")
+    # Signatures with the same members make the same task, which is done once.
+    return packed.groupBy("bucket").applyInPandas(gather, "task long, node long").distinct()
 
 
 def _families(classes: DataFrame, shared: DataFrame, percent: int, tasks: int) -> DataFrame:
     """(node, component): classes joined to families by a forest of the pairs that may link in some signature."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        known, out = bands(percent), []
+        out = []
         for _, group in pdf.groupby("task"):
-            sizes = group["n_shingles"].to_numpy()
-            band = [known.band(s) for s in sizes]
-            top = max(band)
-            # Two bands meet in the instance of the higher one, which is the next one of the lower.
-            raw = [o if b == top else f for b, o, f in zip(band, group["own"], group["following"])]
-            bits = [np.frombuffer(r, np.uint8) for r in raw]
-            nodes = group["node"].tolist()
+            nodes, sizes = group["node"].tolist(), group["n_shingles"].to_numpy()
+            bits = [np.frombuffer(b, np.uint8) for b in group["bits"]]
             out.extend((nodes[i], nodes[j]) for i, j in candidate_forest(bits, sizes, percent))
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    members = shared.join(classes.select("node", "n_shingles", "own", "following").hint("shuffle_hash"), "node")
+    # A task is of its set's own instance where their lowest bits agree, else of the next one.
+    same = F.pmod("task", F.lit(2)) == F.col("band") % 2
+    members = shared.join(classes.select("node", "n_shingles", "band", "own", "following").hint("shuffle_hash"), "node").select(
+        "task", "node", "n_shingles", F.when(same, F.col("own")).otherwise(F.col("following")).alias("bits")
+    )
     edges = members.groupBy(F.pmod(F.xxhash64("task"), F.lit(tasks)).alias("share")).applyInPandas(run, "a long, b long")
     return connected_components(edges)
 
@@ -313,7 +329,7 @@ def _links(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int, per
 
 
 def near_duplicate_components(
-    docs: DataFrame, n: int = 5, percent: int = 80, subparts: int = SUBPARTS, block: int = BLOCK
+    docs: DataFrame, n: int = 5, percent: int = 80, subparts: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every document: the smallest doc_id that it reaches by links.
 
@@ -324,11 +340,12 @@ def near_duplicate_components(
     whole; other columns aren't read.
     """
     spark = docs.sparkSession
+    subparts = subparts or subparts_for(percent)
     docs = docs.select("doc_id", "text")
     sets = stage(_set_table(docs, n, percent), "sets")
     classes = stage(
         sets.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("digest", "node", "n_shingles")
+        .groupBy("digest", "node", "n_shingles", "band")
         .agg(F.min("doc_id").alias("rep"), F.min("own").alias("own"), F.min("following").alias("following")),
         "classes",
     )
@@ -336,7 +353,7 @@ def near_duplicate_components(
     entries = 2 * subparts * (total[0] * (100 - percent) // (100 + percent) + total[1])
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, -(-entries // ENTRIES_A_BUCKET))
-    shared = _shared_signatures(docs, n, percent, subparts, buckets, block)
+    shared = stage(_shared_signatures(docs, n, percent, subparts, buckets, block), "shared")
     families = stage(_families(classes, shared, percent, buckets), "families")
     links = _links(docs, classes, families, n, percent, buckets, block)
     found = connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias("__component"))
@@ -348,7 +365,7 @@ def near_duplicate_components(
     )
 
 
-def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, subparts: int = SUBPARTS) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, subparts: int | None = None) -> DataFrame:
     """Of each component the document with the smallest doc_id, one row of it; documents without an id all stay."""
     found = near_duplicate_components(docs, n, percent, subparts)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
