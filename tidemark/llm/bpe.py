@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from .rows import map_texts
 from .unicode_classes import LETTERS, NUMBERS, SPACES
 
-MEMO_PIECES = 700_000
-MEMO_PAIRS = 500_000
+MEMO_PIECES = 300_000
+MEMO_PAIRS = 200_000
 
 #: What splits text before merging, as the byte-level tokenizer's own pattern says it.
 PIECE = re.compile(

@@ -35,8 +35,8 @@ from .components import connected_components
 from .rows import map_texts
 
 BLOCK = 2048
-FLUSH_ENTRIES = 1_500_000
-ENTRIES_A_BUCKET = 1_500_000
+FLUSH_ENTRIES = 600_000
+ENTRIES_A_BUCKET = 800_000
 #: Elements that a signature's subset should hold, so that few unrelated sets agree in it by being empty there.
 LEAST_ELEMENTS = 6
 

@@ -25,8 +25,8 @@ from .rows import map_texts
 from .unicode_classes import SPACE_POINTS, points
 
 CHUNK = 64
-MAX_STATES = 250_000
-MEMO_PIECES = 500_000
+MAX_STATES = 150_000
+MEMO_PIECES = 300_000
 
 # States of the splitter: what is open after the last character.
 CLOSED, WORD, NUMBER, OTHER, BLANKS, LEAD, TAIL1, TAIL2 = range(8)
