@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rows import map_texts
@@ -19,8 +19,8 @@ from .unicode_classes import points
 
 DIMENSIONS = 512
 SEED = 20240229
-MEMO_TRIGRAMS = 40_000
-#: The sample that prototypes are learnt from: so many documents a language, and so many in all.
+MEMO_TRIGRAMS = 20_000
+#: The sample that prototypes are learnt from: so many documents a language in the mean, and so many in all at most.
 PER_LANGUAGE, IN_ALL = 1500, 30_000
 UNDETERMINED = "und"
 
@@ -115,19 +115,20 @@ def learn_prototypes(
 ) -> dict[str, np.ndarray]:
     """{language: unit prototype} from documents with a language that aren't held out.
 
-    The sample is bounded by its two parameters; a language's documents are taken in order of a hash of their ids. The
-    prototypes reach the driver: no more than ``in_all`` of ``dimensions`` numbers.
+    The sample is bounded: of each language the documents whose hash falls below a share that leaves ``per_language`` in
+    the mean (all where there are fewer), and ``in_all`` at most. The prototypes reach the driver: no more than ``in_all``
+    of ``dimensions`` numbers.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    labelled = labelled.select("doc_id", "lang").distinct()
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     sample = (
-        labelled.select("doc_id", "lang")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= per_language)
-        .orderBy("rank", "lang")
+        labelled.join(counts, "lang")
+        .where(draw * F.col("n") < per_language)
+        .orderBy(draw, "doc_id", "lang")
         .limit(in_all)
         .select("doc_id", F.col("lang").alias("of_lang"))
-        .distinct()
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
