@@ -26,7 +26,10 @@ MIN_PASSAGE = 100
 MIN_CHUNK, MAX_CHUNK = 12, 128
 #: Chances, of 65,536, that a chunk ends behind white space and behind any other character.
 AFTER_SPACE, AFTER_OTHER = 21845, 512
-FLUSH_BYTES = 24_000_000
+FLUSH_BYTES = 12_000_000
+BUCKET_BYTES = 24_000_000
+#: Rows that are held as Python objects at once, at most.
+SLICE = 512
 SEED = 7
 
 GEAR = np.random.Generator(np.random.PCG64(SEED)).integers(0, 1 << 16, 256, np.uint16)
@@ -107,9 +110,21 @@ def places(of: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """So many buckets that each gets the digests of BUCKET_BYTES of text, and the session's shuffle partitions at least."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+
+
 def repeated_places(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """(doc_id, crc, at): the passages, by the number of their first chunk, that have an earlier occurrence."""
-    n = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or bucket_count(docs)
 
     def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         found = np.concatenate(parts) if parts else np.empty(0, OCCURRENCE)
@@ -128,20 +143,19 @@ def repeated_places(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for batch in batches:
-            for doc_id, crc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = text.encode("utf-8")
-                ends, first, last = passages(data)
-                if not len(first):
-                    continue
-                part = np.empty(len(first), OCCURRENCE)
-                part["high"], part["low"] = digests(data, ends, first, last).T
-                part["doc"], part["crc"], part["at"] = doc_id, crc, first
-                parts.append(part)
-                held += len(data)
-                if held >= FLUSH_BYTES:
-                    yield from flush(parts)
-                    parts, held = [], 0
+        for doc_id, crc, text in (row for b in slices(batches) for row in zip(*(c.to_pylist() for c in b.columns), strict=True)):
+            data = text.encode("utf-8")
+            ends, first, last = passages(data)
+            if not len(first):
+                continue
+            part = np.empty(len(first), OCCURRENCE)
+            part["high"], part["low"] = digests(data, ends, first, last).T
+            part["doc"], part["crc"], part["at"] = doc_id, crc, first
+            parts.append(part)
+            held += len(data)
+            if held >= FLUSH_BYTES:
+                yield from flush(parts)
+                parts, held = [], 0
         yield from flush(parts)
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -185,7 +199,7 @@ def deduplicate(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     matched = keyed.join(lists.hint("shuffle_hash"), (F.col("doc_id") == F.col("__doc")) & (F.col("__crc") == F.col("__of")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             text_at, at_at = batch.schema.get_field_index("text"), batch.schema.get_field_index("__at")
             texts, chunks, sizes = batch.column(text_at).to_pylist(), [], []
             for i, at in enumerate(batch.column(at_at).to_pylist()):
