@@ -8,26 +8,26 @@ from ..operators import evaluation as op
 from ..operators import search
 from .fixtures import CHUNKS_SQL, COSINE_SQL, chunks, table
 
-GATE = 0.72
+GATE = 0.15
 
 
 def questions(spark, d):
-    """Every 25th chunk asks for the other chunks of its label, every other time only for those of its kind."""
+    """Every 25th chunk asks, with a vector between its own and its label's first, for these two; every other time only for its kind."""
     c = chunks(spark, d)
-    asked = c.where("id % 25 = 0")
-    targets = c.where("id % 25 <> 0").groupBy("label").agg(F.array_sort(F.collect_list("path")).alias("expect_paths"))
-    return asked.join(targets, "label").select(
-        F.col("id").cast("string").alias("id"), F.col("id").alias("qid"), F.col("embedding").alias("qvec"),
-        F.when(F.col("id") % 75 == 0, F.array().cast("array<string>")).otherwise(F.slice("expect_paths", 1, 40)).alias("expect_paths"),
-        F.array().cast("array<string>").alias("expect_symbols"), F.when(F.col("id") % 50 == 0, F.array("kind")).otherwise(F.array().cast("array<string>")).alias("expect_kinds"),
+    lead = c.groupBy("label").agg(F.min_by("embedding", "id").alias("lead"), F.min_by("path", "id").alias("lead_path"))
+    between = F.zip_with("embedding", "lead", lambda a, b: a.cast("double") + 1.5 * b.cast("double"))
+    none = F.array().cast("array<string>")
+    return c.where("id % 25 = 0").join(lead, "label").select(
+        F.col("id").cast("string").alias("id"), F.col("id").alias("qid"), between.alias("qvec"),
+        F.when(F.col("id") % 75 == 0, none).otherwise(F.array("path", "lead_path")).alias("expect_paths"),
+        none.alias("expect_symbols"), F.when(F.col("id") % 50 == 0, F.array("kind")).otherwise(none).alias("expect_kinds"),
         F.when(F.col("id") % 100 == 0, "external").otherwise("curated").alias("source"), (F.col("id") % 75 == 0).alias("should_refuse"),
-        F.lit(3).alias("targets"),
+        F.lit(2).alias("targets"),
     )
 
 
 def retrieved(spark, d):
-    q = questions(spark, d)
-    dense = search.dense_topk(chunks(spark, d).where("id % 25 <> 0"), q, 10)
+    dense = search.dense_topk(chunks(spark, d), questions(spark, d), 10)
     return search.distance_gate(dense, GATE).select(F.col("qid").cast("string").alias("id"), F.col("rank").alias("pos"), "path", "symbol", "kind")
 
 
@@ -66,15 +66,15 @@ QUERIES = {
 }
 
 _PER = f"""{CHUNKS_SQL},
-targets AS (SELECT label, list_sort(list(path))[1:40] AS paths FROM chunks WHERE id % 25 <> 0 GROUP BY label),
-q AS (SELECT id::VARCHAR AS id, id AS qid, embedding AS qvec, CASE WHEN id % 75 = 0 THEN [] ELSE paths END AS paths, CASE WHEN id % 50 = 0 THEN [kind] ELSE [] END AS kinds,
-  CASE WHEN id % 100 = 0 THEN 'external' ELSE 'curated' END AS source, id % 75 = 0 AS negative FROM chunks JOIN targets USING (label) WHERE id % 25 = 0),
+lead AS (SELECT label, arg_min(embedding, id) AS lead, arg_min(path, id) AS lead_path FROM chunks GROUP BY label),
+q AS (SELECT id::VARCHAR AS id, id AS qid, list_transform(range(1, len(embedding) + 1), lambda i: embedding[i] + 1.5 * lead[i]) AS qvec, CASE WHEN id % 75 = 0 THEN [] ELSE [path, lead_path] END AS paths,
+  CASE WHEN id % 50 = 0 THEN [kind] ELSE [] END AS kinds, CASE WHEN id % 100 = 0 THEN 'external' ELSE 'curated' END AS source, id % 75 = 0 AS negative FROM chunks JOIN lead USING (label) WHERE id % 25 = 0),
 dense AS (SELECT * FROM (SELECT qid, c.path, c.kind, {COSINE_SQL.format('c.embedding', 'qvec')} AS dist, row_number() OVER (PARTITION BY qid ORDER BY {COSINE_SQL.format('c.embedding', 'qvec')}, c.id) AS pos
-  FROM (SELECT * FROM chunks WHERE id % 25 <> 0) c, q) WHERE pos <= 10),
+  FROM chunks c, q) WHERE pos <= 10),
 gated AS (SELECT * FROM dense QUALIFY min(dist) OVER (PARTITION BY qid) <= {GATE}),
 m AS (SELECT gated.*, list_contains(paths, path) AND (len(kinds) = 0 OR list_contains(kinds, kind)) AS hit FROM gated JOIN q USING (qid)),
 sums AS (SELECT qid, min(CASE WHEN hit THEN pos END) AS rank, count(DISTINCT CASE WHEN hit THEN path END) AS covered FROM m GROUP BY qid),
-per AS (SELECT q.id, source, CASE WHEN len(kinds) = 1 THEN kinds[1] ELSE 'mixed' END AS kind_group, negative, sums.qid IS NULL AS refused, rank, 3::BIGINT AS targets, coalesce(covered, 0) AS covered
+per AS (SELECT q.id, source, CASE WHEN len(kinds) = 1 THEN kinds[1] ELSE 'mixed' END AS kind_group, negative, sums.qid IS NULL AS refused, rank, 2::BIGINT AS targets, coalesce(covered, 0) AS covered
   FROM q LEFT JOIN sums USING (qid))"""
 _RECALL = ", ".join(f"round(avg(CASE WHEN negative THEN refused ELSE coalesce(rank <= {k}, false) END::INT), 4) AS recall_{k}" for k in op.KS)
 _QUALITY = f"""count(*) AS n, {_RECALL}, round(coalesce(avg(CASE WHEN NOT negative THEN coalesce(1.0::DOUBLE / rank, 0) END), 0), 4) AS mrr,

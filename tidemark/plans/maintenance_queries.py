@@ -112,7 +112,7 @@ def log_kept_whole(spark, d):
 
 
 def migration_gaps(spark, d):
-    return op.version_gaps(table(spark, d, "nation").where("n_nationkey BETWEEN 1 AND 20 AND n_nationkey % 6 <> 0").select(F.col("n_nationkey").alias("version")))
+    return op.version_gaps(table(spark, d, "nation").select((F.col("n_nationkey") + 1 + F.floor(F.col("n_nationkey") / 6)).alias("version")))
 
 
 def secret_gate(spark, d):
@@ -162,8 +162,8 @@ ORACLE_SQL = {
 } | {
     "log_rotation": "SELECT event_id AS ordinal, event_type FROM events QUALIFY count(*) OVER () <= 1000 OR row_number() OVER (ORDER BY event_id DESC) <= 500",
     "log_kept_whole": "SELECT n_nationkey AS ordinal, n_name FROM nation",
-    "migration_gaps": """SELECT * FROM (SELECT n_nationkey AS version, lag(n_nationkey, 1, 0) OVER (ORDER BY n_nationkey) AS before FROM nation
-        WHERE n_nationkey BETWEEN 1 AND 20 AND n_nationkey % 6 <> 0) WHERE version <> before + 1""",
+    "migration_gaps": """SELECT * FROM (SELECT version, lag(version, 1, 0) OVER (ORDER BY version) AS before FROM
+        (SELECT n_nationkey::BIGINT + 1 + n_nationkey // 6 AS version FROM nation)) WHERE version <> before + 1""",
     "secret_gate": "SELECT doc_id, rule FROM documents, (VALUES "
     + ", ".join(f"('{n}', '{p}')" for n, p in op.SECRET_RULES.items())
     + ") r(rule, pattern) WHERE regexp_matches(text, pattern)",
