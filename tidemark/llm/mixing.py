@@ -66,37 +66,54 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def calibrate(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:") -> DataFrame:
-    """doc_id, source, lang, topic, tokens, factor, prob and kept of every document.
+def keys_of(text: Column) -> dict[str, Column]:
+    """The columns that a document is dealt to a cell by, and its weight."""
+    return {
+        "source": F.coalesce("source", F.lit(NONE)),
+        "lang": F.coalesce("lang", F.lit(NONE)),
+        "topic": layout_topic(text),
+        "tokens": token_weight(text),
+    }
 
-    A null source or language counts as the value ``(none)``, a null or empty text as topic ``(none)`` with one token.
-    Documents that share an id share the draw. Repeated rows are kept or left together; an empty table gives no rows;
-    a table's own column ``topic``, if it has one, isn't used, nor are other columns.
+
+def probabilities(keyed: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+    """The fitted cells: margins, factor (fitted over own weight) and prob (factor over the largest factor).
+
+    A small table in the shared folder: a row for each combination of values that occurs.
     """
     powers = powers or POWERS
-    text = F.col("text")
-    keyed = docs.select(
-        "doc_id",
-        F.coalesce("source", F.lit(NONE)).alias("source"),
-        F.coalesce("lang", F.lit(NONE)).alias("lang"),
-        layout_topic(text).alias("topic"),
-        token_weight(text).alias("tokens"),
-    )
-    keyed = stage(keyed, "keyed")
     cells = stage(keyed.groupBy(*MARGINS).agg(F.sum("tokens").alias("base")).coalesce(8), "cells")
     targets = {m: stage(own_targets(cells, m, powers[m]).coalesce(8), f"target-{m}") for m in MARGINS}
     factors = rake(cells, targets, sweeps).withColumn("factor", F.col("weight") / F.col("base"))
     top = factors.agg(F.max("factor").alias("__top"))  # one row
     probs = factors.join(F.broadcast(top)).select(*MARGINS, "factor", (F.col("factor") / F.col("__top")).alias("prob"))
-    return keyed.join(probs, list(MARGINS)).select(
+    return stage(probs.coalesce(8), "probabilities")
+
+
+def calibrate(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:") -> DataFrame:
+    """doc_id, source, lang, topic, tokens, factor, prob and kept of every document.
+
+    A null source or language counts as the value ``(none)``, a null or empty text as topic ``(none)`` with one token.
+    Documents that share an id share the draw. Repeated rows are kept or left together; an empty table gives no rows;
+    a table's own column ``topic``, if it has one, isn't used, nor are other columns.
+    """
+    keys = keys_of(F.col("text"))
+    keyed = stage(docs.select("doc_id", *[c.alias(k) for k, c in keys.items()]), "keyed")
+    return keyed.join(probabilities(keyed, powers, sweeps), list(MARGINS)).select(
         "doc_id", *MARGINS, "tokens", "factor", "prob", (uniform(F.col("doc_id"), seed) < F.col("prob")).alias("kept")
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the draw keeps, with the columns they came with."""
-    kept = calibrate(docs, **options).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+def mix(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:") -> DataFrame:
+    """The documents that the draw of :func:`calibrate` keeps, with the columns they came with.
+
+    The fitted cells are joined to the documents, which aren't shuffled while Spark can broadcast the cells.
+    """
+    keys = keys_of(F.col("text"))
+    probs = probabilities(docs.select(*[c.alias(k) for k, c in keys.items()]), powers, sweeps)
+    probs = probs.select(F.col("prob").alias("__prob"), *[F.col(m).alias(f"__{m}") for m in MARGINS])
+    matched = docs.withColumns({f"__own_{m}": keys[m] for m in MARGINS}).join(probs, [F.col(f"__own_{m}") == F.col(f"__{m}") for m in MARGINS])
+    return matched.where(uniform(F.col("doc_id"), seed) < F.col("__prob")).select(*docs.columns)
 
 
 def calibrate_sql(powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:", docs: str = "documents") -> str:
