@@ -143,6 +143,14 @@ def bitmap(elements: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(np.bincount(bucket.astype(np.int64), minlength=width).astype(np.uint8) & 1)
 
 
+def distinct_entries(found: np.ndarray) -> np.ndarray:
+    """Entries in order of signature and node, each once."""
+    found = found[np.lexsort((found["node"], found["signature"]))]
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (found["signature"][1:] != found["signature"][:-1]) | (found["node"][1:] != found["node"][:-1])
+    return found[fresh]
+
+
 class Forest:
     """Union-find over 0 .. n - 1."""
 
@@ -223,7 +231,7 @@ def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buc
     def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        found = np.unique(np.concatenate(parts))
+        found = distinct_entries(np.concatenate(parts))
         bucket = (found["signature"] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -257,7 +265,7 @@ def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buc
         return (mix(sums) & ~np.uint64(1) | parity & np.uint64(1)).view(np.int64)
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = np.unique(np.frombuffer(b"".join(pdf["entries"]), ENTRY))
+        found = distinct_entries(np.frombuffer(b"".join(pdf["entries"]), ENTRY))
         signature, node = found["signature"], np.ascontiguousarray(found["node"])
         starts = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
         counts = np.diff(np.append(starts, len(found)))
