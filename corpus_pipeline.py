@@ -21,14 +21,12 @@ LEAST_SCORE = 0.02
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter and a language: rejected are nulls, texts without letters, and scores below LEAST_SCORE.
 
-    A document without an id can't be joined to its prediction and stays. Repeated rows stay or go together.
+    A document without an id can't be joined to its prediction and stays. Repeated rows stay or go together. The rejected
+    ids are written first, so that Spark knows their size and needn't shuffle the texts when they are few.
     """
-    rejected = (
-        language_id.predict_languages(docs)
-        .where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SCORE))
-        .select(F.col("doc_id").alias("__rejected"))
-        .distinct()
-    )
+    predicted = language_id.predict_languages(docs)
+    rejected = predicted.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SCORE))
+    rejected = stage(rejected.select(F.col("doc_id").alias("__rejected")).distinct(), "rejected")
     return docs.join(rejected, F.col("doc_id") == F.col("__rejected"), "left_anti")
 
 
