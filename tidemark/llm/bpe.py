@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .rows import map_texts
 from .unicode_classes import LETTERS, NUMBERS, SPACES
 
-MEMO_PIECES = 300_000
+MEMO_PIECES = 500_000
 MEMO_PAIRS = 200_000
 
 #: What splits text before merging, as the byte-level tokenizer's own pattern says it.
@@ -218,8 +218,7 @@ def encode_rows(docs: DataFrame, path: str) -> DataFrame:
     """
     docs = docs.drop("n_tokens", "ids", "round_trips")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = codec(path)
+    def coded(encoder: Encoder, decoder: Decoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
@@ -229,6 +228,15 @@ def encode_rows(docs: DataFrame, path: str) -> DataFrame:
                 columns = [*batch.columns, pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.array(same)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "n_tokens", "ids", "round_trips"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = codec(path)
+        try:
+            yield from coded(encoder, decoder, batches)
+        finally:
+            # Workers outlive the task, and other operators' tasks follow in them.
+            encoder.clear()
+            encoder.pairs.clear()
+
     new = T.StructType.fromDDL("n_tokens long, ids array<int>, round_trips boolean")
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))
 

@@ -43,7 +43,7 @@ class TrigramSpace:
     def _clear(self) -> None:
         self.keys = np.empty(0, np.int64)  # sorted
         self.rows = np.empty(0, np.int64)
-        self.vectors = np.empty((1024, self.dimensions), np.float32)
+        self.vectors = np.empty((1024, self.dimensions), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         """The vector of a code point; 0 stands for a word's edge."""
@@ -78,7 +78,7 @@ class TrigramSpace:
             self.rows = np.concatenate([self.rows, np.arange(have, have + len(new))])[order]
             self.keys = merged[order]
             at = np.searchsorted(self.keys, keys)
-        return self.vectors[self.rows[at]]
+        return self.vectors[self.rows[at]].astype(np.float32)
 
     def text(self, text: str | None) -> np.ndarray | None:
         """The unit vector of a whole text; None without a letter."""
