@@ -44,8 +44,8 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents with token weights raked to the source, language and topic targets."""
-    return mixing.mix(docs)
+    """A sample of the documents with token weights raked to the source, language and topic targets, mixing.KEEP of the tokens at least."""
+    return mixing.mix(docs, keep=mixing.KEEP)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 from pyspark.sql import functions as F
@@ -55,6 +56,27 @@ def test_mix_keeps_whole_rows(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_one_rare_document_leaves_the_others(spark):
+    pick = random.Random(9)
+    rows = [(i, "word " * pick.randint(40, 400), pick.choice(["en", "en", "en", "de"]), pick.choice(["hot", "hot", "a", "b"])) for i in range(2000)]
+    rows += [(2000, "word " * 40, "en", "its own"), (2001, "", None, "a")]
+    kept = corpus_pipeline.mixing_stage(spark, docs(spark, rows), "").select("doc_id", "source", F.length("text").alias("n")).collect()
+    total = sum(len(r[1]) for r in rows)
+    share = sum(r.n for r in kept) / total
+    assert abs(share - mixing.KEEP) < 0.03 and {2000, 2001} <= {r.doc_id for r in kept}
+    size = {s: sum(len(r[1]) for r in rows if r[3] == s) for s in ("hot", "a", "b")}
+    pulls = sum(n ** mixing.POWERS["source"] for n in size.values())
+    for s, n in size.items():
+        got, want = sum(r.n for r in kept if r.source == s), n ** mixing.POWERS["source"] / pulls * mixing.KEEP * total
+        assert abs(got / want - 1) < 0.2, s
+
+
+def test_fill_sets_full_parts_aside(spark):
+    parts = spark.createDataFrame([(1.0, 10.0), (4.0, 2.0), (100.0, 2.0)], "size double, pull double")
+    for total, want in ((0.5, 0.5 / 14), (5.0, 1.0), (25.0, 10.0)):
+        assert abs(mixing.fill(parts, total) - want) < 1e-9
+
+
 def test_rake_leaves_values_without_a_target(spark):
     cells = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, base double")
     target = spark.createDataFrame([("a", 5.0)], "source string, target double")

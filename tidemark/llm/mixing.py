@@ -4,6 +4,10 @@ Documents are summed to cells (source, language, topic) of token weight. Each sw
 margin after the other; a margin is an aggregate with map-side combining, joined back by its value. A document's
 probability is its cell's scaling factor over the largest one, so probabilities stay below 1 and the kept tokens have the
 fitted margins in expectation. Sampling compares it with a hash of the document's id.
+
+The largest factor is the rarest value's, so that rule keeps 1 / (largest factor) of the tokens, however few that are. With a
+keep rate, where the rule would keep less, the targets are cut to what each value has, the cells are raked with no cell above
+its own weight, and the scale is the one at which the kept tokens are that share of all.
 """
 
 from __future__ import annotations
@@ -16,7 +20,9 @@ from ..staging import stage
 MARGINS = ("source", "lang", "topic")
 #: The target share of a value is its own share to this power, scaled to sum to 1; 1 leaves a margin as it is.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
-SWEEPS = 6
+SWEEPS, CAPPED_SWEEPS = 6, 3
+#: The share of the tokens that the pipeline keeps at least.
+KEEP = 0.2
 NONE = "(none)"
 
 
@@ -43,23 +49,54 @@ def own_targets(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return shares.join(F.broadcast(sums)).select(margin, (F.col("pull") * F.col("total") / F.col("pulls")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, capped: bool = False) -> DataFrame:
     """``cells`` (margins, base) with ``weight``: base fitted to the targets, the last margin exactly.
 
-    A value without a target keeps its weight. The cells are written to the shared folder after each sweep.
+    A value without a target keeps its weight. The cells are written to the shared folder after each sweep. ``capped`` starts
+    from the cells' own weight and holds it to their base; what a cell lacks goes to the others of its values in the later sweeps.
     """
-    fitted = cells.withColumn("weight", F.col("base"))
+    fitted = cells if capped else cells.withColumn("weight", F.col("base"))
     for _ in range(sweeps):
         for margin, target in targets.items():
             now = fitted.groupBy(margin).agg(F.sum("weight").alias("__now"))
             scale = now.join(target, margin, "left").select(
                 margin, F.coalesce(F.try_divide("target", "__now"), F.lit(1.0)).alias("__scale")
             )
-            fitted = fitted.join(scale, margin).withColumn("weight", F.col("weight") * F.col("__scale")).drop("__scale")
+            scaled = F.col("weight") * F.col("__scale")
+            fitted = fitted.join(scale, margin).withColumn("weight", F.least("base", scaled) if capped else scaled).drop("__scale")
         fitted = stage(fitted.coalesce(8), "raked")
     return fitted
 
 
+def fill(parts: DataFrame, total: float) -> float:
+    """The c for which the sum of min(size, c * pull) over ``parts`` (size, pull) is ``total``.
+
+    Parts that reach their size are set aside, and c is found anew for the others, until no more reach it.
+    """
+    c = 0.0
+    while True:
+        full = F.col("pull") * c >= F.col("size")
+        sums = parts.agg(F.sum(F.when(full, F.col("size")).otherwise(0.0)).alias("full"), F.sum(F.when(~full, F.col("pull"))).alias("pulls")).first()
+        if not sums.pulls or (total - sums.full) / sums.pulls <= c * (1 + 1e-9):
+            return c
+        c = (total - sums.full) / sums.pulls
+
+
+def kept_share(cells: DataFrame, powers: dict[str, float], keep: float, sweeps: int = CAPPED_SWEEPS) -> DataFrame:
+    """The cells (margins, base, factor) with the prob at which ``keep`` of the tokens stay in expectation, as near to the targets
+    as the cells allow. The sweeps start from the fitted factors, scaled so that the whole is right."""
+    budget, targets = keep * cells.agg(F.sum("base")).first()[0], {}
+    for m in MARGINS:
+        sizes = cells.groupBy(m).agg(F.sum("base").alias("size")).withColumn("pull", F.pow("size", F.lit(powers[m])))
+        sizes = stage(sizes.coalesce(8), f"sizes-{m}")
+        targets[m] = sizes.select(m, F.least("size", F.col("pull") * fill(sizes, budget)).alias("target"))
+    c = fill(cells.select(F.col("base").alias("size"), (F.col("factor") * F.col("base")).alias("pull")), budget)
+    started = cells.withColumn("weight", F.col("base") * F.least(F.lit(1.0), c * F.col("factor")))
+    fitted = rake(started, targets, sweeps, capped=True)
+    c = fill(fitted.select(F.col("base").alias("size"), F.col("weight").alias("pull")), budget)
+    return fitted.select(*MARGINS, F.least(F.lit(1.0), c * F.col("weight") / F.col("base")).alias("prob"))
+
+
 def uniform(key: Column, seed: str) -> Column:
     """A number in [0, 1) made from a key: the first 32 bits of an MD5."""
     digest = F.md5(F.encode(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit(NONE))), "UTF-8"))
@@ -76,18 +113,24 @@ def keys_of(text: Column) -> dict[str, Column]:
     }
 
 
-def probabilities(keyed: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+def probabilities(keyed: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, keep: float | None = None) -> DataFrame:
     """The fitted cells: margins, factor (fitted over own weight) and prob (factor over the largest factor).
 
-    A small table in the shared folder: a row for each combination of values that occurs.
+    A small table in the shared folder: a row for each combination of values that occurs. Where the largest factor would leave
+    less than ``keep`` of the tokens, prob is that of :func:`kept_share`.
     """
     powers = powers or POWERS
     cells = stage(keyed.groupBy(*MARGINS).agg(F.sum("tokens").alias("base")).coalesce(8), "cells")
     targets = {m: stage(own_targets(cells, m, powers[m]).coalesce(8), f"target-{m}") for m in MARGINS}
-    factors = rake(cells, targets, sweeps).withColumn("factor", F.col("weight") / F.col("base"))
+    factors = rake(cells, targets, sweeps).withColumn("factor", F.col("weight") / F.col("base")).drop("weight")
     top = factors.agg(F.max("factor").alias("__top"))  # one row
     probs = factors.join(F.broadcast(top)).select(*MARGINS, "factor", (F.col("factor") / F.col("__top")).alias("prob"))
-    return stage(probs.coalesce(8), "probabilities")
+    probs = stage(probs.coalesce(8), "probabilities")
+    largest = probs.agg(F.max("factor")).first()[0] if keep else None
+    if largest is None or 1 / largest >= keep:
+        return probs
+    raised = kept_share(cells.join(probs.drop("prob"), list(MARGINS)), powers, keep)
+    return stage(probs.drop("prob").join(raised, list(MARGINS)).coalesce(8), "probabilities")
 
 
 def calibrate(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:") -> DataFrame:
@@ -104,13 +147,14 @@ def calibrate(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: i
     )
 
 
-def mix(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:") -> DataFrame:
+def mix(docs: DataFrame, powers: dict[str, float] | None = None, sweeps: int = SWEEPS, seed: str = "mix:", keep: float | None = None) -> DataFrame:
     """The documents that the draw of :func:`calibrate` keeps, with the columns they came with.
 
+    With ``keep``, no fewer than that share of the tokens in expectation, whatever the rarest value is.
     The fitted cells are joined to the documents, which aren't shuffled while Spark can broadcast the cells.
     """
     keys = keys_of(F.col("text"))
-    probs = probabilities(docs.select(*[c.alias(k) for k, c in keys.items()]), powers, sweeps)
+    probs = probabilities(docs.select(*[c.alias(k) for k, c in keys.items()]), powers, sweeps, keep)
     probs = probs.select(F.col("prob").alias("__prob"), *[F.col(m).alias(f"__{m}") for m in MARGINS])
     matched = docs.withColumns({f"__own_{m}": keys[m] for m in MARGINS}).join(probs, [F.col(f"__own_{m}") == F.col(f"__{m}") for m in MARGINS])
     return matched.where(uniform(F.col("doc_id"), seed) < F.col("__prob")).select(*docs.columns)
