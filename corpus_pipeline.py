@@ -14,18 +14,21 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, language_id, mixing, near_duplicates, substring_dedup
 from tidemark.staging import stage
 
-#: Documents whose best cosine is lower have no language. Short clean texts reach 0.03 and more.
-LEAST_SCORE = 0.02
+#: Documents whose best cosine is lower have no language: LEAST_SCORE up to FEW trigrams, growing to LONG_SCORE at MANY.
+#: Gibberish has cosines up to about 0.15 at any length, clean texts of 200 characters 0.20 and more, short ones 0.03 and more.
+LEAST_SCORE, LONG_SCORE, FEW, MANY = 0.02, 0.15, 40, 100
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter and a language: rejected are nulls, texts without letters, and scores below LEAST_SCORE.
+    """Documents with a letter and a language: rejected are nulls, texts without letters, and scores below what their length asks for.
 
     A document without an id can't be joined to its prediction and stays. Repeated rows stay or go together. The rejected
     ids are written first, so that Spark knows their size and needn't shuffle the texts when they are few.
     """
-    predicted = language_id.predict_languages(docs)
-    rejected = predicted.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SCORE))
+    predicted = language_id.identify(docs, language_id.learn_prototypes(docs))
+    long = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("trigrams") - FEW) / (MANY - FEW)))
+    least = LEAST_SCORE + (LONG_SCORE - LEAST_SCORE) * long
+    rejected = predicted.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < least))
     rejected = stage(rejected.select(F.col("doc_id").alias("__rejected")).distinct(), "rejected")
     return docs.join(rejected, F.col("doc_id") == F.col("__rejected"), "left_anti")
 

@@ -68,3 +68,17 @@ def test_stages_keep_the_columns_and_an_empty_table(spark, tmp_path):
 def test_clean_documents_stay_in_the_language_stage(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert corpus_pipeline.language_stage(spark, docs, "").count() == docs.count()
+
+
+def test_gibberish_and_unlearnt_languages_go(spark):
+    pick = random.Random(7)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    make = lambda letters, n: "".join(pick.choice(letters) for _ in range(n))
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz    ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+                 "".join(map(chr, range(0x430, 0x450))) + "     ", "".join(map(chr, range(0x4E00, 0x5E00)))]
+    junk = [make(a, n) for a in alphabets for n in (100, 200, 400, 1000) for _ in range(10)]
+    junk.append("Все люди рождаются свободными и равными в своём достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.")
+    planted = spark.createDataFrame([(10**6 + i, t, None, "a", len(t)) for i, t in enumerate(junk)], SCHEMA)
+    left = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs.unionByName(planted), "").select("doc_id").collect()}
+    assert len([i for i in left if i >= 10**6]) <= 0.1 * len(junk) and 10**6 + len(junk) - 1 not in left
+    assert len([i for i in left if i < 10**6]) == docs.count()

@@ -82,12 +82,16 @@ class TrigramSpace:
 
     def text(self, text: str | None) -> np.ndarray | None:
         """The unit vector of a whole text; None without a letter."""
+        return self.measure(text)[0]
+
+    def measure(self, text: str | None) -> tuple[np.ndarray | None, int]:
+        """The unit vector of a whole text, and its trigrams; None and 0 without a letter."""
         if not text:
-            return None
+            return None, 0
         chars = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
         letters = is_letter()[chars]
         if not letters.any():
-            return None
+            return None, 0
         # Runs of other characters count as one edge; an edge stands before and after the text.
         points = np.concatenate([[0], np.where(letters, chars, 0), [0]]).astype(np.int64)
         edge = points == 0
@@ -97,7 +101,7 @@ class TrigramSpace:
         for k in range(0, len(keys), 4096):
             total += counts[k : k + 4096].astype(np.float32) @ self.lookup(keys[k : k + 4096])
         norm = np.sqrt(total @ total)
-        return total / norm if norm > 0 else total
+        return (total / norm if norm > 0 else total), int(counts.sum())
 
 
 @cache
@@ -152,7 +156,7 @@ def learn_prototypes(
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
-    """doc_id, lang_pred, score (the cosine, 0 to 1) of every whole text.
+    """doc_id, lang_pred, score (the cosine, 0 to 1) and trigrams (how many there are) of every whole text.
 
     ``und`` with score 0 where the text is null or has no letter, and where no language is known. A tie goes to the
     language that is first by name. Rows are independent: repeated rows get equal values, an empty table gives none.
@@ -161,9 +165,10 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
     matrix = np.array([prototypes[n] for n in names])
 
     def run(ids, texts):
-        langs, scores = [], []
+        langs, scores, sizes = [], [], []
         for text in texts:
-            vector = space(dimensions, seed).text(text) if names else None
+            vector, size = space(dimensions, seed).measure(text) if names else (None, 0)
+            sizes.append(size)
             if vector is None:
                 langs.append(UNDETERMINED)
                 scores.append(0.0)
@@ -172,9 +177,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
             best = int(np.argmax(cosines))
             langs.append(names[best])
             scores.append(float(np.clip(cosines[best], 0, 1)))
-        return [ids, langs, scores]
+        return [ids, langs, scores, sizes]
 
-    return map_texts(docs, run, "doc_id long, lang_pred string, score double")
+    return map_texts(docs, run, "doc_id long, lang_pred string, score double, trigrams int")
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
