@@ -122,3 +122,10 @@ def test_held_out_accuracy(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.predict_languages(documents).where("held_out").join(documents.select("doc_id", "lang"), "doc_id")
     assert got.where("lang_pred = lang").count() >= 0.97 * got.count()
+
+
+def test_rare_languages_are_learnt_whatever_the_cap(spark):
+    rows = [(1000 * k + i, f"{'abcdefghijkl'[k]}oru mina tel " * 3, f"l{k:02}", "a") for k in range(12) for i in range(400 if k else 12)]
+    df = docs(spark, rows)
+    for in_all in (60, 24):
+        assert sorted(language_id.learn_prototypes(df, 30, in_all, 64)) == [f"l{k:02}" for k in range(12)]

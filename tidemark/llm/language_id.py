@@ -119,19 +119,21 @@ def learn_prototypes(
 ) -> dict[str, np.ndarray]:
     """{language: unit prototype} from documents with a language that aren't held out.
 
-    The sample is bounded: of each language the documents whose hash falls below a share that leaves ``per_language`` in
-    the mean (all where there are fewer), and ``in_all`` at most. The prototypes reach the driver: no more than ``in_all``
-    of ``dimensions`` numbers.
+    The sample is bounded language by language: of each the documents whose hash falls below a share that leaves
+    ``per_language`` in the mean (all where there are fewer), and the one with the smallest hash in any case. Where that
+    would be more than ``in_all``, ``per_language`` is lowered to an equal share of it for each, so no language is left out.
+    The prototypes reach the driver: ``dimensions`` numbers a language.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     labelled = labelled.select("doc_id", "lang").distinct()
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("first"))
+    sums = counts.agg(F.count(F.lit(1)).alias("languages"), F.sum(F.least("n", F.lit(per_language))).alias("wanted"))  # one row
+    each = F.when(F.col("wanted") > in_all, F.least(F.lit(per_language), in_all / F.col("languages"))).otherwise(per_language)
+    shares = counts.join(F.broadcast(sums)).select("lang", "n", "first", each.alias("each"))
     sample = (
-        labelled.join(counts, "lang")
-        .where(draw * F.col("n") < per_language)
-        .orderBy(draw, "doc_id", "lang")
-        .limit(in_all)
+        labelled.join(shares, "lang")
+        .where((draw * F.col("n") < F.col("each")) | (draw == F.col("first")))
         .select("doc_id", F.col("lang").alias("of_lang"))
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
