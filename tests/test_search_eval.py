@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluation, search, telemetry
+from tidemark.plans import evaluation_queries, search_queries
 
 
 def ranked(spark, rows, dist=False):
@@ -38,6 +39,15 @@ def test_queries_are_bounded(spark, monkeypatch):
     assert sum(b.count() for b in search.query_blocks(queries, 3)) == 5
 
 
+@pytest.mark.parametrize("name", ["flagship_hybrid_search", "dense_topk", "lexical_topk_bm25", "rrf_weighted", "recall_misses"])
+def test_queries_beyond_a_block(spark, sf_dir, monkeypatch, name):
+    query = {**search_queries.QUERIES, **evaluation_queries.QUERIES}[name]
+    want = sorted(map(str, query(spark, sf_dir).collect()))
+    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "query_blocks", lambda queries, _: [queries.where(F.col("qid").cast("long") % 100 == i) for i in (0, 25, 50, 75)])
+    assert sorted(map(str, query(spark, sf_dir).collect())) == want and want
+
+
 @pytest.mark.parametrize(("text", "hits"), [
     ("alpha", [0, 1]), ("alpha beta", [0]), ('"beta gamma"', [0]), ('"gamma beta"', []), ("beta OR delta", [0, 1, 2]), ("alpha -beta", [1]), ("-alpha", []), ("", []),
     ('alpha OR "x y" -delta', [0]),

@@ -1,18 +1,21 @@
 """Hybrid search: dense and lexical top-k lists, weighted reciprocal-rank fusion, distance gate, deterministic order.
 
 All operators take many queries at once: a query frame has ``qid``, ``qvec`` and ``terms`` or ``q``. It is sent to every
-task, so its size is checked first; larger sets go in blocks of ``QUERY_BLOCK``.
+task, so its size is checked first; ``in_blocks`` and ``search`` send larger sets in blocks of ``QUERY_BLOCK``.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..staging import stage
 
 DEPTH, FINAL_K, RRF_K = 50, 8, 60
 STEMMED_WEIGHT = 0.0
@@ -53,6 +56,14 @@ def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> list[DataFrame
     return [queries.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == i) for i in range(n)]
 
 
+def in_blocks(find: Callable[[DataFrame], DataFrame], queries: DataFrame) -> DataFrame:
+    """What ``find`` gives for any number of queries. Of more than one block, each block's rows are written before the next."""
+    if queries.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK:
+        return find(queries)
+    blocks = query_blocks(stage(queries, "queries"), QUERY_BLOCK)
+    return reduce(DataFrame.unionByName, [stage(find(block), "found") for block in blocks])
+
+
 def top(lists: DataFrame, n: int, *order: Column) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(*order, "id"))
     return lists.withColumn("rank", rank).where(F.col("rank") <= n)
@@ -198,7 +209,10 @@ def final_order(fused: DataFrame, k: int = FINAL_K) -> DataFrame:
 def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int = DEPTH, rrf_k: int = RRF_K, gate: float | None = None,
            weights: tuple[float, float] = (1.0, 1.0), stemmed: DataFrame | None = None, stemmed_weight: float = STEMMED_WEIGHT) -> DataFrame:
     """Hybrid search of many queries (qid, qvec, terms). The stemmed list is joined in only where its weight isn't 0."""
-    lists = [dense_topk(chunks, queries, depth).select("qid", "id", "rank", "dist"), lexical_topk(chunks, queries, depth).select("qid", "id", "rank")]
+    lists = [
+        in_blocks(lambda block: dense_topk(chunks, block, depth).select("qid", "id", "rank", "dist"), queries),
+        in_blocks(lambda block: lexical_topk(chunks, block, depth).select("qid", "id", "rank"), queries),
+    ]
     used = list(weights)
     if stemmed is not None and stemmed_weight:
         lists.append(stemmed)

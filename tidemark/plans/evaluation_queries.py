@@ -27,7 +27,9 @@ def questions(spark, d):
 
 
 def retrieved(spark, d):
-    dense = search.dense_topk(chunks(spark, d), questions(spark, d), 10)
+    c = chunks(spark, d)
+    shown = ["qid", "rank", "dist", "path", "symbol", "kind"]
+    dense = search.in_blocks(lambda block: search.dense_topk(c, block, 10).select(*shown), questions(spark, d))
     return search.distance_gate(dense, GATE).select(F.col("qid").cast("string").alias("id"), F.col("rank").alias("pos"), "path", "symbol", "kind")
 
 

@@ -25,7 +25,8 @@ def flagship_hybrid_search(spark, d):
 
 
 def dense_topk(spark, d):
-    return op.dense_topk(chunks(spark, d), search_queries(spark, d)).select("qid", "id", F.col("rank").cast("int").alias("rank"), "dist")
+    c, q = chunks(spark, d), search_queries(spark, d)
+    return op.in_blocks(lambda block: op.dense_topk(c, block).select("qid", "id", F.col("rank").cast("int").alias("rank"), "dist"), q)
 
 
 def dense_topk_single(spark, d):
@@ -34,7 +35,8 @@ def dense_topk_single(spark, d):
 
 
 def lexical_topk_bm25(spark, d):
-    return op.lexical_topk(chunks(spark, d), search_queries(spark, d)).select("qid", "id", F.col("rank").cast("int").alias("rank"), "bm25")
+    c, q = chunks(spark, d), search_queries(spark, d)
+    return op.in_blocks(lambda block: op.lexical_topk(c, block).select("qid", "id", F.col("rank").cast("int").alias("rank"), "bm25"), q)
 
 
 def websearch_match(spark, d):
@@ -45,8 +47,9 @@ def websearch_match(spark, d):
 
 def rrf_weighted(spark, d):
     c, q = chunks(spark, d), search_queries(spark, d)
-    dense, lexical = op.dense_topk(c, q), op.lexical_topk(c, q)
-    fused = op.reciprocal_rank_fusion([dense.select("qid", "id", "rank", "dist"), lexical.select("qid", "id", "rank")], [2.0, 1.0], 10)
+    dense = op.in_blocks(lambda block: op.dense_topk(c, block).select("qid", "id", "rank", "dist"), q)
+    lexical = op.in_blocks(lambda block: op.lexical_topk(c, block).select("qid", "id", "rank"), q)
+    fused = op.reciprocal_rank_fusion([dense, lexical], [2.0, 1.0], 10)
     return fused.withColumns({r: F.col(r).cast("int") for r in ("vec_rank", "lex_rank")})
 
 
