@@ -41,13 +41,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders that this process has staged and not deleted, oldest first.
+_staged: list[str] = []
+
+
+def mark() -> int:
+    """A point in time for :func:`release`."""
+    return len(_staged)
+
+
+def release(spark: SparkSession, since: int = 0, *keep: DataFrame) -> None:
+    """Delete the folders staged since a mark, apart from those that ``keep`` reads: those of an operator that has ended, or,
+    once its result is written, of a query."""
+    kept = [file for df in keep for file in df.inputFiles()]
+    for path in _staged[since:]:
+        name = path.rsplit("/", 1)[1]
+        if not any(f"/{name}/" in file for file in kept):
+            _delete(spark, path)
+            _staged.remove(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(*frames: DataFrame) -> None:
     """Delete the files behind staged frames that no plan needs any more."""
     for df in frames:
-        jvm = df.sparkSession._jvm
-        for file in df.inputFiles()[:1]:
-            path = jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()[:1]}:
+            _delete(df.sparkSession, folder)
+            _staged[:] = [path for path in _staged if path.rsplit("/", 1)[1] != folder.rsplit("/", 1)[1]]
