@@ -88,6 +88,48 @@ def test_keep_one(spark):
     assert nd.near_duplicate_components(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    pick = random.Random(3)
+    a, b, c = (" ".join(f"w{pick.randrange(500)}" for _ in range(40)) for _ in range(3))
+    rows = [(5, a), (5, b), (3, a + " more"), (7, c), (7, c), (8, c), (None, a), (9, None), (9, None)]
+    df = spark.createDataFrame([(*r, 1, "n", "c") for r in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in nd.keep_one(df, 3, 90).collect()), key=str)
+    assert kept == sorted([(3, a + " more"), (5, b), (7, c), (9, None), (None, a)], key=str)
+    got = {(r.doc_id, r.component_id) for r in nd.near_duplicate_components(df, 3, 90).collect()}
+    assert got == {(5, 3), (5, 5), (3, 3), (7, 7), (8, 7), (None, None), (9, 9)}
+
+
+def test_hubs_leave_no_link_out(spark, monkeypatch):
+    monkeypatch.setattr(nd, "HUBS", 2)
+    pick = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    chain = [" ".join(base[: 60 - i] + [f"x{j}" for j in range(i)]) for i in range(30)]
+    copies = [" ".join(w if pick.random() > 0.02 else f"y{i}" for w in base) for i in range(60)]
+    rows = [(i * 5 % 1009, t, 1, "n", "c") for i, t in enumerate(chain + copies)]
+    got = nd.near_duplicate_components(spark.createDataFrame(rows, SCHEMA), 2, 80, 2, 8).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_force(rows, 2, 80)
+
+
+def test_what_a_hot_family_lists_grows_in_proportion(spark, monkeypatch):
+    listed, write = {}, nd.stage
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "shared":
+            listed[len(listed)] = out.count()
+        return out
+
+    monkeypatch.setattr(nd, "stage", counted)
+    pick, sizes = random.Random(4), (4000, 20_000)
+    base = [f"w{pick.randrange(900)}" for _ in range(40)]
+    for size in sizes:
+        rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :]), 1, "n", "c") for i in range(size) for k in [i % 40]]
+        got = nd.near_duplicate_components(spark.createDataFrame(rows, SCHEMA).repartition(4), 2, 80, block=256)
+        assert got.where("component_id <> 0").count() == 0 and got.count() == size
+    small, large = listed[0] + listed[1], listed[2] + listed[3]
+    assert len(listed) == 4 and large <= 1.1 * small * sizes[1] / sizes[0]
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 50)] + [(7, 7), (900, 800), (800, 900), (None, 3)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -14,29 +14,35 @@ Sets that share signatures in groups of thousands aren't paired out:
 * within a family, sets are compared exactly, skipping pairs that are connected already; the verified links again form a
   spanning forest, and their components are the result.
 
-Signatures and families of many members are cut into blocks, and the blocks are compared two by two in tasks of their own.
+No signature's pairs are listed when it has more than ``block`` members. Those members are signed again, with another seed and
+more subparts; linked ones share a signature of the second round too. One that is large again makes one family of its members.
+In a family of more than ``block`` members every member is compared with a few hubs, again and again while that connects
+many; then the members outside the largest cluster, which the hubs left over, are compared with all. Both steps grow with the
+members, unless most of a family share signatures without being linked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import stage
-from .components import connected_components
+from ..staging import mark, release, stage
+from .components import connected_components, join_minima
 from .rows import map_texts
 
 BLOCK = 2048
 FLUSH_ENTRIES = 600_000
 ENTRIES_A_BUCKET = 800_000
+#: Members of a large family that all others are compared with in one round.
+HUBS = 64
 #: Elements that a signature's subset should hold, so that few unrelated sets agree in it by being empty there.
 LEAST_ELEMENTS = 6
 
@@ -123,8 +129,12 @@ def subsets(n2: int, left_out: int) -> np.ndarray:
     return rows
 
 
-def signatures(elements: np.ndarray, band: int, percent: int, subparts: int) -> np.ndarray:
-    """PartEnum signatures of a sorted set in the instance of a band; the lowest bit is that of the band's number."""
+def signatures(elements: np.ndarray, band: int, percent: int, subparts: int, seed: int = 0) -> np.ndarray:
+    """PartEnum signatures of a sorted set in the instance of a band; the lowest bit is that of the band's number.
+
+    Another ``seed`` partitions the features in another way."""
+    if seed:
+        elements = np.sort(mix(elements ^ mix(np.full(1, seed, np.uint64))))
     k = bands(percent).differences(band)
     n1, n2, left_out = (k // 2 + 1, subparts, 1) if k else (1, 1, 0)
     part = (elements >> np.uint64(32)) * np.uint64(n1 * n2) >> np.uint64(32)
@@ -152,23 +162,26 @@ def distinct_entries(found: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """Union-find over 0 .. n - 1."""
+    """Trees over 0 .. n - 1, each node labelled with its tree's smallest one."""
 
     def __init__(self, n: int):
-        self.parent = np.arange(n)
+        self.label = np.arange(n)
+        self.trees = n
 
     def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = int(self.parent[i])
-        return i
+        return int(self.label[i])
 
     def join(self, i: int, j: int) -> bool:
         a, b = self.root(i), self.root(j)
         if a != b:
-            self.parent[max(a, b)] = min(a, b)
+            self.label[self.label == max(a, b)] = min(a, b)
+            self.trees -= 1
         return a != b
 
+    def others(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Those of ``among`` that are in other trees than ``i``."""
+        return among[self.label[among] != self.label[i]]
+
 
 def possible_partners(bits: np.ndarray, sizes: np.ndarray, i: int, percent: int) -> np.ndarray:
     """Members after ``i`` whose bitmaps differ from its by no more than their sizes allow."""
@@ -181,20 +194,38 @@ def candidate_forest(bits: list[np.ndarray], sizes: np.ndarray, percent: int) ->
     packed = np.stack(bits).view(np.uint64)
     forest = Forest(len(bits))
     for i in range(len(bits) - 1):
-        for j in possible_partners(packed, sizes, i, percent).tolist():
-            if forest.join(i, j):
-                yield i, j
+        if forest.trees == 1:
+            return
+        apart = forest.others(i, possible_partners(packed, sizes, i, percent))
+        for j in apart[np.unique(forest.label[apart], return_index=True)[1]].tolist():
+            forest.join(i, j)
+            yield i, j
+
 
+def link_forest(
+    sets: list[np.ndarray], percent: int, probes: list[int] | None = None, joined: np.ndarray | None = None
+) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the members that do link: 100 * intersection >= percent * union.
 
-def link_forest(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the members that do link: 100 * intersection >= percent * union."""
+    With ``probes``, only pairs with one of them are compared; members of equal number in ``joined`` are connected beforehand.
+    """
     sizes = np.array([len(s) for s in sets])
     width = bands(percent).width(bands(percent).band(int(sizes.max())))
     packed = np.stack([bitmap(s, width) for s in sets]).view(np.uint64)
     forest = Forest(len(sets))
-    for i in range(len(sets) - 1):
-        for j in possible_partners(packed, sizes, i, percent).tolist():
-            if forest.root(i) == forest.root(j):
+    if joined is not None:
+        _, first, of = np.unique(joined, return_index=True, return_inverse=True)
+        forest.label, forest.trees = first[of], len(first)
+    for i in range(len(sets) - 1) if probes is None else probes:
+        if probes is None:
+            partners = possible_partners(packed, sizes, i, percent)
+        else:
+            apart = np.bitwise_count(packed ^ packed[i]).sum(axis=1)
+            partners = np.flatnonzero(apart <= allowed_difference(sizes + sizes[i], percent))
+        if forest.trees == 1:
+            return
+        for j in forest.others(i, partners).tolist():
+            if forest.label[i] == forest.label[j]:
                 continue
             small, large = sorted((sets[i], sets[j]), key=len)
             at = np.searchsorted(large, small)
@@ -205,7 +236,7 @@ def link_forest(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int
 
 
 def _set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest, node, band, and the bitmaps of the set's own and the next band."""
+    """key (doc_id, and a hash of the text), n_shingles, digest, node, band, and the bitmaps of the set's own and the next band."""
 
     def run(ids, texts):
         counts, digests, nodes, levels, own, following = [], [], [], [], [], []
@@ -222,11 +253,14 @@ def _set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
             following.append(bitmap(elements, known.width(band + 1)).tobytes() if digest else None)
         return [ids, counts, digests, nodes, levels, own, following]
 
-    return map_texts(docs, run, "doc_id long, n_shingles long, digest binary, node long, band int, own binary, following binary")
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_key")).alias("doc_id"), "text")
+    rows = "key struct<doc_id: long, text_key: long>, n_shingles long, digest binary, node long, band int, own binary, following binary"
+    return map_texts(keyed, run, rows).select("key.doc_id", "key.text_key", *[c.split()[0] for c in rows.split(", ")[2:]])
 
 
-def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buckets: int, block: int) -> DataFrame:
-    """(task, node): the members of each signature that several classes have; large ones are cut into block pairs."""
+def _shared_signatures(texts: DataFrame, n: int, percent: int, subparts: int, buckets: int, block: int, seed: int = 0) -> DataFrame:
+    """(task, node, hub): the members of each signature that several classes have; hub is null up to ``block`` members, beyond
+    that the smallest of them."""
 
     def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if not parts:
@@ -249,7 +283,7 @@ def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buc
                 if not len(elements):
                     continue
                 band = known.band(len(elements))
-                both = np.concatenate([signatures(elements, band + d, percent, subparts) for d in (0, 1)])
+                both = np.concatenate([signatures(elements, band + d, percent, subparts, seed) for d in (0, 1)])
                 part = np.empty(len(both), ENTRY)
                 part["signature"], part["node"] = both, node_of(set_digest(elements))
                 parts.append(part)
@@ -259,36 +293,50 @@ def _shared_signatures(docs: DataFrame, n: int, percent: int, subparts: int, buc
                     parts, held = [], 0
         yield from flush(parts)
 
-    def keys(members: np.ndarray, starts: np.ndarray, parity: np.ndarray) -> np.ndarray:
-        """A number for each run of members, made from them alone, whose lowest bit is that of the instance."""
-        sums = np.add.reduceat(mix(members.view(np.uint64)), starts)
-        return (mix(sums) & ~np.uint64(1) | parity & np.uint64(1)).view(np.int64)
-
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         found = distinct_entries(np.frombuffer(b"".join(pdf["entries"]), ENTRY))
         signature, node = found["signature"], np.ascontiguousarray(found["node"])
         starts = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
         counts = np.diff(np.append(starts, len(found)))
-        usual = (counts > 1) & (counts <= block)
-        keep = np.repeat(usual, counts)
-        own = np.cumsum(counts[usual]) - counts[usual]
-        tasks, nodes = [], [node[keep]]
-        if len(own):
-            tasks.append(np.repeat(keys(nodes[0], own, signature[starts[usual]]), counts[usual]))
-        for at, count in zip(starts[counts > block].tolist(), counts[counts > block].tolist()):
-            members = np.array_split(node[at : at + count], -(-count // (block // 2)))
-            for i, j in combinations(range(len(members)), 2):
-                pair = np.concatenate([members[i], members[j]])
-                tasks.append(np.repeat(keys(pair, np.zeros(1, np.int64), signature[at : at + 1]), len(pair)))
-                nodes.append(pair)
-        return pd.DataFrame({"task": np.concatenate([np.empty(0, np.int64), *tasks]), "node": np.concatenate(nodes)})
-
-    packed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(emit, "bucket int, entries binary")
-    # Signatures with the same members make the same task, which is done once.
-    return packed.groupBy("bucket").applyInPandas(gather, "task long, node long").distinct()
-
-
-def _families(classes: DataFrame, shared: DataFrame, percent: int, tasks: int) -> DataFrame:
+        keep, large = np.repeat(counts > 1, counts), np.repeat(counts > block, counts)
+        # A task is named after its members, so signatures with the same members make the same task; its lowest bit is the instance's.
+        names = mix(np.add.reduceat(mix(node.view(np.uint64)), starts))
+        names = (names & ~np.uint64(1) | signature[starts] & np.uint64(1)).view(np.int64)
+        hubs = pd.array(np.repeat(node[starts], counts), dtype="Int64")
+        hubs[~large] = pd.NA
+        return pd.DataFrame({"task": np.repeat(names, counts)[keep], "node": node[keep], "hub": hubs[keep]})
+
+    packed = texts.select("text").mapInArrow(emit, "bucket int, entries binary")
+    return packed.groupBy("bucket").applyInPandas(gather, "task long, node long, hub long").distinct()
+
+
+def _candidates(docs: DataFrame, classes: DataFrame, n: int, percent: int, subparts: int, entries: int, block: int) -> tuple[DataFrame, DataFrame | None]:
+    """((task, node) of signatures with a bounded number of members, (a, b) edges of those that are large in both rounds)."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def buckets(many: int) -> int:
+        return max(partitions, -(-many // ENTRIES_A_BUCKET))
+
+    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    shared = stage(_shared_signatures(texts, n, percent, subparts, buckets(entries), block), "shared")
+    large = stage(shared.where("hub IS NOT NULL").select("node").distinct().join(classes, "node").select("cid", "rep", "rep_text", "n_shingles"), "large")
+    total = large.agg(F.count(F.lit(1)), F.sum("n_shingles")).first()
+    usual = shared.where("hub IS NULL").select("task", "node")
+    if not total[0]:
+        return usual, None
+    finer = subparts + 2
+    entries = 2 * finer * (total[1] * (100 - percent) // (100 + percent) + total[0])
+    again = stage(_shared_signatures(_texts(docs, large), n, percent, finer, buckets(entries), block, seed=1), "shared")
+    return usual.union(again.where("hub IS NULL").select("task", "node")), again.where("hub IS NOT NULL AND hub <> node").selectExpr("node AS a", "hub AS b")
+
+
+def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` (rep, rep_text and others) with the text of their representatives."""
+    texts = docs.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("rep_text"), "text")
+    return texts.join(members.hint("shuffle_hash"), ["rep", "rep_text"])
+
+
+def _families(classes: DataFrame, shared: DataFrame, stars: DataFrame | None, percent: int, tasks: int) -> DataFrame:
     """(node, component): classes joined to families by a forest of the pairs that may link in some signature."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -305,35 +353,113 @@ def _families(classes: DataFrame, shared: DataFrame, percent: int, tasks: int) -
         "task", "node", "n_shingles", F.when(same, F.col("own")).otherwise(F.col("following")).alias("bits")
     )
     edges = members.groupBy(F.pmod(F.xxhash64("task"), F.lit(tasks)).alias("share")).applyInPandas(run, "a long, b long")
-    return connected_components(edges)
+    return connected_components(edges if stars is None else edges.union(stars))
 
 
-def _links(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int, percent: int, tasks: int, block: int) -> DataFrame:
-    """(a, b): a spanning forest of the links between the representatives of each family."""
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / F.lit(block // 2)).cast("int")
-    members = (
-        families.join(sizes, "component")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .join(classes.select("node", "rep"), "node")
-        .select("rep", "component", "blocks", "block")
-    )
-    texts = docs.select("doc_id", "text").join(members.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    keyed = texts.select("rep", "component", "blocks", "block", "text", other).where("blocks < 2 OR block <> other").select(
-        F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "rep", "text"
-    )
+def _verified(rows: DataFrame, n: int, percent: int, tasks: int) -> DataFrame:
+    """(a, b): for each task of ``rows`` (task, cid, cluster, probe, text) a forest of the links between its members, beyond what
+    their clusters connect; with probes, of the links with those."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, group in pdf.groupby("task"):
-            reps, texts = group["rep"].tolist(), group["text"].tolist()
-            if len(reps) > 1:
-                out.extend((reps[i], reps[j]) for i, j in link_forest([shingle_set(t, n) for t in texts], percent))
+            ids, probe = group["cid"].to_numpy(), np.flatnonzero(group["probe"].to_numpy())
+            if len(ids) > 1:
+                sets = [shingle_set(t, n) for t in group["text"]]
+                found = link_forest(sets, percent, probe.tolist() if len(probe) else None, group["cluster"].to_numpy())
+                out.extend((int(ids[i]), int(ids[j])) for i, j in found)
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return keyed.groupBy(F.pmod("task", F.lit(tasks)).alias("share")).applyInPandas(run, "a long, b long")
+    return rows.groupBy(F.pmod("task", F.lit(tasks)).alias("share")).applyInPandas(run, "a long, b long")
+
+
+def _links(docs: DataFrame, classes: DataFrame, families: DataFrame, n: int, percent: int, tasks: int, block: int) -> DataFrame:
+    """(a, b): links between the classes of each family that connect what any links connect."""
+    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    members = join_minima(families, sizes.withColumn("n", F.col("members")), "component", "members", "n", families.count()).join(classes.select("node", "cid", "rep", "rep_text"), "node")
+    members = stage(members.select("cid", "rep", "rep_text", F.col("component").alias("family"), "members"), "members")
+    lone = F.lit(False).alias("probe")
+    small = _texts(docs, members.where(F.col("members") <= block)).select(F.xxhash64("family").alias("task"), "cid", F.col("cid").alias("cluster"), lone, "text")
+    found = [stage(_verified(small, n, percent, tasks), "links")]
+    large = members.where(F.col("members") > block)
+    if not large.isEmpty():
+        found += _large_families(docs, large, n, percent, tasks, block)
+    return reduce(DataFrame.union, found)
+
+
+def _large_families(docs: DataFrame, members: DataFrame, n: int, percent: int, tasks: int, block: int) -> list[DataFrame]:
+    """Links of families (cid, rep, rep_text, family, members) too large for a task: hubs first, then what they left over."""
+    step = block // 2
+    chunks = F.ceil(F.col("members") / F.lit(step)).cast("int")
+    texts = stage(_texts(docs, members).select("cid", "family", "members", "text"), "large-families")
+    labels, left, found, turn = texts.select("cid", "family", F.col("cid").alias("cluster"), F.lit(True).alias("outside")), None, [], 0
+    while True:
+        turn += 1
+        labelled = texts.join(labels.select("cid", "cluster", "outside"), "cid")
+        chunk = F.pmod(F.xxhash64("cid"), chunks).cast("int")
+        own = labelled.select("family", chunk.alias("chunk"), "cid", "cluster", F.lit(False).alias("probe"), "text")
+        draw = F.row_number().over(Window.partitionBy("family").orderBy(F.xxhash64("cid", F.lit(turn)), "cid"))
+        hubs = labels.where("outside").select("cid", draw.alias("n")).where(F.col("n") <= HUBS).select("cid")
+        every = F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk")
+        hubs = labelled.join(hubs, "cid").select("family", every, "cid", "cluster", F.lit(True).alias("probe"), "text")
+        rows = own.union(hubs).select(F.xxhash64("family", "chunk").alias("task"), "cid", "cluster", "probe", "text")
+        found.append(stage(_verified(rows, n, percent, tasks), "links"))
+        clusters = connected_components(reduce(DataFrame.union, found)).select(F.col("node").alias("cid"), F.col("component").alias("__c"))
+        now = texts.select("cid", "family").join(clusters, "cid", "left").select("cid", "family", F.coalesce("__c", "cid").alias("cluster"))
+        now = stage(now, "clusters")
+        counted = now.groupBy("family", "cluster").agg(F.count(F.lit(1)).alias("n"))
+        largest = counted.groupBy("family").agg(F.max(F.struct("n", "cluster")).alias("top")).select("family", F.col("top.cluster").alias("main"))
+        labels = stage(now.join(largest, "family").select("cid", "family", "cluster", (F.col("cluster") != F.col("main")).alias("outside")), "labels")
+        before, left = left, labels.where("outside").count()
+        if not left:
+            return found
+        if left <= step or before is not None and 2 * left > before:
+            break
+    labelled = texts.join(labels.select("cid", "cluster", "outside"), "cid")
+    outside = labels.where("outside").groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(step)).cast("int").alias("parts"))
+    labelled = labelled.join(outside, "family")
+    part = F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("parts")).cast("int")
+    probes = labelled.where("outside").select("family", part.alias("part"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "cid", "cluster", F.lit(True).alias("probe"), "text")
+    all_parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    chunk = F.pmod(F.xxhash64("cid"), chunks).cast("int").alias("chunk")
+    own = labelled.select("family", all_parts, chunk, "cid", "cluster", F.lit(False).alias("probe"), "text")
+    rows = own.union(probes).select(F.xxhash64("family", "part", "chunk").alias("task"), "cid", "cluster", "probe", "text")
+    return [*found, stage(_verified(rows, n, percent, tasks), "links")]
+
+
+def _resolve(docs: DataFrame, n: int, percent: int, subparts: int | None, block: int) -> DataFrame:
+    """doc_id, text_key (a hash of the text), n_shingles, component (a number, null where nothing links), component_id of every
+    row, in the shared folder."""
+    subparts = subparts or subparts_for(percent)
+    docs, began = docs.select("doc_id", "text"), mark()
+    sets = stage(_set_table(docs, n, percent), "sets")
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    classes = (
+        sets.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy("digest", "node", "n_shingles", "band").agg(first, F.min("own").alias("own"), F.min("following").alias("following"))
+        .select("digest", "node", "n_shingles", "band", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_text"), "own", "following")
+    )
+    classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
+    entries = 2 * subparts * (total[0] * (100 - percent) // (100 + percent) + total[1])
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries // ENTRIES_A_BUCKET))
+    shared, stars = _candidates(docs, classes, n, percent, subparts, entries, block)
+    families = stage(_families(classes, shared, stars, percent, tasks), "families")
+    found = stage(connected_components(_links(docs, classes, families, n, percent, tasks, block)), "linked")
+    reps = found.join(classes.select(F.col("cid").alias("node"), "rep", "digest"), "node").select("digest", "component", "rep")
+    least = reps.groupBy("component").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n"))
+    of_class = join_minima(reps.select("digest", "component"), least, "component", "least", "n", found.count()).select("digest", "component", "least")
+    copies = classes.select("digest", F.col("cid").alias("own_cid"), "rep").join(of_class, "digest", "left").select(
+        "digest", F.coalesce("component", "own_cid").alias("component"), F.coalesce("least", "rep").alias("least")
+    )
+    has_id = F.col("doc_id").isNotNull()
+    result = sets.join(copies, "digest", "left").select(
+        "doc_id", "text_key", "n_shingles", F.when(has_id, F.col("component")).alias("component"),
+        F.when(has_id, F.coalesce("least", "doc_id")).alias("component_id"),
+    )
+    result = stage(result, "resolved")
+    release(docs.sparkSession, began, result)
+    return result
 
 
 def near_duplicate_components(
@@ -343,41 +469,26 @@ def near_duplicate_components(
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of n-word shingles. A text that is
     null or without words has an empty set and links with nothing; so does a document without an id, whose component is
-    null. Equal sets always link. Repeated rows get equal values. A doc_id is meant to be a key: rows with one id and
-    different texts are compared as rows, but their links count for the id. An empty table gives no rows; texts are read
-    whole; other columns aren't read.
+    null. Equal sets always link. Repeated rows get equal values. Rows with one id and different texts are documents of their
+    own, each with the links of its text. An empty table gives no rows; texts are read whole; other columns aren't read.
     """
-    spark = docs.sparkSession
-    subparts = subparts or subparts_for(percent)
-    docs = docs.select("doc_id", "text")
-    sets = stage(_set_table(docs, n, percent), "sets")
-    classes = stage(
-        sets.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("digest", "node", "n_shingles", "band")
-        .agg(F.min("doc_id").alias("rep"), F.min("own").alias("own"), F.min("following").alias("following")),
-        "classes",
-    )
-    total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
-    entries = 2 * subparts * (total[0] * (100 - percent) // (100 + percent) + total[1])
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, -(-entries // ENTRIES_A_BUCKET))
-    shared = stage(_shared_signatures(docs, n, percent, subparts, buckets, block), "shared")
-    families = stage(_families(classes, shared, percent, buckets), "families")
-    links = _links(docs, classes, families, n, percent, buckets, block)
-    found = connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias("__component"))
-    of_class = classes.select("digest", "rep").join(found, "rep", "left").select(
-        "digest", F.coalesce("__component", "rep").alias("__component")
-    )
-    return sets.join(of_class, "digest", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("__component", "doc_id")).alias("component_id")
-    )
+    return _resolve(docs, n, percent, subparts, block).select("doc_id", "n_shingles", "component_id")
 
 
-def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, subparts: int | None = None) -> DataFrame:
-    """Of each component the document with the smallest doc_id, one row of it; documents without an id all stay."""
-    found = near_duplicate_components(docs, n, percent, subparts)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    unique = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, subparts: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Of each component one row: that of the smallest doc_id (of several texts under it, the one with the smallest hash).
+
+    A row without links is a component; rows of one id whose texts aren't linked all stay, repeated rows stay once (if they
+    differ in other columns, the one whose columns have the smallest hash). Documents without an id all stay.
+    """
+    found = _resolve(docs, n, percent, subparts, block).where("doc_id IS NOT NULL")
+    alone = found.where("component IS NULL").select("doc_id", "text_key")
+    kept = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.*")
+    kept = stage(alone.union(kept).distinct().toDF("__kept", "__text"), "kept")
+    others = F.xxhash64(*[c for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__of"), others.alias("__others"))
+    left = keyed.join(kept, (F.col("__id") == F.col("__kept")) & (F.col("__of") == F.col("__text")), "left_semi")
+    unique = left.groupBy("__id", "__of").agg(F.min_by("row", "__others").alias("row")).select("row.*")
     return unique.unionByName(docs.where("doc_id IS NULL"))
 
 
