@@ -122,11 +122,14 @@ def learn_prototypes(
     The sample is bounded language by language: of each the documents whose hash falls below a share that leaves
     ``per_language`` in the mean (all where there are fewer), and the one with the smallest hash in any case. Where that
     would be more than ``in_all``, ``per_language`` is lowered to an equal share of it for each, so no language is left out.
+    A document is a doc_id, its own language and its text: a row teaches no language but its own, and repeated rows count once.
     The prototypes reach the driver: ``dimensions`` numbers a language.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
-    labelled = labelled.select("doc_id", "lang").distinct()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    key = ["doc_id", "lang", "__of"]
+    rows = docs.select("doc_id", "lang", F.xxhash64("text").alias("__of"), "text")
+    rows = rows.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
+    labelled = rows.select(*key).distinct()
+    draw = F.pmod(F.xxhash64("doc_id", "__of"), F.lit(1 << 40)) / float(1 << 40)
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("first"))
     sums = counts.agg(F.count(F.lit(1)).alias("languages"), F.sum(F.least("n", F.lit(per_language))).alias("wanted"))  # one row
     each = F.when(F.col("wanted") > in_all, F.least(F.lit(per_language), in_all / F.col("languages"))).otherwise(per_language)
@@ -134,9 +137,9 @@ def learn_prototypes(
     sample = (
         labelled.join(shares, "lang")
         .where((draw * F.col("n") < F.col("each")) | (draw == F.col("first")))
-        .select("doc_id", F.col("lang").alias("of_lang"))
+        .select(*key)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = rows.join(F.broadcast(sample), key).dropDuplicates(key)
 
     def run(langs, values):
         sums: dict[str, np.ndarray] = {}
@@ -146,7 +149,7 @@ def learn_prototypes(
                 sums[lang] = sums.get(lang, 0) + vector
         return [list(sums), [v.tolist() for v in sums.values()]]
 
-    partial = map_texts(texts.selectExpr("of_lang AS doc_id", "text"), run, "lang string, vector array<double>")
+    partial = map_texts(texts.selectExpr("lang AS doc_id", "text"), run, "lang string, vector array<double>")
     sums = (
         partial.select("lang", F.posexplode("vector").alias("at", "value"))
         .groupBy("lang", "at").agg(F.sum("value").alias("value"))
