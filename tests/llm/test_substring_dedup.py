@@ -83,5 +83,25 @@ def test_against_brute_force(spark):
     assert all(r.removed_bytes == 0 for r in got if r.doc_id is not None and r.doc_id < 120 and r.doc_id % 3)
 
 
+def test_short_copies_go_and_parts_of_texts_stay(spark):
+    pick = random.Random(5)
+    long = words(pick, 80)
+    rows = [(1, "a short line of fifty bytes, more or less, it is."), (2, "another line"), (3, "a short line of fifty bytes, more or less, it is."),
+            (4, "another line, longer"), (5, long + " another line"), (6, "another line"), (6, "another line"), (7, "é"), (8, "é"), (9, ""), (None, "é")]
+    got = sd.deduplicate(spark.createDataFrame([(*r, 1, "", "") for r in rows], SCHEMA).repartition(3), buckets=2).collect()
+    left = sorted(((r.doc_id, r.text) for r in got), key=str)
+    gone = {3, 6, 8}
+    assert left == sorted([(d, "" if d in gone else t) for d, t in rows], key=str)
+
+
+def test_repeats_in_a_script_without_blanks(spark):
+    pick = random.Random(6)
+    make = lambda n: "".join(chr(pick.randrange(0x4E00, 0x9000)) for _ in range(n))
+    shared = make(200)
+    rows = [(i, make(pick.randint(50, 400)) + shared + make(pick.randint(50, 400)), 1, "", "") for i in range(40)]
+    got = sd.deduplicate(spark.createDataFrame(rows, SCHEMA), buckets=2).collect()
+    assert sum(r.removed_bytes > 0.6 * 600 for r in got) == 39 and all(r.removed_bytes <= 600 for r in got)
+
+
 def test_empty(spark):
     assert sd.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
