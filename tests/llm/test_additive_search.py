@@ -47,6 +47,25 @@ def test_recall_against_brute_force(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_recall_and_equal_results_however_the_rows_are_dealt(spark):
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(50_000, 16)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist(), 0, "", "") for i, v in enumerate(data)], SCHEMA).cache()
+    queries = np.arange(0, len(data), 1000)
+    want = {}
+    for q in queries.tolist():
+        away = ((data.astype(float) - data[q].astype(float)) ** 2).sum(1)
+        away[q] = np.inf
+        want[q] = set(np.argsort(away, kind="stable")[:10].tolist())
+    found = []
+    for parts in (1, 8, 211):
+        got = ads.nearest(rows.repartition(parts), every=1000, k=10).collect()
+        found.append(sorted(map(tuple, got)))
+        assert sum(r.vec_id in want[r.query_id] for r in got) >= 0.9 * 10 * len(queries)
+    assert found[0] == found[1] == found[2]
+    rows.unpersist()
+
+
 def test_ties_go_to_smaller_ids_among_many_copies(spark):
     same, rng = [1.0, 2.0, 3.0], np.random.default_rng(2)
     rows = [(i, same, 0, "", "") for i in range(500)] + [(i, rng.normal(size=3).tolist(), 0, "", "") for i in range(500, 700)]

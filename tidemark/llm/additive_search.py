@@ -3,7 +3,11 @@
 A vector is approximated by a sum of codewords, one from each of ``BOOKS`` codebooks of full dimension. The codebooks are
 learnt by k-means on the residuals that the ones before leave, over a bounded sample; encoding keeps the ``BEAM`` best
 partial sums. With the stored squared norm of the sum, a query's distance to it takes one table of inner products with all
-codewords and a lookup a codebook. The best of those in each batch of rows are compared exactly with the original vectors.
+codewords and a lookup a codebook.
+
+The index is a table of slabs: ids, codes and norms of many rows as binary values. Blocks of queries are a table as well, and
+one pass scores every slab for every block. Each work item passes on a shortlist a query, the best of all of those are one
+shortlist a query, and only that is compared exactly with the original vectors, wherever its rows lay.
 """
 
 from __future__ import annotations
@@ -11,8 +15,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import stage
@@ -22,10 +27,10 @@ BOOKS, WORDS, BEAM = 18, 256, 4
 #: Vectors that the codebooks are learnt from, at most: those first in order of a hash of their ids.
 TRAINING = 8_000
 ROUNDS = 5
-#: Rows of each batch that are compared exactly with a query, at least; and one in so many of the batch.
-SHORTLIST, SHORTLIST_SHARE = 128, 50
-#: Queries that are sent to the executors at once, at most.
-QUERY_BLOCK = 2048
+#: Rows that are compared exactly with a query, or SHORTLIST_TIMES as many as are asked for, if that is more.
+SHORTLIST, SHORTLIST_TIMES = 128, 4
+#: Rows of a slab and queries of a block, at most.
+SLAB, QUERY_BLOCK = 32_768, 2048
 SEED = 11
 
 
@@ -56,8 +61,13 @@ def learn_codebooks(sample: np.ndarray, books: int = BOOKS, words: int = WORDS,
 
 
 def encode(vectors: np.ndarray, codebooks: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, squared norms of the sums): for each vector the best of the sums that a beam search reaches."""
-    n, (books, words, dims) = len(vectors), codebooks.shape
+    """(codes, squared norms of the sums): for each vector the best of the sums that a beam search reaches.
+
+    Rows are completed to whole groups of 64, so that the matrix products round a vector alike wherever it stands.
+    """
+    asked, (books, words, dims) = len(vectors), codebooks.shape
+    n = -(-asked // 64) * 64
+    vectors = np.concatenate([vectors, np.zeros((n - asked, dims), vectors.dtype)])
     left = vectors.astype(np.float32)[:, None, :]
     codes = np.zeros((n, 1, 0), np.uint8 if words <= 256 else np.uint16)
     rows = np.arange(n)[:, None]
@@ -74,7 +84,7 @@ def encode(vectors: np.ndarray, codebooks: np.ndarray, beam: int = BEAM) -> tupl
     sums = np.zeros((n, dims), np.float32)
     for m in range(books):
         sums += codebooks[m][best[:, m]]
-    return best, (sums * sums).sum(1)
+    return best[:asked], (sums * sums).sum(1)[:asked]
 
 
 def lookup_scores(queries: np.ndarray, codebooks: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
@@ -113,81 +123,100 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame, np.ndarray | None]:
-    """(vec_id, embedding, codes, norm) of every row, written to the shared folder, and the codebooks."""
+def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, np.ndarray | None]:
+    """(ids, codes, norms) slabs of all rows, written to the shared folder, and the codebooks; None twice for an empty table."""
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRAINING).select("embedding").toArrow().column(0).combine_chunks()
-    codebooks = learn_codebooks(matrix(sample, dims)) if len(sample) else None
+    if not len(sample):
+        return None, None
+    codebooks = learn_codebooks(matrix(sample, dims))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def slab() -> pa.RecordBatch:
+            packed = [b"".join(column) for column in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in packed], names=["ids", "codes", "norms"])
+
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 codes, norms = encode(matrix(batch.column(1), dims), codebooks)
-                packed = [c.tobytes() for c in codes]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(packed, pa.binary()), pa.array(norms, pa.float32())],
-                    names=[*batch.schema.names, "codes", "norm"],
-                )
-
-    if codebooks is None:
-        return vectors.select("*", F.lit(b"").alias("codes"), F.lit(0.0).cast("float").alias("norm")), None
-    kind = vectors.schema["embedding"].dataType.simpleString()
-    coded = vectors.mapInArrow(run, f"vec_id long, embedding {kind}, codes binary, norm float")
-    return stage(coded, "additive-index"), codebooks
-
-
-def nearest_in_batch(queries, ids, rows, codebooks, codes, norms, row_ids, k):
-    """(distance, vec_id) arrays of the k nearest rows of a batch for each query; inf and -1 where there are fewer."""
-    order = np.argsort(row_ids, kind="stable")
-    rows, codes, norms, row_ids = rows[order], codes[order], norms[order], row_ids[order]
-    fresh = np.concatenate([[True], row_ids[1:] != row_ids[:-1]])
-    short = min(len(rows), max(SHORTLIST, k, len(rows) // SHORTLIST_SHARE) + 1)
-    best_d, best_i = np.full((len(queries), k), np.inf), np.full((len(queries), k), -1, np.int64)
-    for at in range(0, len(queries), 64):
-        part = queries[at : at + 64]
-        scores = lookup_scores(part, codebooks, codes, norms)
-        limit = np.partition(scores, short - 1, axis=1)[:, short - 1]
-        for q in range(len(part)):
-            below = np.flatnonzero(scores[q] < limit[q])
-            # Rows are in order of id, so of equal scores the smaller ids are taken.
-            ties = np.flatnonzero(scores[q] == limit[q])[: short - len(below)]
-            chosen = np.concatenate([below, ties])
-            chosen = chosen[row_ids[chosen] != ids[at + q]]
-            d, i = distances(part[q], rows[chosen]), row_ids[chosen]
-            if not fresh.all():
-                first = np.lexsort((d, i))
-                first = first[np.concatenate([[True], i[first][1:] != i[first][:-1]])]
-                d, i = d[first], i[first]
-            take = np.lexsort((i, d))[:k]
-            best_d[at + q, : len(take)], best_i[at + q, : len(take)] = d[take], i[take]
-    return best_d, best_i
-
-
-def search_block(index: DataFrame, codebooks: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -> DataFrame:
-    """(query_id, vec_id, score): for each task the k nearest of its rows to each query of one bounded block."""
-    dims = queries.shape[1]
+                held.append((batch.column(0).to_numpy().astype("<i8").tobytes(), codes.tobytes(), norms.astype("<f4").tobytes()))
+                size += batch.num_rows
+                if size >= SLAB:
+                    yield slab()
+                    held, size = [], 0
+        if size:
+            yield slab()
+
+    return stage(vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary"), "additive-index"), codebooks
+
+
+def query_blocks(queries: DataFrame) -> DataFrame:
+    """(query_ids, queries): binary values of QUERY_BLOCK queries at most, in order of their ids."""
+    numbered = byte_offsets(queries.withColumn("size", F.lit(1)), ["vec_id"]).withColumn("block", F.expr(f"row DIV {QUERY_BLOCK}"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("vec_id")
+        values = np.array(pdf["embedding"].tolist(), "<f8")
+        return pd.DataFrame({"query_ids": [pdf["vec_id"].to_numpy("<i8").tobytes()], "queries": [values.tobytes()]})
+
+    return stage(numbered.groupBy("block").applyInPandas(pack, "query_ids binary, queries binary"), "query-blocks")
+
+
+def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query_id, vec_id, score) arrays: of each query the ``short`` rows of a slab with the smallest lookup scores, itself
+    excluded; equal scores by the smaller id, rows of one id as one."""
+    order = np.argsort(ids, kind="stable")
+    ids, codes, norms = ids[order], codes[order], norms[order]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    names = ids[starts]
+    for at in range(0, len(query_ids), 64):
+        scores = lookup_scores(queries[at : at + 64], codebooks, codes, norms)
+        if len(names) < len(ids):
+            scores = np.minimum.reduceat(scores, starts, axis=1)
+        own = np.searchsorted(names, query_ids[at : at + 64])
+        for q, place in enumerate(own.tolist()):
+            if place < len(names) and names[place] == query_ids[at + q]:
+                scores[q, place] = np.inf
+        if short < len(names):
+            limit = np.partition(scores, short - 1, axis=1)[:, short - 1]
+        for q in range(len(scores)):
+            chosen = np.arange(len(names))
+            if short < len(names):
+                below, ties = np.flatnonzero(scores[q] < limit[q]), np.flatnonzero(scores[q] == limit[q])
+                chosen = np.concatenate([below, ties[: short - len(below)]])
+            chosen = chosen[np.isfinite(scores[q, chosen])]
+            yield np.full(len(chosen), query_ids[at + q]), names[chosen], scores[q, chosen]
+
+
+def candidates(slabs: DataFrame, blocks: DataFrame, codebooks: np.ndarray, short: int) -> DataFrame:
+    """(query_id, vec_id): of each query the ``short`` rows with the smallest lookup scores, equal ones by the smaller id."""
+    books, dims = codebooks.shape[0], codebooks.shape[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_d, best_i = np.full((len(ids), k), np.inf), np.full((len(ids), k), -1, np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            norms = batch.column(3).to_numpy(zero_copy_only=False)
-            row_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            d, i = nearest_in_batch(queries, ids, matrix(batch.column(1), dims), codebooks, codes, norms, row_ids, k)
-            for q in range(len(ids)):
-                all_d, all_i = np.concatenate([best_d[q], d[q]]), np.concatenate([best_i[q], i[q]])
-                take = np.lexsort((all_i, all_d))
-                take = take[np.sort(np.unique(np.where(all_i[take] < 0, -1 - np.arange(2 * k), all_i[take]), return_index=True)[1])][:k]
-                best_d[q], best_i[q] = all_d[take], all_i[take]
-        found = best_i >= 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(ids, found.sum(1))), pa.array(best_i[found]), pa.array(best_d[found])],
-            names=["query_id", "vec_id", "score"],
-        )
-
-    return index.select("vec_id", "embedding", "codes", "norm").mapInArrow(run, "query_id long, vec_id long, score double")
+            for row in range(batch.num_rows):
+                ids, codes, norms, query_ids, queries = (c[row].as_buffer() for c in batch.columns)
+                found = shortlists(
+                    np.frombuffer(query_ids, "<i8"), np.frombuffer(queries, "<f8").reshape(-1, dims), codebooks,
+                    np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(-1, books), np.frombuffer(norms, "<f4"), short,
+                )
+                columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "near"])
+
+    # A stated query set, in blocks, against all rows.
+    pairs = slabs.repartition(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).crossJoin(blocks)
+    scored = pairs.mapInArrow(run, "query_id long, vec_id long, near float")
+    one = scored.groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "vec_id"))
+    return one.withColumn("place", place).where(F.col("place") <= short).select("query_id", "vec_id")
+
+
+def euclidean(a: Column, b: Column) -> Column:
+    """The distance of two arrays in double precision, summed in the order of the dimensions."""
+    gaps = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x))
 
 
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
@@ -197,20 +226,15 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     :func:`usable` says which rows take part. Rows with one id count as one: the query is their first vector in order of
     components, a candidate their nearest. An empty table gives no rows; other columns aren't read.
     """
-    spark = vectors.sparkSession
     vectors, dims = usable(vectors)
-    index, codebooks = build_index(vectors, dims)
+    slabs, codebooks = build_index(vectors, dims)
+    if codebooks is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    numbered = stage(byte_offsets(queries.withColumn("size", F.lit(1)), ["vec_id"]).select("vec_id", "embedding", "row"), "queries")
-    found = None
-    for start in range(0, numbered.count() if codebooks is not None else 0, QUERY_BLOCK):
-        block = numbered.where(F.col("row").between(start, start + QUERY_BLOCK - 1)).select("vec_id", "embedding").toArrow()
-        ids = block.column(0).to_numpy()
-        hits = stage(search_block(index, codebooks, ids, matrix(block.column(1).combine_chunks(), dims), k), "hits")
-        found = hits if found is None else found.union(hits)
-    if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    one = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    found = stage(candidates(slabs, query_blocks(queries), codebooks, max(SHORTLIST, SHORTLIST_TIMES * k)), "shortlists")
+    with_rows = found.join(vectors, "vec_id").withColumnRenamed("embedding", "__row")
+    with_both = with_rows.join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__query")), "query_id")
+    one = with_both.groupBy("query_id", "vec_id").agg(F.min(euclidean(F.col("__row"), F.col("__query"))).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return one.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
