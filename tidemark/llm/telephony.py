@@ -1,8 +1,8 @@
 """Telephony audio columns: G.711 and IMA ADPCM samples in WAV form, expanded to linear PCM.
 
-Mu-law and A-law samples are expanded by 256-entry tables. ADPCM blocks are
-decoded side by side: one numpy step handles the n-th nibble of every block.
-Expanded audio is resampled by a polyphase filter and stored as 16-bit PCM.
+Mu-law and A-law samples are expanded by 256-entry tables. ADPCM blocks are decoded side by side: one numpy step handles the
+n-th nibble of every block of a group of media. Expanded audio is resampled by a polyphase filter and stored as 16-bit PCM.
+Media values are written to the shared folder, and what reads them sees the stored bytes only.
 """
 
 from __future__ import annotations
@@ -10,15 +10,20 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..staging import stage
 from .rows import map_texts
 
 RATE = 8000
 BLOCK = 192
+#: Bytes of media that are decoded together, at most, unless one value has more.
+GROUP_BYTES = 2_000_000
 
 # Fixed values of the WAV and IMA ADPCM formats.
 FORMAT_TAG = {"pcm": 1, "alaw": 6, "mulaw": 7, "adpcm": 17}
@@ -180,27 +185,66 @@ def codec_of(payload: bytes) -> str:
     return ("mulaw", "alaw", "adpcm")[zlib.crc32(payload) % 3]
 
 
-def feature_of(codec: str, pcm: np.ndarray, stored: bytes, rate: int) -> str:
-    wide = pcm.astype(np.float64)
-    crossings = int(np.count_nonzero(np.signbit(pcm[1:]) != np.signbit(pcm[:-1])))
-    return (
-        f"{codec};n={len(pcm)};peak={int(np.abs(wide).max(initial=0))};rms={np.sqrt(np.dot(wide, wide) / max(1, len(pcm))):.3f}"
-        f";zc={crossings};pcm{rate}={len(stored) // 2}:{zlib.crc32(stored):08x}"
-    )
+def expand_all(codecs: list[str], datas: list[bytes]) -> list[np.ndarray]:
+    """Linear 16-bit PCM of each value; the ADPCM blocks of all of them are decoded in one pass."""
+    coded = [i for i, c in enumerate(codecs) if c == "adpcm"]
+    out = [None if c == "adpcm" else expand(c, d) for c, d in zip(codecs, datas, strict=True)]
+    if coded:
+        whole = [datas[i] + bytes(-len(datas[i]) % BLOCK) for i in coded]
+        pcm, at = decode_adpcm(b"".join(whole)), 0
+        for i, data in zip(coded, whole, strict=True):
+            end = at + len(data) // BLOCK * (1 + 2 * (BLOCK - 4))
+            out[i], at = pcm[at:end], end
+    return out
+
+
+def features(codecs: list[str], pcms: list[np.ndarray], stored: list[bytes], rate: int) -> list[str]:
+    """Of each value: codec, samples, peak, root mean square, zero crossings, and length and crc of the PCM to be stored."""
+    sizes = np.array([len(p) for p in pcms])
+    at = np.cumsum(sizes) - sizes
+    joined = np.concatenate([*pcms, np.zeros(1, np.int16)]).astype(np.int64)
+    crossed = np.signbit(joined[1:]) != np.signbit(joined[:-1])
+    crossed[at + sizes - 1] = False  # between two values
+    sums = [np.add.reduceat(x, at) if len(at) else [] for x in (joined[:-1] ** 2, crossed.astype(np.int64))]
+    peaks = np.maximum.reduceat(np.abs(joined[:-1]), at) if len(at) else []
+    return [
+        f"{codec};n={n};peak={peak};rms={np.sqrt(square / n):.3f};zc={zc};pcm{rate}={len(kept) // 2}:{zlib.crc32(kept):08x}"
+        for codec, n, peak, square, zc, kept in zip(codecs, sizes.tolist(), peaks, *sums, stored, strict=True)
+    ]
 
 
 def store_media(docs: DataFrame) -> DataFrame:
-    """(doc_id, media binary): the text's padded bytes as the samples of a WAV file.
+    """(doc_id, n_bytes, media binary): the text's padded bytes as the samples of a WAV file, and how many were the text's.
 
     A null or empty text gives one block of blanks. Rows are independent, so ties and
     repeated rows give equal media; an empty table gives none; other columns are not read.
     """
 
     def run(ids, texts):
-        payloads = [payload_of(t)[1] for t in texts]
-        return [ids, [to_wav(codec_of(p), p) for p in payloads]]
+        payloads = [payload_of(t) for t in texts]
+        return [ids, [n for n, _ in payloads], [to_wav(codec_of(p), p) for _, p in payloads]]
+
+    return map_texts(docs, run, "doc_id long, n_bytes long, media binary", rows=128)
+
+
+def groups(values: list[bytes]) -> Iterator[slice]:
+    """Runs of values of GROUP_BYTES or one value at most, which are decoded together."""
+    begin = held = 0
+    for i, value in enumerate(values):
+        if i > begin and held + len(value) > GROUP_BYTES:
+            yield slice(begin, i)
+            begin, held = i, 0
+        held += len(value)
+    if begin < len(values):
+        yield slice(begin, len(values))
+
 
-    return map_texts(docs, run, "doc_id long, media binary", rows=128)
+def to_pcm(media: list[bytes], to_rate: int) -> Iterator[tuple[str, bytes, np.ndarray, bytes]]:
+    """(codec, stored samples, expanded samples, resampled 16-bit PCM) of each WAV value."""
+    for part in groups(media):
+        codecs, rates, datas = zip(*map(from_wav, media[part]), strict=True)
+        for codec, rate, data, pcm in zip(codecs, rates, datas, expand_all(codecs, datas), strict=True):
+            yield codec, data, pcm, resample(pcm, rate, to_rate).astype("<i2").tobytes()
 
 
 def store_pcm(media: DataFrame, to_rate: int = 2 * RATE) -> DataFrame:
@@ -210,41 +254,37 @@ def store_pcm(media: DataFrame, to_rate: int = 2 * RATE) -> DataFrame:
     """
 
     def run(ids, values):
-        out = []
-        for value in values:
-            if value is None:
-                out.append(None)
-                continue
-            codec, rate, data = from_wav(value)
-            out.append(to_wav("pcm", resample(expand(codec, data), rate, to_rate).astype("<i2").tobytes(), to_rate))
-        return [ids, out]
+        have = [v for v in values if v is not None]
+        made = (to_wav("pcm", stored, to_rate) for *_, stored in to_pcm(have, to_rate))
+        return [ids, [None if v is None else next(made) for v in values]]
 
     return map_texts(media.selectExpr("doc_id", "media AS text"), run, "doc_id long, pcm binary", rows=64)
 
 
-def audio_digests(docs: DataFrame, to_rate: int = 2 * RATE) -> DataFrame:
-    """One row per document: its payload, stored and read back, with digests and audio features.
-
-    Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
-    Nulls, empty tables and repeated rows are as in :func:`store_media`. Nothing is shuffled.
-    """
-
-    def run(ids, texts):
-        rows = []
-        for text in texts:
-            n, payload = payload_of(text)
-            media = to_wav(codec_of(payload), payload)
-            codec, rate, data = from_wav(media)
-            pcm = expand(codec, data)
-            stored = resample(pcm, rate, to_rate).astype("<i2").tobytes()
-            rows.append((
-                n, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(media),
-                hashlib.sha256(media).hexdigest(), feature_of(codec, pcm, stored, to_rate),
-            ))
-        return [ids, *map(list, zip(*rows, strict=True))]
+def media_digests(media: DataFrame, to_rate: int = 2 * RATE) -> DataFrame:
+    """doc_id, n_bytes, and digests and audio features of the bytes that the column ``media`` holds."""
 
+    def run(ids, values):
+        done = []
+        for part in groups(values):
+            codecs, datas, pcms, stored = zip(*to_pcm(values[part], to_rate), strict=True)
+            for data, wav, feature in zip(datas, values[part], features(codecs, pcms, stored, to_rate), strict=True):
+                done.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(wav), hashlib.sha256(wav).hexdigest(), feature))
+        return [*ids.flatten(), *map(list, zip(*done, strict=True))]
+
+    keyed = media.select(F.struct("doc_id", "n_bytes").alias("doc_id"), F.col("media").alias("text"))
     return map_texts(
-        docs, run,
+        keyed, run,
         "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string",
         rows=128,
     )
+
+
+def audio_digests(docs: DataFrame, to_rate: int = 2 * RATE) -> DataFrame:
+    """One row per document: its payload, stored and read back, with digests and audio features.
+
+    Columns: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature. The media table is
+    written to the shared folder first, and all but n_bytes is made from what is read there. The resampled PCM is made whole for
+    its digest; :func:`store_pcm` keeps it. Nulls, empty tables and repeated rows are as in :func:`store_media`. Nothing is shuffled.
+    """
+    return media_digests(stage(store_media(docs), "media"), to_rate)
