@@ -1,4 +1,6 @@
+import hashlib
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -77,6 +79,63 @@ def test_media_of_odd_rows(spark):
     assert telephony.audio_digests(df.limit(0)).count() == 0
 
 
+def scalar_pcm(codec, data):
+    if codec == "adpcm":
+        return [v for at in range(0, len(data), 192) for v in one_block(data[at : at + 192])]
+    out = []
+    for byte in data:
+        if codec == "mulaw":
+            byte ^= 0xFF
+            size = (((byte & 15) << 3) + 132 << (byte >> 4 & 7)) - 132
+            out.append(-size if byte & 0x80 else size)
+        else:
+            byte ^= 0x55
+            segment, size = byte >> 4 & 7, (byte & 15) * 16 + 8
+            size = size if not segment else (size + 256) << (segment - 1)
+            out.append(size if byte & 0x80 else -size)
+    return out
+
+
+def test_the_whole_row_against_a_plain_computation(spark, monkeypatch):
+    pick = random.Random(11)
+    rows = [(i, "".join(pick.choice("abc é日\n ") for _ in range(pick.choice([0, 1, 150, 191, 192, 193, 3000])))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "x" * 400_000), (102, "x" * 400_000), (None, "no id ")]
+    monkeypatch.setattr(telephony, "GROUP_BYTES", 5000)
+    df = docs(spark, [(*r, None, None, None) for r in rows]).repartition(3)
+    got = {(r.doc_id, r.n_bytes, r.payload_sha256): r for r in telephony.audio_digests(df).collect()}
+    seen = set()
+    for doc_id, text in rows:
+        raw = (text or "").encode()
+        payload = raw.ljust(max(192, -(-len(raw) // 192) * 192))
+        r = got[doc_id, len(raw), hashlib.sha256(payload).hexdigest()]
+        codec = r.feature.split(";")[0]
+        seen.add(codec)
+        block, bits, tag = {"mulaw": (1, 8, 7), "alaw": (1, 8, 6), "adpcm": (192, 4, 17)}[codec]
+        samples, bytes_a_second = (len(payload) // 192 * 377, 8000 * 192 // 377) if codec == "adpcm" else (len(payload), 8000)
+        form = struct.pack("<HHIIHHH", tag, 1, 8000, bytes_a_second, block, bits, 2 if codec == "adpcm" else 0)
+        form += struct.pack("<H", 377) if codec == "adpcm" else b""
+        body = b"WAVEfmt " + struct.pack("<I", len(form)) + form + b"fact" + struct.pack("<II", 4, samples) + b"data" + struct.pack("<I", len(payload)) + payload
+        wav = b"RIFF" + struct.pack("<I", len(body)) + body
+        assert (r.payload_bytes, r.tail_crc32, r.media_bytes, r.media_sha256) == (len(payload), zlib.crc32(payload[-16:]), len(wav), hashlib.sha256(wav).hexdigest())
+        pcm = scalar_pcm(codec, payload)
+        rms = (sum(v * v for v in pcm) / len(pcm)) ** 0.5
+        crossings = sum((a < 0) != (b < 0) for a, b in zip(pcm, pcm[1:]))
+        up = telephony.resample(np.array(pcm, np.int16), 8000, 16000)
+        want = f"{codec};n={len(pcm)};peak={max(map(abs, pcm))};rms={rms:.3f};zc={crossings};pcm16000={len(up)}:{zlib.crc32(up.astype('<i2').tobytes()):08x}"
+        assert r.feature == want
+    assert seen == {"mulaw", "alaw", "adpcm"}
+
+
+def test_bpe_digests_of_the_row(spark):
+    library = Tokenizer.from_file(BYTE_BPE)
+    rows = [(i, t) for i, t in enumerate(["a plain text", "", None, "é日本\n\n  two", "x" * 30_000, "<|endoftext|> it's"])]
+    for r in bpe.round_trip(docs(spark, [(*r, None, None, None) for r in rows]), BYTE_BPE).collect():
+        ids = library.encode(rows[r.doc_id][1] or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
 def test_bpe_equals_the_library():
     encoder, decoder = bpe.codec(BYTE_BPE)
     library = Tokenizer.from_file(BYTE_BPE)

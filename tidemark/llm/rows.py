@@ -6,12 +6,28 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Input that a range partition gets, at most in the mean.
+PARTITION_BYTES = 64_000_000
+
+
+def range_partitions(docs: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
+    """So many partitions that each gets ``bytes_each`` of the input, and the session's shuffle partitions at least.
+
+    The size is the files' as Spark's plan states it; a frame that states none is counted by its texts.
+    """
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
+
+
 def map_texts(docs: DataFrame, fn: Callable[[pa.Array, list], list], schema: str, rows: int = 512) -> DataFrame:
     """Apply ``fn(ids, texts)`` to slices of (doc_id, text) and return its columns.
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import stage
+from .rows import range_partitions
 
 OVERHEAD = 16
 
@@ -20,19 +21,20 @@ def document_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(OVERHEAD)).cast("long")
 
 
-def byte_offsets(sized: DataFrame, keys: list[str], size: str = "size") -> DataFrame:
+def byte_offsets(sized: DataFrame, keys: list[str], size: str = "size", parts: int | None = None) -> DataFrame:
     """``sized`` with ``row`` and ``offset`` (rows and bytes before it, in order of ``keys``) and ``total`` (bytes of all).
 
+    ``parts`` range partitions, or as many as the session's shuffle partitions.
     Rows that tie in ``keys`` stand in the order in which they were read; nulls come first.
     The frame is written to the shared folder once, so the partitions stay as they were totalled.
     """
     tie, part = "__read_order", "__range"
     ranged = sized.withColumn(tie, F.monotonically_increasing_id())
-    n = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(ranged.repartitionByRange(n, *keys, tie).withColumn(part, F.spark_partition_id()), "ranged")
     totals = ranged.groupBy(part).agg(F.sum(size).alias("__sum"), F.count(F.lit(1)).alias("__count"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition: as many as spark.sql.shuffle.partitions, whatever the input.
+    # One row per range partition.
     bases = totals.select(
         part,
         F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"),
@@ -64,7 +66,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
         document_size(F.col("text")).alias("size"),
         F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
     )
-    placed = byte_offsets(sized, ["doc_id", "text_crc32", "size"])
+    placed = byte_offsets(sized, ["doc_id", "text_crc32", "size"], parts=range_partitions(docs))
     placed = placed.withColumn(
         "shard", F.least(F.lit(shards - 1), F.expr(f"(2 * offset + size) * {shards} DIV (2 * total)")).cast("int")
     )

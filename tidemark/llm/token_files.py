@@ -2,12 +2,13 @@
 
 Documents are range-partitioned and sorted by id; every partition encodes its own and writes
 
-* ``<part>.ids``: all ids, little-endian, 16 bits wide where the vocabulary allows it, else 32;
-* ``<part>.off``: one more 64-bit offset (in ids, from the file's beginning) than documents;
-* ``<part>.doc``: the documents' 64-bit ids; null ids come first and are written as 0.
+* ``<file>.ids``: all ids, little-endian, 16 bits wide where the vocabulary allows it, else 32;
+* ``<file>.off``: one more 64-bit offset (in ids, from the file's beginning) than documents;
+* ``<file>.doc``: the documents' 64-bit ids; null ids come first and are written as 0.
 
 and reports its totals. The prefix sums of the totals are the partitions' bases, kept in the manifest.
-A repeated or speculative task writes under a name of its own and moves the file into place when it is whole.
+``<file>`` names the partition and the task's attempt. The manifest has the one attempt of each partition that Spark commits, so
+a repeated, speculative or half-done attempt can't touch the files that count, and no file is ever moved.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..staging import new_path, stage
 from .bpe import byte_letters
+from .rows import range_partitions
 from .unicode_classes import LETTERS, NUMBERS, SPACES
 
 MEMO_RUNS, MEMO_PIECES = 400_000, 400_000
@@ -100,14 +103,16 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-MANIFEST = "part int, dtype string, n_docs long, n_null long, n_ids long"
+MANIFEST = "part int, file string, dtype string, n_docs long, n_null long, n_ids long"
+#: Documents whose digests are held at once.
+SLICE = 4096
 
 
 def write_token_files(docs: DataFrame, path: str, end_id: int | None, to: str | None = None) -> tuple[DataFrame, str]:
     """Write ``docs`` to files below ``to`` (a new folder in the shared one by default); (manifest, folder).
 
-    The manifest has a row for each part that holds documents: part, dtype, n_docs, n_null (documents without an id),
-    n_ids, first_doc and first_id (the numbers of documents and ids in the parts before). A null text is an empty one;
+    The manifest has a row for each part that holds documents: part, file, dtype, n_docs, n_null (documents
+    without an id), n_ids, first_doc and first_id (the numbers of documents and ids in the parts before). A null text is an empty one;
     ``end_id`` follows every document. Rows that tie in doc_id are ordered by their text, so repeated rows are kept
     side by side. An empty table has an empty manifest. Other columns aren't read.
     """
@@ -120,13 +125,14 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None, to: str |
         dtype = encoder.dtype
         end = b"" if end_id is None else tail.astype(dtype).tobytes()
         task = TaskContext.get()
-        part, own = task.partitionId(), f".{task.taskAttemptId()}"
+        part = task.partitionId()
+        file = f"{part:06d}-{task.taskAttemptId()}"
         fs, base = pafs.FileSystem.from_uri(folder)
         sizes, keys, nulls, out = [0], [], 0, None
         for batch in batches:
             if out is None and batch.num_rows:
                 fs.create_dir(base, recursive=True)
-                out = fs.open_output_stream(f"{base}/{part:06d}.ids{own}")
+                out = fs.open_output_stream(f"{base}/{file}.ids")
             ids = batch.column(0)
             nulls += ids.null_count
             keys.append(ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
@@ -139,17 +145,15 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None, to: str |
         out.close()
         offsets = np.cumsum(np.array(sizes, "<i8"), dtype="<i8")
         for name, data in (("off", offsets), ("doc", np.concatenate(keys))):
-            with fs.open_output_stream(f"{base}/{part:06d}.{name}{own}") as f:
+            with fs.open_output_stream(f"{base}/{file}.{name}") as f:
                 f.write(data.tobytes())
-        for name in ("doc", "off", "ids"):
-            fs.move(f"{base}/{part:06d}.{name}{own}", f"{base}/{part:06d}.{name}")
-        row = [[part], [dtype.str], [len(sizes) - 1], [nulls], [int(offsets[-1])]]
-        types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        row = [[part], [file], [dtype.str], [len(sizes) - 1], [nulls], [int(offsets[-1])]]
+        types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(row, types, strict=True)], names=["part", "dtype", "n_docs", "n_null", "n_ids"]
+            [pa.array(v, t) for v, t in zip(row, types, strict=True)], names=["part", "file", "dtype", "n_docs", "n_null", "n_ids"]
         )
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(docs)
     ordered = (
         docs.select("doc_id", "text", F.crc32(F.encode("text", "UTF-8")).alias("crc"))
         .repartitionByRange(n, "doc_id", "crc")
@@ -157,7 +161,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None, to: str |
         .select("doc_id", "text")
     )
     parts = stage(ordered.mapInArrow(write, MANIFEST), "token-parts")
-    # One row per part: as many as spark.sql.shuffle.partitions, whatever the input.
+    # One row per part.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     manifest = parts.select(
         "*",
@@ -176,12 +180,13 @@ def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def document_ids(folder: str, part: int, dtype: str) -> Iterator[tuple[int, int, np.ndarray]]:
+def document_ids(folder: str, file: str, dtype: str) -> Iterator[tuple[int, int, np.ndarray]]:
     """(doc_id, offset in the part, ids) of every document of a part."""
-    ids = mapped(folder, f"{part:06d}.ids", dtype) if mapped(folder, f"{part:06d}.off", "<i8")[-1] else np.empty(0, dtype)
-    offsets, keys = mapped(folder, f"{part:06d}.off", "<i8"), mapped(folder, f"{part:06d}.doc", "<i8")
-    for k, a, b in zip(keys.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        yield k, a, ids[a:b]
+    offsets, keys = mapped(folder, f"{file}.off", "<i8"), mapped(folder, f"{file}.doc", "<i8")
+    ids = mapped(folder, f"{file}.ids", dtype) if offsets[-1] else np.empty(0, dtype)
+    for i in range(len(keys)):
+        a, b = int(offsets[i]), int(offsets[i + 1])
+        yield int(keys[i]), a, ids[a:b]
 
 
 def read_digests(manifest: DataFrame, folder: str) -> DataFrame:
@@ -190,13 +195,15 @@ def read_digests(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                rows = [
-                    (None if i < row["n_null"] else key, row["first_id"] + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                    for i, (key, start, ids) in enumerate(document_ids(folder, row["part"], row["dtype"]))
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"]
-                )
-
-    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                documents = enumerate(document_ids(folder, row["file"], row["dtype"]))
+                for some in batched(documents, SLICE):
+                    rows = [
+                        (None if i < row["n_null"] else key, row["first_id"] + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                        for i, (key, start, ids) in some
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"]
+                    )
+
+    n = max(manifest.count(), 1)
     return manifest.repartition(n, "part").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
