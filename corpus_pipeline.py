@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, language_id, mixing, near_duplicates, substring_dedup
-from tidemark.staging import stage
+from tidemark.staging import mark, release, stage
 
 #: Documents whose best cosine is lower have no language: LEAST_SCORE up to FEW trigrams, growing to LONG_SCORE at MANY.
 #: Gibberish has cosines up to about 0.15 at any length, clean texts of 200 characters 0.20 and more, short ones 0.03 and more.
@@ -70,8 +70,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other over ``documents``, each written to the shared folder and read again.
+
+    What a stage wrote besides its result, and the result before it, are deleted once its own result is written.
+    """
+    docs, began = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark()
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
+        release(spark, began, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -36,7 +36,7 @@ def op6_substring_dedup(spark, sf_dir):
 
 def op7_source_mix(spark, sf_dir):
     mixed = mixing.calibrate(table(spark, sf_dir, "documents"))
-    return mixed.withColumns({"factor": F.round("factor", 9), "prob": F.round("prob", 9)})
+    return mixed.withColumns({c: F.round(c, 9) for c in ("factor", "prob", "residual")})
 
 
 def op8_token_files(spark, sf_dir):
