@@ -134,4 +134,10 @@ def test_contracts(spark):
     image = {"created": 1, "data": [{"url": "u"}]}
     assert ev(spark, json.dumps(image))(lambda c: rs.contract(c, "images.generation")).ok
     assert ev(spark, json.dumps({"created": True, "data": [{}]}))(lambda c: rs.violations(c, "images.generation")) == ["$.created", "$.data[0].url|$.data[0].b64_json"]
+    models["data"] = [{"id": "a", "object": "model"}, {"nope": 1}, 7]
+    assert ev(spark, json.dumps(models))(lambda c: rs.violations(c, "models.list")) == ["$.data[1].id", "$.data[2].id", "$.data[1].object", "$.data[2].object"]
+    models["data"] = []
+    assert ev(spark, json.dumps(models))(lambda c: rs.violations(c, "models.list")) == ["$.data"]
+    vectors = {"object": "list", "model": "m", "data": [{"index": 0, "object": "embedding", "embedding": [0.5, "x", 1]}, {"index": 1, "object": "embedding", "embedding": []}], "usage": {"prompt_tokens": 1, "total_tokens": 1}}
+    assert ev(spark, json.dumps(vectors))(lambda c: rs.violations(c, "embeddings")) == ["$.data[1].embedding", "$.data[0].embedding[1]"]
     assert ev(spark, json.dumps({"object": "list", "model": "m", "data": [{"index": 0, "object": "embedding", "embedding": [0.5]}], "usage": {"prompt_tokens": 1, "total_tokens": 1}}))(lambda c: rs.contract(c, "embeddings")).ok

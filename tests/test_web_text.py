@@ -1,4 +1,5 @@
 import hashlib
+import html
 
 from pyspark.sql import functions as F
 
@@ -34,6 +35,23 @@ def test_page(spark):
     assert tuple(ev(spark, '<span class="price-label">Input</span> <span class="price-value">$3</span>')(web.prices)) == ("$3", None)
 
 
+def test_entities_as_the_standard_library_reads_them(spark):
+    texts = ["caf&eacute; &#8217;s &#x1F600; &amp;lt;", "&notit; &not &nosuch; &nosuchthing &copyx &amp", "&#0; &#xD800; &#1114112; &#128; &#x80; &#13;", "a && b & c&", "&NotEqualTilde; &ngE; &lt&gt", "", "&#;&#x;&;"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", tx.unescape("t").alias("u")).collect()
+    assert {r.i: r.u for r in rows} == {i: html.unescape(t) for i, t in enumerate(texts)}
+    assert ev(spark, "<p>a&nbsp;&nbsp;b</p>&Auml;")(tx.strip_tags) == "a b Ä"
+
+
+def test_an_own_page(spark):
+    page = ev(spark, """<h2 class="x">best use cases</h2><h4>Small one</h4><h5>smaller</h5><h3>Run</h3>Use <code>fetch(&quot;a&quot;)</code> or
+<pre><code class="py">import requests
+  x = 1 &lt; 2</code></pre><h3>Shell</h3><div class="code-block">  curl -X POST</div><span class="tag">chat</span>
+<script>{"size": "1024x1024", "n": 2, "size": "other", "seed": "", "image": "https://x/og-cover.png"}</script>""")
+    assert page(web.use_cases) == ["Small one", "smaller"] and page(web.vendor) is None and page(web.headings) == ["best use cases", "Run", "Shell"]
+    assert [tuple(b) for b in page(web.code_blocks)] == [("Run", 'fetch("a")', "node"), ("Run", "import requests\n  x = 1 < 2", "python"), ("Shell", "curl -X POST", "curl")]
+    assert page(lambda c: web.parameters(c, ("size", "n", "seed", "image"))) == {"size": "1024x1024", "n": "2"}
+
+
 def test_docs(spark):
     first, second = ev(spark, DOCS)(web.doc_sections)
     assert (first.level, first.title, first.anchor, first.endpoint, first.method, first.text) == (2, "First", "a", "/v1/x", "POST", "Text one")
@@ -50,6 +68,9 @@ def test_redaction(spark):
     assert one == "key sk-***REDACTED*** and SK_LIVE_***REDACTED*** and Bearer ***REDACTED*** end"
     assert ev(spark, one)(tx.redact) == one
     signed = ev(spark, 'a https://h/p?X-Amz-Signature=1&b=2 "https://h/q?plain=1" https://h/r?Signature=z')(tx.redact_signed_urls)
+    odd = "x https://h/a?next=https://i/b?token=1&c=2, http:// https://?sig https://h/q?mytoken=z\\n https://h/AKID12345678?a=1 https://h?k=AKID12345678"
+    more = ev(spark, odd)(tx.redact_signed_urls)
+    assert more.n == 3 and more.text == "x https://h/a?__REDACTED_SIGNED_URL__, http:// https://?sig https://h/q?__REDACTED_SIGNED_URL__\\n https://h/AKID12345678?a=1 https://h?__REDACTED_SIGNED_URL__"
     assert signed.text == 'a https://h/p?__REDACTED_SIGNED_URL__ "https://h/q?plain=1" https://h/r?__REDACTED_SIGNED_URL__' and signed.n == 2
 
 

@@ -300,48 +300,57 @@ def envelope(body) -> Column:
     )
 
 
-#: What a conforming body has: path -> kind, * for each element; a kind may be a constant in quotes (fixed values).
+#: What a conforming body has: path -> kind, [*] for each element; a kind may be a constant in quotes, MANY is an array that
+#: isn't empty, and | parts paths of which one is enough (fixed values).
 CONTRACTS = {
     "chat.completion": {
-        "$.id": "STRING", "$.object": "'chat.completion'", "$.created": "BIGINT", "$.model": "STRING", "$.choices": "ARRAY", "$.choices[0].index": "BIGINT",
-        "$.choices[0].finish_reason": "STRING", "$.choices[0].message.role": "'assistant'", "$.choices[0].message.content": "STRING",
+        "$.id": "STRING", "$.object": "'chat.completion'", "$.created": "BIGINT", "$.model": "STRING", "$.choices": "MANY", "$.choices[*].index": "BIGINT",
+        "$.choices[*].finish_reason": "STRING", "$.choices[*].message.role": "'assistant'", "$.choices[*].message.content": "STRING",
         "$.usage.prompt_tokens": "BIGINT", "$.usage.completion_tokens": "BIGINT", "$.usage.total_tokens": "BIGINT",
     },
-    "chunk": {"$.id": "STRING", "$.object": "'chat.completion.chunk'", "$.created": "BIGINT", "$.model": "STRING", "$.choices": "ARRAY", "$.choices[0].index": "BIGINT", "$.choices[0].delta": "OBJECT"},
+    "chunk": {"$.id": "STRING", "$.object": "'chat.completion.chunk'", "$.created": "BIGINT", "$.model": "STRING", "$.choices": "MANY", "$.choices[*].index": "BIGINT", "$.choices[*].delta": "OBJECT"},
     "embeddings": {
-        "$.object": "'list'", "$.model": "STRING", "$.data": "ARRAY", "$.data[0].index": "BIGINT", "$.data[0].object": "'embedding'", "$.data[0].embedding": "ARRAY",
-        "$.data[0].embedding[0]": "NUMBER", "$.usage.prompt_tokens": "BIGINT", "$.usage.total_tokens": "BIGINT",
+        "$.object": "'list'", "$.model": "STRING", "$.data": "MANY", "$.data[*].index": "BIGINT", "$.data[*].object": "'embedding'", "$.data[*].embedding": "MANY",
+        "$.data[*].embedding[*]": "NUMBER", "$.usage.prompt_tokens": "BIGINT", "$.usage.total_tokens": "BIGINT",
     },
-    "images.generation": {"$.created": "BIGINT", "$.data": "ARRAY", "$.data[0].url|$.data[0].b64_json": "STRING"},
-    "models.list": {"$.object": "'list'", "$.data": "ARRAY", "$.data[0].id": "STRING", "$.data[0].object": "'model'"},
+    "images.generation": {"$.created": "BIGINT", "$.data": "MANY", "$.data[*].url|$.data[*].b64_json": "STRING"},
+    "models.list": {"$.object": "'list'", "$.data": "MANY", "$.data[*].id": "STRING", "$.data[*].object": "'model'"},
     "error.openai": {"$.error": "OBJECT", "$.error.message": "STRING", "$.error.type": "STRING"},
     "error.fastapi": {"$.detail": "ANY"},
 }
+KINDS = {"NUMBER": ("BIGINT", "DOUBLE", "DECIMAL"), "ANY": ("STRING", "OBJECT", "ARRAY")}
+
+
+def meets(value: Column, path: str, wanted: str) -> Column:
+    """Whether a variant has what is wanted at a path; false where it has nothing there."""
+    if wanted.startswith("'"):
+        return F.coalesce(F.try_variant_get(value, path, "string") == wanted.strip("'"), F.lit(False))
+    at = F.try_variant_get(value, path, "variant")
+    if wanted == "MANY":
+        return F.coalesce(F.size(F.try_variant_get(at, "$", "array<variant>")) > 0, F.lit(False))
+    kind = F.regexp_extract(F.schema_of_variant(at), "^([A-Z]+)", 1)
+    return F.coalesce(kind.isin(*KINDS.get(wanted, (wanted,))), F.lit(False))
+
+
+def misses(value: Column, paths: list[str], wanted: str, at: Column) -> Column:
+    """The places below ``at`` where none of the paths is met, each as it is written for the element that it's in."""
+    if "[*]" not in paths[0]:
+        said = F.concat_ws("|", *[F.concat(at, F.lit(p[1:])) for p in paths])
+        good = meets(value, paths[0], wanted)
+        for p in paths[1:]:
+            good = good | meets(value, p, wanted)
+        return F.when(good, F.array().cast("array<string>")).otherwise(F.array(said))
+    stem, rest = paths[0].partition("[*]")[0], ["$" + p.partition("[*]")[2] for p in paths]
+    elements = F.coalesce(F.try_variant_get(value, stem, "array<variant>"), F.array().cast("array<variant>"))
+    here = lambda i: F.concat(at, F.lit(stem[1:] + "["), i.cast("string"), F.lit("]"))
+    return F.flatten(F.transform(elements, lambda x, i: misses(x, rest, wanted, here(i))))
 
 
 def violations(body, contract: str) -> Column:
-    """The paths of a contract at which a body lacks what it should have, sorted."""
+    """The places at which a body lacks what its contract asks for, sorted by the contract's paths; every element of an array is
+    looked at. An array that must have elements and has none is one place."""
     variant = F.try_parse_json(col(body))
-
-    def kind_at(path: str) -> Column:
-        return F.regexp_extract(F.schema_of_variant(F.try_variant_get(variant, path, "variant")), "^([A-Z]+)", 1)
-
-    found = []
-    for paths, wanted in sorted(CONTRACTS[contract].items()):
-        kinds = [kind_at(p) for p in paths.split("|")]
-        if wanted.startswith("'"):
-            good = [F.try_variant_get(variant, paths, "string") == wanted.strip("'")]
-        elif wanted == "NUMBER":
-            good = [k.isin("BIGINT", "DOUBLE", "DECIMAL") for k in kinds]
-        elif wanted == "ANY":
-            good = [k.isin("STRING", "OBJECT", "ARRAY") for k in kinds]
-        else:
-            good = [k == wanted for k in kinds]
-        ok = F.coalesce(good[0], F.lit(False))
-        for g in good[1:]:
-            ok = ok | F.coalesce(g, F.lit(False))
-        found.append(F.when(~ok, F.lit(paths)))
-    return F.filter(F.array(*found), lambda v: v.isNotNull())
+    return F.flatten(F.array(*[misses(variant, paths.split("|"), wanted, F.lit("$")) for paths, wanted in sorted(CONTRACTS[contract].items())]))
 
 
 def contract(body, name: str) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,12 +56,43 @@ def apply_prefix(text: Column | str, policy: str, use: str) -> Column:
     return F.concat(F.lit("task: code retrieval | " + ("query: " if use == "query" else "doc: ")), col(text))
 
 
+@cache
+def entity_table() -> str:
+    """JSON of the standard library's HTML entities: names (with ; where that belongs to them) and misused code points."""
+    from html import entities
+
+    windows = {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+    return json.dumps(dict(entities.html5) | {f"#{c}": t for c, t in windows.items()} | {"#0": "\ufffd", "#13": "\r"})
+
+
+def unescape(text: Column | str) -> Column:
+    """Character references become characters: numbers, names with a semicolon, and the old names without, the longest that
+    fits. What isn't one stays."""
+    table = F.from_json(F.lit(entity_table()), "map<string,string>")
+    reference = "^&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+
+    def number(name: Column) -> Column:
+        digits = F.rtrim(F.substring(name, 2, 1 << 20), F.lit(";"))
+        point = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, 2, 1 << 20), 16, 10)).otherwise(digits).cast("decimal(38,0)")
+        valid = (point < 0xD800) | point.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD).cast("long")), 8, "0")), "UTF-32")
+        return F.coalesce(F.try_element_at(table, F.concat(F.lit("#"), point.cast("string"))), char)
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, reference, 1)
+        shorter = F.transform(F.sequence(F.length(name), F.lit(1), F.lit(-1)), lambda n: F.substring(name, F.lit(1), n))
+        known = F.try_element_at(F.filter(shorter, lambda n: F.map_contains_key(table, n)), F.lit(1))
+        named = F.concat(F.try_element_at(table, known), F.substring(piece, F.length(known) + 2, F.length(piece)))
+        numbered = F.concat(number(name), F.substring(piece, F.length(name) + 2, F.length(piece)))
+        return F.when(name == "", piece).when(name.startswith("#"), numbered).otherwise(F.coalesce(named, piece))
+
+    whole = col(text)
+    return F.when(F.contains(whole, F.lit("&")), F.array_join(F.transform(F.split(whole, "(?=&)"), one), "")).otherwise(whole)
+
+
 def strip_tags(html: Column | str) -> Column:
-    """Tags become blanks, the common entities characters, runs of white space one blank."""
-    out = F.regexp_replace(col(html), "<[^>]+>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, "\\s+", " "))
+    """Tags become blanks, entities characters, runs of white space one blank."""
+    return F.trim(F.regexp_replace(unescape(F.regexp_replace(col(html), "<[^>]+>", " ")), "(?U)\\s+", " "))
 
 
 #: Prefixes behind which a run of token characters is a secret.
@@ -72,25 +106,40 @@ def redact(text: Column | str, prefixes: tuple[str, ...] = SECRET_PREFIXES) -> C
     return F.regexp_replace(keyed, "(?i)\\b(Bearer\\s+)[A-Za-z0-9_\\-.]{4,}", f"$1{REDACTED}")
 
 
-# What marks the query of an address as carrying credentials, and what replaces that query.
-SIGNATURE_MARKERS = (
-    "Signature=", "signature=", "UCloudPublicKey", "OSSAccessKeyId", "X-Amz-Signature", "X-Amz-Credential", "SignedHeaders", "Credential=",
-    "AccessKeyId=", "AKID[A-Za-z0-9]{6,}", "q-sign-algorithm", "q-ak=", "q-signature", "security-token", "pre-signed", "presigned", "token=", "Token=",
+# What ends the name of a parameter with credentials, what shows them anywhere in a query, and the replacement.
+CREDENTIAL_NAMES = ("Signature", "signature", "Credential", "AccessKeyId", "q-ak", "token", "Token")
+CREDENTIAL_SIGNS = (
+    "UCloudPublicKey", "OSSAccessKeyId", "X-Amz-Signature", "X-Amz-Credential", "SignedHeaders", "q-sign-algorithm", "q-signature",
+    "security-token", "pre-signed", "presigned",
 )
+CREDENTIAL_VALUE = "AKID[A-Za-z0-9]{6,}"
 SIGNED_URL = "__REDACTED_SIGNED_URL__"
 
 
-def signed_url_pattern() -> str:
-    inside = "[^\\s\"'\\\\,]"
-    return f"(https?://{inside}+?)\\?(?={inside}*(?:{'|'.join(SIGNATURE_MARKERS)})){inside}*"
+def carries_credentials(query: Column) -> Column:
+    """Whether a query string has a parameter that signs it, or shows a key."""
+    fields = F.split(query, "=")
+    names = F.slice(fields, F.lit(1), F.size(fields) - 1)
+    named = F.exists(names, lambda n: F.exists(F.array(*map(F.lit, CREDENTIAL_NAMES)), lambda end: F.endswith(n, end)))
+    return named | F.exists(F.array(*map(F.lit, CREDENTIAL_SIGNS)), lambda sign: F.contains(query, sign)) | query.rlike(CREDENTIAL_VALUE)
 
 
 def redact_signed_urls(text: Column | str) -> Column:
-    """struct<text, n>: addresses whose query carries credentials lose it; n counts them."""
-    return F.struct(
-        F.regexp_replace(col(text), signed_url_pattern(), f"$1?{SIGNED_URL}").alias("text"),
-        F.regexp_count(col(text), F.lit(signed_url_pattern())).alias("n"),
-    )
+    """struct<text, n>: addresses whose query carries credentials lose it; n counts them.
+
+    The text is cut into addresses and what stands between them; an address ends at white space, a quote, a backslash or a comma.
+    """
+    address = "https?://[^\\s\"'\\\\,]+"
+    pieces = F.regexp_extract_all(col(text), F.lit(f"(?s){address}|.+?(?={address}|\\z)"), F.lit(0))
+
+    def one(piece: Column) -> Column:
+        base = F.substring_index(piece, "?", 1)
+        query = F.substring(piece, F.length(base) + 2, F.length(piece))
+        signed = piece.rlike(f"^{address}$") & base.rlike("^https?://.") & carries_credentials(query)
+        return F.struct(signed.alias("signed"), F.when(signed, F.concat(base, F.lit(f"?{SIGNED_URL}"))).otherwise(piece).alias("text"))
+
+    done = F.transform(pieces, one)
+    return F.struct(F.array_join(F.transform(done, lambda x: x["text"]), "").alias("text"), F.size(F.filter(done, lambda x: x["signed"])).alias("n"))
 
 
 def safe_file_name(name: Column | str) -> Column:

@@ -1,122 +1,174 @@
-"""Column expressions over HTML: titles, badges, sections, tables, code blocks, structured data."""
+"""Column expressions over HTML: titles, badges, sections, tables, code blocks, structured data.
+
+A page's fields are rules, each an element's tag and class; sections are what stands between two headings.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, strip_tags
+from .text import col, strip_tags, unescape
+
+# The pages' names. Of a field's (tag, class) rules the first that finds text counts; a class with * is a prefix.
+RULES = {
+    "title": [("title", "")],
+    "vendor": [("div", "vendor")],
+    "tag": [("span", "tag")],
+    "subtitle": [("p", "subtitle"), ("p", "desc")],
+    "badges": [("span", "badge*")],
+    "price input": [("span", "price-value")],
+    "method": [("span", "method*")],
+    "endpoint": [("span", "endpoint")],
+    "alerts": [("div", "alert*")],
+}
+# Headings of sections, tags that name a kind of model instead of a vendor, heads of two-column tables, labels of
+# prices, and what says which tool an example is for: words of its heading, the code's beginning, parts of the code.
+OVERVIEW, USE_CASES, SPECIFICATIONS = "Model overview", "Best use cases", "Technical specifications"
+CATEGORY_TAGS = ("video", "image", "3d", "audio", "chat", "embedding")
+TABLE_HEADS = ("property", "value")
+TOKEN_PRICE, PRICE_UNIT = "Token Price", "1m"
+TOOLS = {
+    "curl": (("curl",), "curl", ()),
+    "python": (("python",), None, ("import requests", "openai", "OpenAI")),
+    "node": (("node", "typescript", "javascript"), None, ("fetch(",)),
+}
+PREVIEW_IMAGE = "og-cover"
 
 
-def first(html: Column | str, pattern: str, group: int = 1) -> Column:
-    """The cleaned text of a pattern's first match; null for none."""
-    return F.nullif(strip_tags(F.regexp_extract(col(html), pattern, group)), F.lit(""))
+def element(tag: str, css: str = "") -> str:
+    """A pattern of an element whose first group is its inner HTML."""
+    token = css.removesuffix("*") + ('[^" ]*' if css.endswith("*") else "")
+    named = f'(?=[^>]*\\sclass="(?:[^"]* )?{token}(?: [^"]*)?")' if css else ""
+    return f"(?s)<{tag}(?=[\\s>]){named}[^>]*>(.*?)</{tag}>"
 
 
-def every(html: Column | str, pattern: str, group: int = 1) -> Column:
-    """The cleaned texts of all matches that aren't empty."""
-    found = F.regexp_extract_all(col(html), F.lit(pattern), F.lit(group))
-    return F.filter(F.transform(found, strip_tags), lambda x: x != "")
+def inner(html: Column | str, tag: str, css: str = "") -> Column:
+    """The inner HTML of every such element."""
+    return F.regexp_extract_all(col(html), F.lit(element(tag, css)), F.lit(1))
 
 
-def title(html: Column | str) -> Column:
-    return first(html, "<title>([^<]+)</title>")
+def texts(html: Column | str, tag: str, css: str = "") -> Column:
+    """The texts of every such element, without empty ones."""
+    return F.filter(F.transform(inner(html, tag, css), strip_tags), lambda x: x != "")
 
 
-#: Tags that name a kind of model, not a vendor (fixed values).
-CATEGORY_TAGS = ("video", "image", "3d", "audio", "chat", "embedding")
+def field(html: Column | str, name: str) -> Column:
+    """The first text that a field's rules find; null for none."""
+    return F.coalesce(*[F.try_element_at(texts(html, tag, css), F.lit(1)) for tag, css in RULES[name]])
+
+
+def title(html: Column | str) -> Column:
+    return field(html, "title")
 
 
 def vendor(html: Column | str) -> Column:
-    tag = first(html, '<span class="tag">([^<]+)</span>')
-    return F.coalesce(first(html, '(?s)<div class="vendor">(.*?)</div>'), F.when(~F.lower(tag).isin(*CATEGORY_TAGS), tag))
+    tag = field(html, "tag")
+    return F.coalesce(field(html, "vendor"), F.when(~F.lower(tag).isin(*CATEGORY_TAGS), tag))
 
 
 def subtitle(html: Column | str) -> Column:
-    return F.coalesce(first(html, '(?s)<p class="subtitle">(.*?)</p>'), first(html, '(?s)<p class="desc">(.*?)</p>'))
+    return field(html, "subtitle")
 
 
 def badges(html: Column | str) -> Column:
-    return every(html, '<span class="badge[^"]*">([^<]+)</span>')
+    return texts(html, *RULES["badges"][0])
+
+
+def parts(html: Column | str, levels: str = "23") -> Column:
+    """array<struct<heading, body>>: a page cut before each heading of the levels; what stands first has a null heading."""
+    cut = F.split(col(html), f"(?i)(?=<h[{levels}][\\s>])")
+    head = f"(?is)^<h[{levels}](?:\\s[^>]*)?>(.*?)</h[{levels}]>"
+    return F.transform(
+        cut, lambda p: F.struct(F.when(p.rlike(head), strip_tags(F.regexp_extract(p, head, 1))).alias("heading"), F.regexp_replace(p, head, "").alias("body"))
+    )
 
 
 def headings(html: Column | str) -> Column:
-    return every(html, "<h[23]>([^<]+)</h[23]>")
+    named = F.transform(parts(html), lambda p: p["heading"])
+    return F.filter(named, lambda x: x.isNotNull() & (x != ""))
 
 
 def section(html: Column | str, name: str) -> Column:
     """The HTML below a heading of that name, up to the next heading; null where there is none."""
-    pattern = f"(?is)<h[23]>\\s*\\Q{name}\\E\\s*</h[23]>(.*?)(?=<h[23]>|$)"
-    return F.when(F.regexp_instr(col(html), F.lit(pattern)) > 0, F.regexp_extract(col(html), pattern, 1))
+    return F.try_element_at(F.filter(parts(html), lambda p: F.lower(p["heading"]) == name.lower()), F.lit(1))["body"]
 
 
 def overview(html: Column | str, cap: int = 1200) -> Column:
-    return F.nullif(F.substring(strip_tags(section(html, "Model overview")), 1, cap), F.lit(""))
+    return F.nullif(F.substring(strip_tags(section(html, OVERVIEW)), 1, cap), F.lit(""))
 
 
 def use_cases(html: Column | str) -> Column:
-    part = section(html, "Best use cases")
-    items = every(part, "(?s)<li[^>]*>(.*?)</li>")
-    return F.coalesce(F.when(F.size(items) > 0, items), every(part, "(?s)<h[45][^>]*>(.*?)</h[45]>"), F.array().cast("array<string>"))
+    """The items of the section, or where it has none its small headings."""
+    part = section(html, USE_CASES)
+    choices = [texts(part, tag) for tag in ("li", "h4", "h5")]
+    small = F.concat(*choices[1:])
+    return F.coalesce(F.when(F.size(choices[0]) > 0, choices[0]), small, F.array().cast("array<string>"))
+
+
+def last_of_each(entries: Column) -> Column:
+    """Of entries (k, v) with one key, the last."""
+    return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["k"] == e["k"]))
 
 
 def specs(html: Column | str) -> Column:
     """map of a page's specification table and cards; of a repeated label the last value."""
-    rows = F.regexp_extract_all(F.coalesce(section(html, "Technical specifications"), F.lit("")), F.lit("(?s)<tr>(.*?)</tr>"), F.lit(1))
-    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit("(?s)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), strip_tags))
-    table = F.transform(F.filter(cells, lambda c: F.size(c) >= 2), lambda c: F.struct(c[0].alias("k"), c[1].alias("v")))
-    table = F.filter(table, lambda e: ~F.lower(e["k"]).isin("property", "value"))
-    card = '(?s)<div class="spec-item">\\s*<div class="spec-label">(.*?)</div>\\s*<div class="spec-value">(.*?)</div>'
-    labels = F.transform(F.regexp_extract_all(col(html), F.lit(card), F.lit(1)), strip_tags)
-    values = F.transform(F.regexp_extract_all(col(html), F.lit(card), F.lit(2)), strip_tags)
-    cards = F.transform(F.arrays_zip(labels.alias("k"), values.alias("v")), lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))
-    entries = F.filter(F.concat(table, cards), lambda e: (e["k"] != "") & (e["v"] != ""))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]))
-    return F.map_from_entries(last)
+    rows = html_table(F.coalesce(section(html, SPECIFICATIONS), F.lit("")))["rows"]
+    table = F.transform(F.filter(rows, lambda r: F.size(r) > 1), lambda r: F.struct(r[0].alias("k"), r[1].alias("v")))
+    cards = F.transform(
+        F.arrays_zip(inner(html, "div", "spec-label").alias("k"), inner(html, "div", "spec-value").alias("v")),
+        lambda e: F.struct(strip_tags(e["k"]).alias("k"), strip_tags(e["v"]).alias("v")),
+    )
+    said = F.filter(F.concat(table, cards), lambda e: (e["k"] != "") & (e["v"] != "") & ~F.lower(e["k"]).isin(*TABLE_HEADS))
+    return F.map_from_entries(last_of_each(said))
 
 
-def clean_price(price: Column) -> Column:
-    return F.regexp_replace(price, "^\\$\\$", "\\$")
+def prices(html: Column | str) -> Column:
+    """struct<input, output>: from price cells by the million, else from labelled values, the input also from the specifications."""
+    cells = F.transform(
+        F.arrays_zip(inner(html, "div", "num").alias("v"), inner(html, "div", "label").alias("k")),
+        lambda e: F.struct(F.lower(strip_tags(e["k"])).alias("k"), strip_tags(e["v"]).alias("v")),
+    )
+    labelled = F.arrays_zip(inner(html, "span", "price-label").alias("k"), inner(html, "span", "price-value").alias("v"))
 
+    def of(kind: str, *others: str) -> Column:
+        def mine(e: Column) -> Column:
+            unlike = [~F.contains(e["k"], F.lit(o)) for o in others]
+            return F.contains(e["k"], F.lit(kind)) & F.contains(e["k"], F.lit(PRICE_UNIT)) & (unlike[0] if unlike else F.lit(True))
 
-def prices(html: Column | str) -> Column:
-    """struct<input, output>: from price cells, else from labelled values, the input also from the specifications."""
-    cell = '(?s)<div class="price-cell">\\s*<div class="num">([^<]+)</div>\\s*<div class="label">([^<]+)</div>'
-    nums, labels = (F.regexp_extract_all(col(html), F.lit(cell), F.lit(g)) for g in (1, 2))
-    cells = F.transform(F.arrays_zip(nums.alias("n"), labels.alias("l")), lambda e: F.struct(strip_tags(e["n"]).alias("n"), F.lower(strip_tags(e["l"])).alias("l")))
+        by_cell = F.try_element_at(F.filter(cells, mine), F.lit(-1))["v"]
+        by_label = F.try_element_at(F.filter(labelled, lambda e: F.lower(strip_tags(e["k"])) == kind), F.lit(1))["v"]
+        found = F.coalesce(by_cell, F.nullif(strip_tags(by_label), F.lit("")))
+        return F.when(found.startswith("$$"), F.substring(found, 2, 1 << 20)).otherwise(found)
+
+    return F.struct(F.coalesce(of("input"), F.try_element_at(specs(html), F.lit(TOKEN_PRICE))).alias("input"), of("output", "input").alias("output"))
 
-    def of(word: str, other: str | None) -> Column:
-        mine = F.filter(cells, lambda e: F.contains(e["l"], F.lit(word)) & F.contains(e["l"], F.lit("1m")) & (~F.contains(e["l"], F.lit(other)) if other else F.lit(True)))
-        label = f'<span class="price-label">{word.capitalize()}</span>\\s*<span class="price-value">([^<]+)</span>'
-        return clean_price(F.coalesce(F.try_element_at(mine, F.lit(-1))["n"], first(html, label)))
 
-    return F.struct(F.coalesce(of("input", None), F.try_element_at(specs(html), F.lit("Token Price"))).alias("input"), of("output", "input").alias("output"))
+def plain(html: Column) -> Column:
+    """The text of code: its white space stays as it is."""
+    return F.trim(unescape(F.regexp_replace(html, "<[^>]+>", "")))
 
 
 def code_blocks(html: Column | str) -> Column:
-    """array<struct<lang, code, kind>>: code in order, with the third-level heading before it and the tool it is for."""
-    token = '(?s)<h3[^>]*>[^<]+</h3>|<pre><code>.*?</code></pre>|<div class="code-block">.*?</div>'
-    found = F.regexp_extract_all(col(html), F.lit(token), F.lit(0))
-    heading = lambda t: t.startswith("<h3")
-    clean = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, "<[^>]+>", ""), "&amp;", "&"))
+    """array<struct<lang, code, kind>>: code in order (blocks, cards and inline code), with the third-level heading before it and
+    the tool it is for."""
+    blocks = "(?s)(?:<pre>\\s*<code[^>]*>|<div class=\"code-block\">|<code>)(.*?)(?:</code>|</div>)"
 
-    def block(t: Column, i: Column) -> Column:
-        before = F.filter(F.slice(found, F.lit(1), i + 1), heading)
-        lang = strip_tags(F.try_element_at(before, F.lit(-1)))
-        return F.struct(lang.alias("lang"), clean(t).alias("code"), code_kind(clean(t), lang).alias("kind"), heading(t).alias("heading"))
+    def of(part: Column) -> Column:
+        codes = F.filter(F.transform(F.regexp_extract_all(part["body"], F.lit(blocks), F.lit(1)), plain), lambda c: c != "")
+        return F.transform(codes, lambda c: F.struct(part["heading"].alias("lang"), c.alias("code"), code_kind(c, part["heading"]).alias("kind")))
 
-    blocks = F.filter(F.transform(found, block), lambda b: ~b["heading"] & (b["code"] != ""))
-    return F.transform(blocks, lambda b: F.struct(b["lang"].alias("lang"), b["code"].alias("code"), b["kind"].alias("kind")))
+    return F.flatten(F.transform(parts(html, "3"), of))
 
 
 def code_kind(code: Column, lang: Column) -> Column:
-    low = F.lower(F.coalesce(lang, F.lit("")))
-    return (
-        F.when(F.contains(low, F.lit("curl")) | F.ltrim(code).startswith("curl"), "curl")
-        .when(F.contains(low, F.lit("python")) | F.contains(code, F.lit("import requests")) | F.contains(F.lower(code), F.lit("openai")), "python")
-        .when(low.rlike("node|typescript|javascript") | F.contains(code, F.lit("fetch(")), "node")
-        .otherwise("other")
-    )
+    """The first tool of TOOLS whose words are in the heading, or whose marks are in the code."""
+    heading, kind = F.lower(F.coalesce(lang, F.lit(""))), F.lit("other")
+    for tool, (words, begin, marks) in reversed(TOOLS.items()):
+        signs = [F.contains(heading, F.lit(w)) for w in words] + [F.contains(code, F.lit(m)) for m in marks]
+        signs += [F.ltrim(code).startswith(begin)] if begin else []
+        kind = F.when(F.exists(F.array(*signs), lambda x: x), tool).otherwise(kind)
+    return kind
 
 
 def json_ld_product(html: Column | str) -> Column:
@@ -141,37 +193,40 @@ def available_list(text: Column | str) -> Column:
 
 def doc_sections(html: Column | str) -> Column:
     """array<struct<level, title, anchor, endpoint, method, text, tables, codes, alerts>> of a documentation page's h2 and h3."""
-    parts = F.filter(F.split(col(html), "(?=<h[23][ >])"), lambda p: p.rlike("(?s)^<h[23][^>]*>.*?</h[23]>"))
+    whole = F.filter(F.split(col(html), "(?=<h[23][ >])"), lambda p: p.rlike("(?s)^<h[23][^>]*>.*?</h[23]>"))
 
     def one(p: Column) -> Column:
-        inner = F.regexp_replace(p, "(?s)^<h[23][^>]*>.*?</h[23]>", "")
-        method = '<span class="method[^"]*">([^<]+)</span>\\s*<span class="endpoint">([^<]+)</span>'
-        tables = F.transform(F.regexp_extract_all(inner, F.lit("(?s)<table[^>]*>(.*?)</table>"), F.lit(1)), html_table)
-        codes = F.transform(
-            F.regexp_extract_all(inner, F.lit("(?s)<pre[^>]*>\\s*<code[^>]*>(.*?)</code>\\s*</pre>"), F.lit(1)),
-            lambda c: F.trim(F.regexp_replace(c, "<[^>]+>", "")),
-        )
+        body = F.regexp_replace(p, "(?s)^<h[23][^>]*>.*?</h[23]>", "")
+        tables = F.transform(inner(body, "table"), html_table)
+        codes = F.transform(F.flatten(F.transform(inner(body, "pre"), lambda c: inner(c, "code"))), plain)
+        method, endpoint = field(body, "method"), field(body, "endpoint")
+        both = method.isNotNull() & endpoint.isNotNull()
         return F.struct(
-            F.regexp_extract(p, "^<h([23])", 1).cast("int").alias("level"), first(p, "(?s)^<h[23][^>]*>(.*?)</h[23]>").alias("title"),
-            F.nullif(F.regexp_extract(p, '^<h[23]\\s+id="([^"]*)"', 1), F.lit("")).alias("anchor"), first(inner, method, 2).alias("endpoint"), first(inner, method, 1).alias("method"),
-            F.array_join(every(inner, "(?s)<p[^>]*>(.*?)</p>"), " ").alias("text"), tables.alias("tables"), F.filter(codes, lambda c: c != "").alias("codes"),
-            every(inner, '(?s)<div class="alert[^"]*"[^>]*>(.*?)</div>').alias("alerts"),
+            F.regexp_extract(p, "^<h([23])", 1).cast("int").alias("level"), F.nullif(strip_tags(F.regexp_extract(p, "(?s)^<h[23][^>]*>(.*?)</h[23]>", 1)), F.lit("")).alias("title"),
+            F.nullif(F.regexp_extract(p, '^<h[23]\\s+id="([^"]*)"', 1), F.lit("")).alias("anchor"), F.when(both, endpoint).alias("endpoint"), F.when(both, method).alias("method"),
+            F.array_join(texts(body, "p"), " ").alias("text"), tables.alias("tables"), F.filter(codes, lambda c: c != "").alias("codes"),
+            texts(body, *RULES["alerts"][0]).alias("alerts"),
         )
 
-    return F.transform(parts, one)
+    return F.transform(whole, one)
 
 
 def html_table(table: Column) -> Column:
-    """struct<headers, rows> of a table's inner HTML."""
-    head = F.regexp_extract(table, "(?s)<thead>(.*?)</thead>", 1)
-    body = F.coalesce(F.nullif(F.regexp_extract(table, "(?s)<tbody>(.*?)</tbody>", 1), F.lit("")), table)
-    cells = lambda h, t: F.transform(F.regexp_extract_all(h, F.lit(f"(?s)<{t}(?: [^>]*)?>(.*?)</{t}>"), F.lit(1)), strip_tags)
-    rows = F.transform(F.regexp_extract_all(body, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1)), lambda r: cells(r, "td"))
-    return F.struct(cells(head, "th").alias("headers"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
+    """struct<headers, rows> of a table's inner HTML; rows are the texts of td cells."""
+    body = F.coalesce(F.try_element_at(inner(table, "tbody"), F.lit(1)), table)
+    rows = F.transform(inner(body, "tr"), lambda r: F.transform(inner(r, "td"), strip_tags))
+    head = F.coalesce(F.try_element_at(inner(table, "thead"), F.lit(1)), F.lit(""))
+    return F.struct(F.transform(inner(head, "th"), strip_tags).alias("headers"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
 
 
 def parameters(html: Column | str, keys: tuple[str, ...]) -> Column:
-    """map of the request parameters that a page's examples show: the first value of each key."""
-    value = lambda k: F.trim(F.regexp_replace(F.trim(F.regexp_extract(col(html), f'"\\Q{k}\\E"\\s*:\\s*("?[^,}}\\n]+"?)', 1)), '^"+|"+$', ""))
-    entries = F.array(*[F.struct(F.lit(k).alias("k"), value(k).alias("v")) for k in keys])
-    return F.map_from_entries(F.filter(entries, lambda e: (e["v"] != "") & ~F.contains(e["v"], F.lit("og-cover"))))
+    """map of the request parameters that a page's examples show: the first value of each key, without the preview image's."""
+    members = F.regexp_extract_all(col(html), F.lit('"([A-Za-z_]\\w*)"\\s*:\\s*("[^"\\n]*"|[^,}\\n]+)'), F.lit(0))
+    entries = F.transform(
+        members,
+        lambda m: F.struct(
+            F.substring_index(F.substring(m, 2, 1 << 20), '"', 1).alias("k"), F.trim(F.regexp_extract(m, '^"[^"]*"\\s*:\\s*"?([^"]*)', 1)).alias("v")
+        ),
+    )
+    wanted = F.filter(entries, lambda e: e["k"].isin(*keys) & (e["v"] != "") & ~F.contains(e["v"], F.lit(PREVIEW_IMAGE)))
+    return F.map_from_entries(F.reverse(last_of_each(F.reverse(wanted))))

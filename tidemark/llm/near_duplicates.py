@@ -436,8 +436,8 @@ def _resolve(docs: DataFrame, n: int, percent: int, subparts: int | None, block:
     first = F.min(F.struct("doc_id", "text_key")).alias("first")
     classes = (
         sets.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-        .groupBy("digest", "node", "n_shingles", "band").agg(first, F.min("own").alias("own"), F.min("following").alias("following"))
-        .select("digest", "node", "n_shingles", "band", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_text"), "own", "following")
+        .groupBy("digest", "node", "n_shingles", "band").agg(first, F.min("own").alias("own"), F.min("following").alias("following"), F.count(F.lit(1)).alias("copies"))
+        .select("digest", "node", "n_shingles", "band", "copies", F.col("first.doc_id").alias("rep"), F.col("first.text_key").alias("rep_text"), "own", "following")
     )
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
@@ -449,14 +449,13 @@ def _resolve(docs: DataFrame, n: int, percent: int, subparts: int | None, block:
     reps = found.join(classes.select(F.col("cid").alias("node"), "rep", "digest"), "node").select("digest", "component", "rep")
     least = reps.groupBy("component").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n"))
     of_class = join_minima(reps.select("digest", "component"), least, "component", "least", "n", found.count()).select("digest", "component", "least")
-    copies = classes.select("digest", F.col("cid").alias("own_cid"), "rep").join(of_class, "digest", "left").select(
-        "digest", F.coalesce("component", "own_cid").alias("component"), F.coalesce("least", "rep").alias("least")
-    )
-    has_id = F.col("doc_id").isNotNull()
-    result = sets.join(copies, "digest", "left").select(
-        "doc_id", "text_key", "n_shingles", F.when(has_id, F.col("component")).alias("component"),
-        F.when(has_id, F.coalesce("least", "doc_id")).alias("component_id"),
+    copies = classes.select("digest", F.col("cid").alias("own_cid"), "rep", "copies").join(of_class, "digest", "left").select(
+        "digest", "copies", F.struct(F.coalesce("component", "own_cid").alias("component"), F.coalesce("least", "rep").alias("least")).alias("of")
     )
+    has = F.col("doc_id").isNotNull() & F.col("digest").isNotNull()
+    matched = join_minima(sets.where(has).select("doc_id", "text_key", "n_shingles", "digest"), copies, "digest", "of", "copies", total[1])
+    alone = sets.where(~has).select("doc_id", "text_key", "n_shingles", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
+    result = matched.select("doc_id", "text_key", "n_shingles", F.col("of.component").alias("component"), F.col("of.least").alias("component_id")).union(alone)
     result = stage(result, "resolved")
     release(docs.sparkSession, began, result)
     return result

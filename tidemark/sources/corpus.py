@@ -11,11 +11,13 @@ from ..functions.text import MAX_FILE_BYTES, classify_path, git_blob_sha, looks_
 def load_corpus(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """path, kind, lang, blob_sha, size, content of the indexed text files below ``root``, in order of path.
 
-    Hidden folders, unknown extensions, lock files, files over ``max_bytes`` and binary ones are left out.
+    The folder .git, unknown extensions, lock files, files over ``max_bytes`` and binary ones are left out. Paths are what stands
+    behind the root as the file system writes it.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    at = F.locate("/" + root.rstrip("/").rsplit("/", 1)[-1] + "/", F.col("path"))
-    relative = F.substring(F.col("path"), at + len(root.rstrip("/").rsplit("/", 1)[-1]) + 2, F.length("path"))
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    stem = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getPath().toString().rstrip("/") + "/"
+    relative = F.substring(F.col("path"), len(stem) + 1, 1 << 20)
     listed = files.where(F.col("length") <= max_bytes).select(relative.alias("path"), "length", "content")
     known = listed.withColumn("c", classify_path("path")).where(F.col("c").isNotNull() & ~F.col("path").rlike("(^|/)\\.git/"))
     return (
@@ -45,8 +47,10 @@ def write_matrix(df: DataFrame, path: str) -> None:
 
 
 def markdown_table(df: DataFrame, limit: int = 1000) -> str:
-    """A report table of a small aggregate: at most ``limit`` rows reach the driver."""
-    rows = df.limit(limit).collect()
+    """A report table of a small aggregate; one of more than ``limit`` rows isn't a report, and is an error."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a report of more than {limit} rows; aggregate it, or give a higher limit")
     cell = lambda v: "" if v is None else f"{v:.1f}" if isinstance(v, float) else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join(map(cell, r)) + " |" for r in rows)]) + "\n"
