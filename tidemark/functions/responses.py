@@ -270,12 +270,11 @@ def tool_stream(stream_text) -> Column:
     places = F.sequence(F.lit(1), F.size(chunks))
     said = F.filter(places, lambda i: F.coalesce(F.try_element_at(chunks, i)["delta"]["content"], F.lit("")) != "")
     called = F.filter(places, lambda i: F.coalesce(F.size(F.try_element_at(chunks, i)["delta"]["tool_calls"]), F.lit(0)) > 0)
-    finishes = F.filter(F.transform(chunks, lambda c: c["finish_reason"]), lambda f: f != "")
     info = stream_info(stream_text)
     arguments = F.try_element_at(F.filter(merged_calls(stream_text), lambda c: c["index"] == 0), F.lit(1))["arguments"]
     order = (
         F.when(F.array_min(said) >= F.array_min(called), "speech_after")
-        .when((F.array_max(said) > F.array_min(called)) | (F.coalesce(F.try_element_at(finishes, F.lit(-1)), F.lit("")) != "tool_calls") & F.lit(False), "both")
+        .when(F.array_max(said) > F.array_min(called), "both")
         .otherwise("speech_before")
     )
     return (

@@ -57,18 +57,19 @@ def apply_prefix(text: Column | str, policy: str, use: str) -> Column:
 
 
 @cache
-def entity_table() -> str:
-    """JSON of the standard library's HTML entities: names (with ; where that belongs to them) and misused code points."""
+def entity_tables() -> tuple[str, str, str]:
+    """JSON of the standard library's HTML entities: names with ;, the old ones without, and misused code points."""
     from html import entities
 
-    windows = {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
-    return json.dumps(dict(entities.html5) | {f"#{c}": t for c, t in windows.items()} | {"#0": "\ufffd", "#13": "\r"})
+    named = [{n: t for n, t in entities.html5.items() if n.endswith(";") is semicolon} for semicolon in (True, False)]
+    points = {str(c): bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)} | {"0": "\ufffd", "13": "\r"}
+    return json.dumps(named[0]), json.dumps(named[1]), json.dumps(points)
 
 
 def unescape(text: Column | str) -> Column:
     """Character references become characters: numbers, names with a semicolon, and the old names without, the longest that
     fits. What isn't one stays."""
-    table = F.from_json(F.lit(entity_table()), "map<string,string>")
+    whole_names, old_names, points = (F.from_json(F.lit(t), "map<string,string>") for t in entity_tables())
     reference = "^&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
 
     def number(name: Column) -> Column:
@@ -76,15 +77,17 @@ def unescape(text: Column | str) -> Column:
         point = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, 2, 1 << 20), 16, 10)).otherwise(digits).cast("decimal(38,0)")
         valid = (point < 0xD800) | point.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD).cast("long")), 8, "0")), "UTF-32")
-        return F.coalesce(F.try_element_at(table, F.concat(F.lit("#"), point.cast("string"))), char)
+        return F.coalesce(F.try_element_at(points, point.cast("string")), char)
 
     def one(piece: Column) -> Column:
         name = F.regexp_extract(piece, reference, 1)
+        behind = F.substring(piece, F.length(name) + 2, F.length(piece))
         shorter = F.transform(F.sequence(F.length(name), F.lit(1), F.lit(-1)), lambda n: F.substring(name, F.lit(1), n))
-        known = F.try_element_at(F.filter(shorter, lambda n: F.map_contains_key(table, n)), F.lit(1))
-        named = F.concat(F.try_element_at(table, known), F.substring(piece, F.length(known) + 2, F.length(piece)))
-        numbered = F.concat(number(name), F.substring(piece, F.length(name) + 2, F.length(piece)))
-        return F.when(name == "", piece).when(name.startswith("#"), numbered).otherwise(F.coalesce(named, piece))
+        old = F.try_element_at(F.filter(shorter, lambda n: F.map_contains_key(old_names, n)), F.lit(1))
+        named = F.coalesce(
+            F.concat(F.try_element_at(whole_names, name), behind), F.concat(F.try_element_at(old_names, old), F.substring(piece, F.length(old) + 2, F.length(piece)))
+        )
+        return F.when(name == "", piece).when(name.startswith("#"), F.concat(number(name), behind)).otherwise(F.coalesce(named, piece))
 
     whole = col(text)
     return F.when(F.contains(whole, F.lit("&")), F.array_join(F.transform(F.split(whole, "(?=&)"), one), "")).otherwise(whole)
