@@ -119,3 +119,42 @@ def test_streams(spark, tmp_path):
     files = spark.readStream.text(f"{tmp_path}/log")
     latency.ingest_available(files, f"{tmp_path}/ck", lambda df, i: batches.append(df.where(F.length("value") > 0).count()))
     assert batches == [5]
+
+
+def count_letters(texts):
+    assert not any("nothing new" in t for t in texts)
+    return [[1.0 + t.count("a"), 1.0 + t.count("e")] for t in texts]
+
+
+def test_vectors_of_a_profile(spark, tmp_path):
+    store = generations.Store(spark, f"file://{tmp_path}/s", generations.Profile("letters", 2, gate=0.5))
+    files = {"a.md": "banana and arena", "b.md": "tree where the bee", "c.md": "one more text"}
+    store.sync(live(spark, files), "r", "h1", call=count_letters)
+    vectors = {r.path: list(r.embedding) for r in store.rows().collect()}
+    assert vectors["a.md"][0] > vectors["a.md"][1] and all(len(v) == 2 for v in vectors.values())
+    # The second time only the changed file is embedded: the others' vectors are copied, or found by their contents.
+    store.sync(live(spark, files | {"c.md": "another text", "d.md": files["a.md"]}), "r", "h2", call=count_letters)
+    again = {r.path: list(r.embedding) for r in store.rows().collect()}
+    assert again["a.md"] == vectors["a.md"] and again["d.md"] is not None and len(again) == 4
+    with pytest.raises(Exception):  # a vector too short: the task fails, and nothing is published
+        store.sync(live(spark, {"x.md": "other"}), "r", "h3", call=lambda texts: [[1.0]] * len(texts))
+    assert store.manifest()["published"] == 2
+    queries = spark.createDataFrame([(1, [1.0, 9.0], ["bee"]), (2, [9.0, 1.0], ["banana"])], "qid int, qvec array<float>, terms array<string>")
+    hits = {(r.qid, r.pos): r.path for r in store.search(queries).collect()}
+    assert hits[1, 1] == "b.md" and {hits[2, 1], hits[2, 2]} == {"a.md", "d.md"}  # copies of one text
+    with pytest.raises(ValueError):
+        generations.Store(spark, f"file://{tmp_path}/t").sync(live(spark, files), "r", call=count_letters)
+    # Another profile has a table of its own; the first one's stays.
+    other = generations.Store(spark, f"file://{tmp_path}/s", generations.Profile("other", 2))
+    assert other.manifest()["published"] == 0 and other.rows().count() == 0 and store.rows().count() == 4
+
+
+def test_sections(spark):
+    from tidemark.operators import sections
+
+    rows = spark.createDataFrame([(1, 1, "x"), (1, 2, "# a"), (1, 3, "y"), (1, 4, "# b"), (2, 1, None), (2, 2, "z")], "doc int, line int, t string")
+    mark = F.coalesce(F.col("t").startswith("#"), F.lit(False))
+    carried = sections.carry_forward(rows, "doc", "line", mark, F.col("t"), "heading").orderBy("doc", "line")
+    assert [r.heading for r in carried.collect()] == [None, "# a", "# a", "# b", None, None]
+    assert [r.fenced for r in sections.inside_fence(rows, "doc", "line", mark).orderBy("doc", "line").collect()] == [False, True, True, False, False, False]
+    assert sorted(map(tuple, sections.slices(rows, "doc", "line", mark).collect())) == [(1, 2, 4), (1, 4, 5)]

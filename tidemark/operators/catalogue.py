@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col, redact
+from ..functions.text import col, family, redact
 
 #: Modalities by the word behind the inventory's prefix (fixed values).
 MODALITIES = {"embed-": "embedding", "image-": "image", "tts-": "tts", "asr-": "asr"}
@@ -46,6 +46,18 @@ def chat_models(inventory: DataFrame, hints: tuple[str, ...] = NOT_CHAT) -> Data
     return inventory.where(~F.lower("id").rlike("|".join(hints))).orderBy("id")
 
 
+def in_families(inventory: DataFrame, families: tuple[str, ...]) -> DataFrame:
+    """The groups of some families; none named are all."""
+    return inventory.where(family("group").isin(*families)) if families else inventory
+
+
+def representatives(inventory: DataFrame, wanted: tuple[str, ...]) -> DataFrame:
+    """place, group, modality: of each wanted modality the first group (``ordinal``), in the order of ``wanted``."""
+    place = F.coalesce(*[F.when(F.col("modality") == name, F.lit(i)) for i, name in enumerate(wanted)])
+    first = inventory.withColumn("place", place).where("place IS NOT NULL").groupBy("place").agg(F.min_by(F.struct("group", "modality"), "ordinal").alias("f"))
+    return first.select("place", "f.group", "f.modality").orderBy("place")
+
+
 def enrich(models: DataFrame, modalities: DataFrame, slugs: DataFrame, pages: DataFrame) -> DataFrame:
     """One row for each id that any source has: models (id, owned_by, pricing), modalities (id, modality), slugs (id), pages (id, ..)."""
     ids = models.select("id").union(modalities.select("id")).union(slugs.select("id")).union(pages.select("id")).distinct()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import responses as rs
 from ..functions import text as tx
 from ..functions import web
 from ..operators import catalogue as op
+from ..operators import sections
+from ..operators.chunking import chunk_files
 from .fixtures import CHUNKS_SQL, chunks, table
 
 
@@ -172,24 +173,18 @@ def needle_positions(spark, d):
 def carry_forward_heading(spark, d):
     """Conversations as documents: each system or user turn is a heading, which the turns below it carry."""
     c = table(spark, d, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    heading = F.last(F.when(F.col("role") != "assistant", F.substring("text", 1, 40)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return c.select("conv_id", "turn", heading.alias("heading"))
+    return sections.carry_forward(c, "conv_id", "turn", F.col("role") != "assistant", F.substring("text", 1, 40), "heading").select("conv_id", "turn", "heading")
 
 
 def fence_state(spark, d):
     """Whether a turn is inside of a fence that user turns open and close."""
     c = table(spark, d, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return c.select("conv_id", "turn", (F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w) % 2 == 1).alias("fenced"))
+    return sections.inside_fence(c, "conv_id", "turn", F.col("role") == "user").select("conv_id", "turn", "fenced")
 
 
 def section_slices(spark, d):
     """Sections run from a user turn to the turn before the next."""
-    c = table(spark, d, "conversations")
-    last = c.groupBy("conv_id").agg(F.max("turn").alias("last"))
-    marks = c.where("role = 'user'").withColumn("next", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
-    return marks.join(last, "conv_id").select("conv_id", F.col("turn").alias("start"), F.coalesce("next", F.col("last") + 1).alias("end"))
+    return sections.slices(table(spark, d, "conversations"), "conv_id", "turn", F.col("role") == "user")
 
 
 def streams(spark, d):
@@ -221,20 +216,41 @@ def chat_verdicts(spark, d):
 
 
 def kind_counts(spark, d):
-    return chunks(spark, d).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(tx.tokens("content"))).alias("tokens"))
+    return sections.sizes(chunks(spark, d), "kind")
 
 
 def fixed_windows(spark, d):
-    """Windows of 1,600 characters of texts without line ends."""
-    t = F.regexp_replace("text", "\n", " ")
-    n = F.greatest(F.lit(1), F.ceil(F.length(t) / 1600)).cast("int")
-    w = table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", t.alias("t"), F.posexplode(F.sequence(F.lit(0), n - 1)).alias("pos", "i"))
-    return w.select("doc_id", "pos", F.md5(F.encode(F.substring(F.col("t"), F.col("i") * 1600 + 1, F.lit(1600)), "UTF-8")).alias("digest"))
+    """Windows of 1,600 characters of texts without line ends: files of code in no known language."""
+    documents = table(spark, d, "documents").where(F.length("text") > 0)
+    files = documents.select(F.col("doc_id").cast("string").alias("path"), F.lit("code").alias("kind"), F.lit(None).cast("string").alias("lang"), F.regexp_replace("text", "\n", " ").alias("content"))
+    return chunk_files(files).select(F.col("path").cast("long").alias("doc_id"), F.col("ordinal").alias("pos"), F.md5(F.encode("content", "UTF-8")).alias("digest"))
+
+
+def chat_ids(spark, d):
+    k = F.col("s_suppkey")
+    names = F.array(*[F.lit(x) for x in ("text-embed-", "Wan-", "glm-", "seedream-", "qwen-", "OCR-")])
+    return op.chat_models(table(spark, d, "supplier").select(F.concat(F.element_at(names, (k % 6 + 1).cast("int")), k.cast("string")).alias("id")))
+
+
+def model_policies(spark, d):
+    i = inventory(spark, d)
+    return i.select(
+        "ordinal", tx.is_reasoning_model("group", ("m3", "m5")).alias("reasons"), tx.can_switch_off("group", ("m1",)).alias("can_switch"), tx.with_default("group", {"m7": "large"}, "small").alias("size")
+    )
+
+
+def family_representatives(spark, d):
+    return op.representatives(op.in_families(inventory(spark, d), ("m", "m-fast")), ("image", "tts", "chat-fast", "chat"))
+
+
+def inventory_only(spark, d):
+    return op.match_inventory(inventory(spark, d), models(spark, d), only_inventory=True)
 
 
 _NAMES = """divergence_pairs divergence_counts conformance_pivot sweep_summary base_fast_pairs ghost_models match_inventory enrich_full_outer matrix_update most_common_tests
 coverage_counts result_counts log_records model_list_parse page_titles page_text redacted signed_urls available_names envelope_classes task_prefix content_hash classify_paths
-retry_delays safe_names needle_positions carry_forward_heading fence_state section_slices stream_assembly stream_verdicts chat_verdicts kind_counts fixed_windows""".split()
+retry_delays safe_names needle_positions carry_forward_heading fence_state section_slices stream_assembly stream_verdicts chat_verdicts kind_counts fixed_windows
+chat_ids model_policies family_representatives inventory_only""".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 
 _R = """r AS (SELECT 'g' || (user_id % 40) AS "group", event_type AS test, CASE WHEN event_id % 2 = 0 THEN 'gateway' ELSE 'proxy' END AS target, value < 50 AS passed, event_id % 13 = 0 AS skipped,
@@ -304,4 +320,8 @@ ORACLE_SQL = {
     "kind_counts": f"WITH {CHUNKS_SQL} SELECT kind, count(*) AS n, sum(len(list_filter(string_split_regex(lower(content), '[^\\p{{L}}\\p{{N}}_]+'), lambda t: t <> '')))::BIGINT AS tokens FROM chunks GROUP BY kind",
     "fixed_windows": """SELECT doc_id, i::INT AS pos, md5(substr(t, i * 1600 + 1, 1600)) AS digest FROM (SELECT doc_id, replace(text, chr(10), ' ') AS t, unnest(range(greatest(1, ceil(length(text) / 1600))::INT)) AS i
         FROM documents WHERE length(text) > 0)""",
+    "chat_ids": "SELECT ['text-embed-', 'Wan-', 'glm-', 'seedream-', 'qwen-', 'OCR-'][s_suppkey % 6 + 1] || s_suppkey AS id FROM supplier WHERE s_suppkey % 6 IN (2, 4)",
+    "model_policies": f"""WITH {_I} SELECT ordinal, regexp_replace("group", '-fast$', '') NOT IN ('m3', 'm5') AS reasons, NOT starts_with("group", 'm1') AS can_switch, CASE WHEN "group" = 'm7' THEN 'large' ELSE 'small' END AS size FROM i""",
+    "family_representatives": f"""WITH {_I} SELECT CASE modality WHEN 'image' THEN 0 WHEN 'chat-fast' THEN 2 ELSE 3 END AS place, arg_min("group", ordinal) AS "group", modality FROM i GROUP BY modality""",
+    "inventory_only": f"WITH {_I}, {_MATCH} SELECT x.* FROM x SEMI JOIN f USING (id)",
 }

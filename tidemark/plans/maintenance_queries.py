@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import maintenance as op
+from ..sources.generations import Profile, Store, verify
+from ..staging import new_path
 from .fixtures import table
 
 
@@ -119,10 +121,35 @@ def secret_gate(spark, d):
     return op.secret_findings(table(spark, d, "documents")).select("doc_id", "rule")
 
 
+def letters(texts):
+    """A stand-in for an embedder: how often each of four letters occurs."""
+    return [[1.0 + t.count(x) for x in "aeio"] for t in texts]
+
+
+def store_sync(spark, d):
+    """step, what, n: two syncs of a store on disk, the second after texts were changed, added and removed. Every file is cut
+    into chunks, every new chunk embedded; structural checks that fail are counted, and whether the store shows the head."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("k"), F.regexp_replace("text", "\n", " ").alias("content"), "lang")
+    edited = docs.where("k % 11 > 0").withColumn("content", F.when(F.col("k") % 7 == 0, F.concat("content", F.lit(" changed"))).otherwise(F.col("content")))
+    store, found = Store(spark, new_path(spark, "store"), Profile("letters", 4)), []
+    for step, tree in enumerate((docs.where("k % 5 > 0"), edited), 1):
+        files = tree.select(
+            F.concat_ws("/", F.lit("docs"), "lang", F.col("k").cast("string")).alias("path"), F.lit("code").alias("kind"), F.lit(None).cast("string").alias("lang"),
+            tx.git_blob_sha(F.encode("content", "UTF-8")).alias("blob_sha"), "content",
+        )
+        counts = store.sync(files, "r", head=f"h{step}", gate=False, call=letters)
+        found += [(step, what, counts.get(what, 0)) for what in ("new", "changed", "unchanged", "removed", "chunks")]
+        found.append((step, "vectors", store.rows().where("size(embedding) = 4").count()))
+        found.append((step, "failed checks", sum(not passed for passed, _ in verify(store))))
+        found.append((step, "generations", len(store.generations())))
+        found.append((step, "stale", int(store.staleness(f"h{step}") is not None) + int(store.staleness("other") is not None)))
+    return spark.createDataFrame(found, "step int, what string, n long")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        sync_plan, sync_plan_counts, sync_remaining, sync_upsert, sync_upsert_counts, sync_delete_stale, sync_delete_removed, sync_copy_forward, sync_parity,
+        store_sync, sync_plan, sync_plan_counts, sync_remaining, sync_upsert, sync_upsert_counts, sync_delete_stale, sync_delete_removed, sync_copy_forward, sync_parity,
         sync_only_live, sync_gc, latest_file_hash, generation_files, chunk_counts, log_rotation, log_kept_whole, migration_gaps, secret_gate,
     )
 }
@@ -167,4 +194,13 @@ ORACLE_SQL = {
     "secret_gate": "SELECT doc_id, rule FROM documents, (VALUES "
     + ", ".join(f"('{n}', '{p}')" for n, p in op.SECRET_RULES.items())
     + ") r(rule, pattern) WHERE regexp_matches(text, pattern)",
+    "store_sync": """WITH c AS (SELECT doc_id AS k, replace(text, chr(10), ' ') AS t FROM documents),
+        e AS (SELECT 1 AS step, k, t FROM c WHERE k % 5 > 0 UNION ALL SELECT 2, k, CASE WHEN k % 7 = 0 THEN t || ' changed' ELSE t END FROM c WHERE k % 11 > 0),
+        w AS (SELECT step, k, t, unnest(range(ceil(length(t) / 1600)::INT)) AS i FROM e WHERE trim(t) <> ''),
+        n AS (SELECT step, count(DISTINCT (k, substr(t, i * 1600 + 1, 1600))) AS n FROM w GROUP BY step),
+        f AS (SELECT count_if(k % 5 > 0) AS new1, count_if(k % 5 = 0 AND k % 11 > 0) AS new2, count_if(k % 5 > 0 AND k % 11 > 0 AND k % 7 = 0) AS changed2,
+          count_if(k % 5 > 0 AND k % 11 > 0 AND k % 7 > 0) AS unchanged2, count_if(k % 5 > 0 AND k % 11 = 0) AS removed2 FROM c)
+        SELECT v.step, v.what, v.n::BIGINT AS n FROM f, LATERAL (VALUES (1, 'new', new1), (1, 'changed', 0), (1, 'unchanged', 0), (1, 'removed', 0), (2, 'new', new2), (2, 'changed', changed2),
+          (2, 'unchanged', unchanged2), (2, 'removed', removed2)) v(step, what, n) UNION ALL SELECT step, what, n FROM n, (VALUES ('chunks'), ('vectors')) x(what)
+        UNION ALL SELECT step, what, m FROM (VALUES (1), (2)) s(step), (VALUES ('failed checks', 0), ('generations', 1), ('stale', 1)) x(what, m)""",
 }

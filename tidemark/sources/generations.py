@@ -1,6 +1,7 @@
 """A chunk table on disk in generations, with a small manifest that publishes one of them.
 
-``<root>/chunks/gen=<n>/`` holds the rows of a generation, ``<root>/manifest.json`` what is published. Files are reached by
+``<root>/chunks/gen=<n>/`` holds the rows of a generation, ``<root>/manifest.json`` what is published; a profile (a vector
+space) has a table and a manifest of its own, named after it, and its rows have vectors. Files are reached by
 Hadoop's file system, so the root may lie wherever Spark reads. The manifest is written beside and renamed into place;
 readers see the published generation until then. One writer at a time holds ``<root>/lock``.
 """
@@ -17,12 +18,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import content_hash
+from ..functions.text import apply_prefix, content_hash
 from ..operators import maintenance
 from ..operators.chunking import chunk_files
+from ..operators.embedding import embed, only_new
+from ..operators.search import search
 
 SLUG = re.compile(r"^[a-z][a-z0-9_]{1,31}$")
-ROW_SCHEMA = "repo string, path string, kind string, lang string, ordinal int, symbol string, content string, content_hash string, file_hash string"
+ROW_SCHEMA = "repo string, path string, kind string, lang string, ordinal int, symbol string, content string, content_hash string, file_hash string, embedding array<float>"
 
 
 @dataclass(frozen=True)
@@ -53,8 +56,10 @@ class SecretFound(RuntimeError):
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, profile: Profile | None = None):
+        self.spark, self.root, self.profile = spark, root.rstrip("/"), profile
+        suffix = f"_{profile.slug}" if profile else ""
+        self.table, self.manifest_at = f"{self.root}/chunks{suffix}", f"{self.root}/manifest{suffix}.json"
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self.fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -62,7 +67,7 @@ class Store:
     # ---- manifest ----
 
     def manifest(self) -> dict:
-        at = self._path(f"{self.root}/manifest.json")
+        at = self._path(self.manifest_at)
         if not self.fs.exists(at):
             return {"published": 0, "in_progress": None, "head": None, "dirty": False, "schema_version": 1, "profile": None}
         stream = self.fs.open(at)
@@ -80,7 +85,7 @@ class Store:
         rename = getattr(self.spark._jvm, "org.apache.hadoop.fs.Options$Rename")
         options = self.spark.sparkContext._gateway.new_array(rename, 1)
         options[0] = rename.OVERWRITE
-        context.rename(new, self._path(f"{self.root}/manifest.json"), options)
+        context.rename(new, self._path(self.manifest_at), options)
 
     def set_profile(self, profile: Profile) -> None:
         """Make a profile the published one; refused while nothing is published."""
@@ -106,7 +111,7 @@ class Store:
     # ---- rows ----
 
     def _folder(self, gen: int) -> str:
-        return f"{self.root}/chunks/gen={gen}"
+        return f"{self.table}/gen={gen}"
 
     def rows(self, gen: int | None = None) -> DataFrame:
         """The rows of a generation (the published one by default), with its number."""
@@ -119,7 +124,7 @@ class Store:
         return self.rows(gen).count()
 
     def generations(self) -> list[int]:
-        at = self._path(f"{self.root}/chunks")
+        at = self._path(self.table)
         if not self.fs.exists(at):
             return []
         return sorted(int(s.getPath().getName().removeprefix("gen=")) for s in self.fs.listStatus(at))
@@ -148,13 +153,16 @@ class Store:
         return maintenance.sync_plan(corpus, self.rows().select("path", "file_hash").distinct())
 
     def sync(self, corpus: DataFrame, repo: str, head: str | None = None, dirty: bool = False, batch: Callable[[DataFrame], list[DataFrame]] | None = None,
-             gate: bool = True) -> dict:
+             gate: bool = True, call: Callable[[list[str]], list[list[float]]] | None = None) -> dict:
         """Bring the index to ``corpus`` (path, kind, lang, blob_sha, content): a new generation, published when it is whole.
 
         Unchanged files are copied forward, others chunked in the batches that ``batch`` deals them to. Each batch is one
         append, so a run that was broken off goes on behind the last; what an older attempt left of files that have changed
-        since is not published.
+        since is not published. ``call`` embeds texts for the store's profile; a content that the published generation has a
+        vector of isn't embedded again.
         """
+        if call is not None and self.profile is None:
+            raise ValueError("vectors need a profile")
         if gate:
             found = maintenance.secret_findings(corpus, "content").select("path", "rule").limit(20).collect()
             if found:
@@ -169,7 +177,7 @@ class Store:
             self._append(maintenance.copy_forward(both, old, new, unchanged), new)
             todo = maintenance.remaining(plan, corpus, self.rows(new).select("path", "file_hash"))
             for part in batch(todo) if batch else [todo]:
-                self._append(self._chunked(part, repo, new), new)
+                self._append(self._embedded(self._chunked(part, repo, new), old, call), new)
             self._drop_dead(new, corpus)
             gaps = maintenance.parity_gaps(self.rows(old).unionByName(self.rows(new)), old, new, unchanged)
             if not gaps.isEmpty():
@@ -184,6 +192,20 @@ class Store:
         rows = chunk_files(files).join(hashes, "path").withColumns({"repo": F.lit(repo), "content_hash": content_hash("content"), "gen": F.lit(gen)})
         return maintenance.first_rows(rows)
 
+    def _embedded(self, rows: DataFrame, old: int, call: Callable[[list[str]], list[list[float]]] | None) -> DataFrame:
+        """``rows`` with their vectors: those of equal contents in the generation ``old``, else what ``call`` gives; null without it."""
+        if call is None:
+            return rows.withColumn("embedding", F.lit(None).cast("array<float>"))
+        known = self.rows(old).where("embedding IS NOT NULL").select("content_hash", "embedding").dropDuplicates(["content_hash"])
+        new = only_new(rows, known).withColumn("__asked", apply_prefix("content", self.profile.prefix_policy, "doc"))
+        made = embed(new, call, self.profile.dim, "__asked", self.profile.batch_size).drop("__asked")
+        return rows.join(known, "content_hash").unionByName(made)
+
+    def search(self, queries: DataFrame, **options) -> DataFrame:
+        """Hybrid search (:func:`tidemark.operators.search.search`) of the published generation, with the profile's gate."""
+        chunks = self.rows().withColumn("id", F.xxhash64("repo", "path", "content_hash"))
+        return search(chunks, queries, **({"gate": self.profile.gate if self.profile else None} | options))
+
     def _append(self, rows: DataFrame, gen: int) -> None:
         names = [f.split()[0] for f in ROW_SCHEMA.split(", ")]
         rows.select(*names).write.mode("append").parquet(self._folder(gen))
