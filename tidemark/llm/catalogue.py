@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import additive_search, bpe, language_id, mixing, near_duplicates, sharding, substring_dedup, telephony, token_counts, token_files
+from . import additive_search, bpe, language_id, mixing, near_duplicates, quality_rules, sharding, substring_dedup, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -53,6 +53,11 @@ def op10_byte_shards(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op13_quality_rules(spark, sf_dir):
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept")
+
+
 QUERIES = {
     "op1_telephony_audio": op1_telephony_audio,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -64,6 +69,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_byte_shards": op10_byte_shards,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -71,4 +77,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_jaccard_components": near_duplicates.components_sql(3, 90),
     "op7_source_mix": mixing.calibrate_sql(),
     "op10_byte_shards": sharding.shards_sql(40),
+    "op13_quality_rules": quality_rules.rules_sql(),
 }
