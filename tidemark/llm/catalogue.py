@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import additive_search, bpe, language_id, mixing, near_duplicates, quality_rules, sharding, substring_dedup, telephony, token_counts, token_files
+from . import additive_search, bpe, hard_negatives, language_id, mixing, near_duplicates, quality_rules, sharding, substring_dedup, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -53,6 +53,10 @@ def op10_byte_shards(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op13_quality_rules(spark, sf_dir):
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept")
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_language_id": op9_language_id,
     "op10_byte_shards": op10_byte_shards,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_quality_rules": op13_quality_rules,
 }
 
@@ -77,5 +82,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_jaccard_components": near_duplicates.components_sql(3, 90),
     "op7_source_mix": mixing.calibrate_sql(),
     "op10_byte_shards": sharding.shards_sql(40),
+    "op11_hard_negatives": hard_negatives.exact_sql(),
     "op13_quality_rules": quality_rules.rules_sql(),
 }
