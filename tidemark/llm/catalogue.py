@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import additive_search, bpe, hard_negatives, language_id, mixing, near_duplicates, quality_rules, sharding, substring_dedup, telephony, token_counts, token_files
+from . import additive_search, bpe, hard_negatives, language_id, mixing, near_duplicates, prefix_trie, quality_rules, sharding, substring_dedup, telephony, token_counts, token_files
 from .rows import table
 
 
@@ -57,6 +57,10 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_quality_rules(spark, sf_dir):
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.BASE_MEASURES, "base_failed", "kept")
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_byte_shards": op10_byte_shards,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_quality_rules": op13_quality_rules,
 }
 
@@ -83,5 +88,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_source_mix": mixing.calibrate_sql(),
     "op10_byte_shards": sharding.shards_sql(40),
     "op11_hard_negatives": hard_negatives.exact_sql(),
+    "op12_prefix_trie": prefix_trie.trie_sql(),
     "op13_quality_rules": quality_rules.rules_sql(),
 }
