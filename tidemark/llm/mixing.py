@@ -13,7 +13,7 @@ weight, and the scale is the one at which the kept tokens are that many.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import mark, release, stage
@@ -23,6 +23,8 @@ MARGINS = ("source", "lang", "topic")
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 #: Sweeps end when all scales of one are this near to 1, or after so many.
 TOLERANCE, SWEEPS, CAPPED_SWEEPS = 0.01, 20, 3
+#: Sweeps of one Spark job. Sums are windows over the cells of a value: cells are few beside the rows they stand for.
+SWEEPS_A_JOB = 3
 #: The share of the tokens that the pipeline keeps at least.
 KEEP = 0.2
 NONE = "(none)"
@@ -74,28 +76,36 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     """``cells`` (margins, base) with ``weight`` (base fitted to the targets, the last margin exactly), ``sweeps`` (how many it
     took) and ``residual`` (the most by which a scale of the last of them differed from 1).
 
-    A value without a target keeps its weight. The cells are written to the shared folder after each margin. ``capped`` starts
-    from the cells' own weight and holds it to their base; what a cell lacks goes to the others of its values in the later sweeps.
+    A value without a target keeps its weight. A job does SWEEPS_A_JOB sweeps over all margins and writes the cells to the shared
+    folder with the weights after each of them; the first sweep within the tolerance counts. ``capped`` starts from the cells'
+    own weight and holds it to their base; what a cell lacks goes to the others of its values in the later sweeps.
     """
     fitted, columns = (cells if capped else cells.withColumn("weight", F.col("base"))), [f"__to_{m}" for m in targets]
     for m, target in targets.items():
         fitted = fitted.join(target.withColumnRenamed("target", f"__to_{m}"), m, "left")
-    fitted, kept = stage(fitted.withColumn("__gap", F.lit(0.0)), "raked"), [c for c in fitted.columns if c not in (*columns, "weight", "__gap")]
-    done, residual = 0, None
+    kept = [c for c in fitted.columns if c not in (*columns, "weight")]
+    fitted, done, residual = stage(fitted, "raked"), 0, None
     while done < sweeps and (residual is None or residual > tolerance):
-        gap = F.lit(0.0)
-        for m in targets:
-            now = fitted.groupBy(m).agg(F.sum("weight").alias("__now"))
-            scale = F.coalesce(F.try_divide(f"__to_{m}", "__now"), F.lit(1.0))
-            scaled = F.col("weight") * scale
-            weight = F.least("base", scaled) if capped else scaled
-            gap = F.greatest(gap, F.abs(scale - 1))
-            fitted = stage(fitted.join(now, m).select(*kept, *columns, weight.alias("weight"), gap.alias("__gap")), "raked")
-            gap = F.col("__gap")
-        done += 1
-        residual = fitted.agg(F.max("__gap")).first()[0]
-        if residual is None:
+        several = range(1, min(SWEEPS_A_JOB, sweeps - done) + 1)
+        for i in several:
+            gap = F.lit(0.0)
+            for m in targets:
+                now = F.sum("weight").over(Window.partitionBy(m))
+                fitted = fitted.withColumn("__scale", F.coalesce(F.try_divide(F.col(f"__to_{m}"), now), F.lit(1.0)))
+                scaled = F.col("weight") * F.col("__scale")
+                fitted = fitted.withColumn("weight", F.least("base", scaled) if capped else scaled)
+                gap = F.greatest(gap, F.abs(F.col("__scale") - 1))
+                fitted = fitted.withColumn(f"__gap_{i}", gap).drop("__scale")
+                gap = F.col(f"__gap_{i}")
+            fitted = fitted.withColumn(f"__weight_{i}", F.col("weight"))
+        fitted = stage(fitted, "raked")
+        gaps = fitted.agg(*[F.max(f"__gap_{i}") for i in several]).first()
+        if gaps[0] is None:
+            done, residual = done + 1, None
             break
+        last = next((i for i in several if gaps[i - 1] <= tolerance), several[-1])
+        done, residual = done + last, gaps[last - 1]
+        fitted = fitted.select(*kept, *columns, F.col(f"__weight_{last}").alias("weight"))
     return fitted.select(*kept, "weight").withColumns({"sweeps": F.lit(done), "residual": F.lit(residual).cast("double")})
 
 
