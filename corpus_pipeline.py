@@ -22,15 +22,17 @@ LEAST_SCORE, LONG_SCORE, FEW, MANY = 0.02, 0.15, 40, 100
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter and a language: rejected are nulls, texts without letters, and scores below what their length asks for.
 
-    A document without an id can't be joined to its prediction and stays. Repeated rows stay or go together. The rejected
-    ids are written first, so that Spark knows their size and needn't shuffle the texts when they are few.
+    The prediction is of the text alone, so it is made and joined by a 64-bit hash of the text: of several texts under one id
+    each stays or goes by itself, repeated rows stay or go together, and a null id makes no difference. The rejected hashes
+    are written first, so that Spark knows their size and needn't shuffle the texts when they are few.
     """
-    predicted = language_id.identify(docs, language_id.learn_prototypes(docs))
+    of_text = F.xxhash64(F.coalesce("text", F.lit("")))
+    predicted = language_id.identify(docs.select(of_text.alias("doc_id"), "text"), language_id.learn_prototypes(docs))
     long = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("trigrams") - FEW) / (MANY - FEW)))
     least = LEAST_SCORE + (LONG_SCORE - LEAST_SCORE) * long
     rejected = predicted.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < least))
     rejected = stage(rejected.select(F.col("doc_id").alias("__rejected")).distinct(), "rejected")
-    return docs.join(rejected, F.col("doc_id") == F.col("__rejected"), "left_anti")
+    return docs.join(rejected, of_text == F.col("__rejected"), "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
