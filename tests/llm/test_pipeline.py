@@ -70,6 +70,14 @@ def test_clean_documents_stay_in_the_language_stage(spark):
     assert corpus_pipeline.language_stage(spark, docs, "").count() == docs.count()
 
 
+def test_of_two_texts_under_one_id_each_is_judged_by_itself(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    clean = docs.where("lang = 'en' AND length(text) > 500").select("text").first()[0]
+    rows = [(10**6, clean, None, "a", 1), (10**6, "12 34 56", None, "a", 2), (None, clean + " more", None, "a", 3), (None, "77 88", None, "a", 4), (10**6 + 1, None, None, "a", 5)]
+    left = corpus_pipeline.language_stage(spark, docs.unionByName(spark.createDataFrame(rows, SCHEMA)), "")
+    assert sorted(r.n_chars for r in left.where(f"doc_id IS NULL OR doc_id >= {10**6}").collect()) == [1, 3]
+
+
 def test_gibberish_and_unlearnt_languages_go(spark):
     pick = random.Random(7)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
