@@ -207,12 +207,15 @@ def final_order(fused: DataFrame, k: int = FINAL_K) -> DataFrame:
 
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int = DEPTH, rrf_k: int = RRF_K, gate: float | None = None,
-           weights: tuple[float, float] = (1.0, 1.0), stemmed: DataFrame | None = None, stemmed_weight: float = STEMMED_WEIGHT) -> DataFrame:
-    """Hybrid search of many queries (qid, qvec, terms). The stemmed list is joined in only where its weight isn't 0."""
-    lists = [
-        in_blocks(lambda block: dense_topk(chunks, block, depth).select("qid", "id", "rank", "dist"), queries),
-        in_blocks(lambda block: lexical_topk(chunks, block, depth).select("qid", "id", "rank"), queries),
-    ]
+           weights: tuple[float, float] = (1.0, 1.0), stemmed: DataFrame | None = None, stemmed_weight: float = STEMMED_WEIGHT,
+           dense: Callable[[DataFrame, int], DataFrame] | None = None, lexical: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+    """Hybrid search of many queries (qid, qvec, terms). The stemmed list is joined in only where its weight isn't 0.
+
+    ``dense`` and ``lexical`` give the lists of (queries, depth) from an index (cells, postings) of the same chunks.
+    """
+    dense = dense or (lambda all, n: in_blocks(lambda block: dense_topk(chunks, block, n).select("qid", "id", "rank", "dist"), all))
+    lexical = lexical or (lambda all, n: in_blocks(lambda block: lexical_topk(chunks, block, n).select("qid", "id", "rank"), all))
+    lists = [dense(queries, depth).select("qid", "id", "rank", "dist"), lexical(queries, depth).select("qid", "id", "rank")]
     used = list(weights)
     if stemmed is not None and stemmed_weight:
         lists.append(stemmed)

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import search as op
+from ..operators.vector_cells import VectorCells, recall
+from ..sources.postings import Postings, write_segment
+from ..staging import new_path
 from .fixtures import (
     CHUNKS_SQL, COSINE_SQL, DENSE_SQL, LEXICAL_SQL, QUERIES_SQL, SEARCH_SQL, TOKENS_SQL, chunks, fused_sql, hits_sql, search_queries, table,
 )
@@ -105,11 +108,51 @@ def fp16_round_trip(spark, d):
     return v.select("vec_id", F.size("embedding").alias("dim"), "dist", (F.col("dist") <= 1e-3).alias("ok"))
 
 
+def dense_cells_exact(spark, d):
+    """The dense lists from vectors stored by cell, all cells probed."""
+    cells = VectorCells.write(chunks(spark, d).select("id", "embedding"), new_path(spark, "cells"))
+    return cells.topk(search_queries(spark, d)).select("qid", "id", F.col("rank").cast("int").alias("rank"), "dist")
+
+
+def dense_cells_recall(spark, d):
+    """n, wanted, reached: with as many probed cells as 0.9 takes on these queries, whether that share of the ten nearest is found."""
+    c, q = chunks(spark, d).select("id", "embedding"), search_queries(spark, d)
+    cells = VectorCells.write(c, new_path(spark, "cells"))
+    exact = op.in_blocks(lambda block: op.dense_topk(c, block, 10), q)
+    per_query = recall(cells.topk(q, 10, cells.probes_for(q, 0.9, 10)), exact)
+    sums = per_query.agg(F.count(F.lit(1)).alias("n"), F.sum("wanted").alias("wanted"), F.sum("got").alias("got"))
+    return sums.select("n", "wanted", (F.col("got") >= 0.9 * F.col("wanted")).alias("reached"))
+
+
+def _stored(spark, d):
+    folder = new_path(spark, "postings")
+    write_segment(chunks(spark, d).select("id", "content"), folder)
+    return Postings(spark, [folder])
+
+
+def lexical_stored(spark, d):
+    """The lexical lists from a stored positional index."""
+    return _stored(spark, d).topk(search_queries(spark, d)).select("qid", "id", F.col("rank").cast("int").alias("rank"), "bm25")
+
+
+def websearch_stored(spark, d):
+    found = _stored(spark, d).match(op.parse_websearch('the OR une "of the" -loser'))
+    return chunks(spark, d).join(found, "id").select("id", "path")
+
+
+def hybrid_search_indexed(spark, d):
+    """The flagship's rows from both indexes."""
+    c = chunks(spark, d)
+    cells = VectorCells.write(c.select("id", "embedding"), new_path(spark, "cells"))
+    return shown(op.search(c, search_queries(spark, d), dense=cells.topk, lexical=_stored(spark, d).topk))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         flagship_hybrid_search, dense_topk, dense_topk_single, lexical_topk_bm25, websearch_match, rrf_weighted, search_gate, search_filtered,
         provenance_mix, dedupe_hits, context_blocks, compact_content, hit_projection, batch_topk_per_label, fp16_round_trip,
+        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed,
     )
 }
 
@@ -150,3 +193,12 @@ ORACLE_SQL = {
         h AS (SELECT *, list_transform(e, lambda x: floor(x * 2048) / 2048) AS half FROM v)
         SELECT vec_id, len(e)::INT AS dim, {COSINE_SQL.format('e', 'half')} AS dist, {COSINE_SQL.format('e', 'half')} <= 1e-3 AS ok FROM h""",
 }
+
+ORACLE_SQL |= {
+    "dense_cells_exact": ORACLE_SQL["dense_topk"],
+    "dense_cells_recall": f"""WITH {CHUNKS_SQL},\n{QUERIES_SQL},\n{DENSE_SQL}, n AS (SELECT qid, count(*) AS wanted FROM dense WHERE rank <= 10 GROUP BY qid)
+        SELECT count(*) AS n, sum(wanted)::BIGINT AS wanted, true AS reached FROM n""",
+    "lexical_stored": ORACLE_SQL["lexical_topk_bm25"],
+    "websearch_stored": ORACLE_SQL["websearch_match"],
+    "hybrid_search_indexed": ORACLE_SQL["flagship_hybrid_search"],
+}

@@ -3,7 +3,13 @@
 ``<root>/chunks/gen=<n>/`` holds the rows of a generation, ``<root>/manifest.json`` what is published; a profile (a vector
 space) has a table and a manifest of its own, named after it, and its rows have vectors. Files are reached by
 Hadoop's file system, so the root may lie wherever Spark reads. The manifest is written beside and renamed into place;
-readers see the published generation until then. One writer at a time holds ``<root>/lock``.
+readers see the published generation until then. Nothing that a manifest names is deleted or renamed: a generation that is
+written anew gets another folder (``gen=<n>-<attempt>``), which the manifest then names, and folders that no manifest names are
+collected after the next publication.
+
+One writer at a time holds ``<root>/lock``, a lease with an owner and an expiry. Whoever takes it raises the manifest's fencing
+number, and publishes only while that number is its own, so a writer whose lease ran out can't overwrite its successor. An
+indexed store keeps a positional index (:mod:`.postings`) of the published rows; manifest and index change together.
 """
 
 from __future__ import annotations
@@ -11,6 +17,7 @@ from __future__ import annotations
 import contextlib
 import json
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -23,6 +30,8 @@ from ..operators import maintenance
 from ..operators.chunking import chunk_files
 from ..operators.embedding import embed, only_new
 from ..operators.search import search
+from ..staging import stage
+from .postings import Postings, refreshed
 
 SLUG = re.compile(r"^[a-z][a-z0-9_]{1,31}$")
 ROW_SCHEMA = "repo string, path string, kind string, lang string, ordinal int, symbol string, content string, content_hash string, file_hash string, embedding array<float>"
@@ -44,7 +53,7 @@ class Profile:
 
 
 class Locked(RuntimeError):
-    """Another writer holds the lock."""
+    """Another writer holds the lock, or took it over when this one's lease ran out."""
 
 
 class ParityError(RuntimeError):
@@ -56,8 +65,9 @@ class SecretFound(RuntimeError):
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, profile: Profile | None = None):
-        self.spark, self.root, self.profile = spark, root.rstrip("/"), profile
+    def __init__(self, spark: SparkSession, root: str, profile: Profile | None = None, indexed: bool = False, lease: float = 3600.0):
+        self.spark, self.root, self.profile, self.indexed, self.lease = spark, root.rstrip("/"), profile, indexed, lease
+        self._fence: int | None = None
         suffix = f"_{profile.slug}" if profile else ""
         self.table, self.manifest_at = f"{self.root}/chunks{suffix}", f"{self.root}/manifest{suffix}.json"
         jvm = spark._jvm
@@ -70,13 +80,19 @@ class Store:
         at = self._path(self.manifest_at)
         if not self.fs.exists(at):
             return {"published": 0, "in_progress": None, "head": None, "dirty": False, "schema_version": 1, "profile": None}
+        return json.loads(self._text(at))
+
+    def _text(self, at) -> str:
         stream = self.fs.open(at)
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
     def _write_manifest(self, **changes) -> None:
+        """Change the manifest in one step; refused where another writer has taken the lock since."""
+        if self._fence is not None and self.manifest().get("fence", 0) != self._fence:
+            raise Locked("the lease ran out and another writer took over")
         new = self._path(f"{self.root}/.manifest-{uuid.uuid4().hex}")
         out = self.fs.create(new, True)
         out.write(bytearray(json.dumps(self.manifest() | changes).encode()))
@@ -95,23 +111,45 @@ class Store:
 
     @contextlib.contextmanager
     def lock(self) -> Iterator[None]:
-        at = self._path(f"{self.root}/lock")
+        """Hold the lease. One that has expired is moved away (one taker can do that) and replaced."""
+        at, owner = self._path(f"{self.root}/lock"), uuid.uuid4().hex
         self.fs.mkdirs(self._path(self.root))
         try:
+            if self.fs.exists(at) and self._expired(at) and not self.fs.rename(at, self._path(f"{self.root}/.lock-{owner}")):
+                raise Locked(f"{at} was taken over")
             created = self.fs.createNewFile(at)
+            if created:
+                out = self.fs.create(at, True)
+                out.write(bytearray(json.dumps({"owner": owner, "until": time.time() + self.lease}).encode()))
+                out.close()
+        except Locked:
+            raise
         except Exception as e:
             raise Locked(str(e)) from e
         if not created:
             raise Locked(f"{at} exists")
+        fence = self.manifest().get("fence", 0) + 1
+        self._write_manifest(fence=fence)
+        self._fence = fence
         try:
             yield
         finally:
-            self.fs.delete(at, False)
+            self._fence = None
+            with contextlib.suppress(Exception):  # what is left of a lease expires
+                if json.loads(self._text(at)).get("owner") == owner:
+                    self.fs.delete(at, False)
+
+    def _expired(self, at) -> bool:
+        """Whether a lease's time is over; a lock that says nothing is held until it is taken away by hand."""
+        try:
+            return json.loads(self._text(at))["until"] < time.time()
+        except (ValueError, KeyError, TypeError):
+            return False
 
     # ---- rows ----
 
     def _folder(self, gen: int) -> str:
-        return f"{self.table}/gen={gen}"
+        return f"{self.table}/{self.manifest().get('folders', {}).get(str(gen), f'gen={gen}')}"
 
     def rows(self, gen: int | None = None) -> DataFrame:
         """The rows of a generation (the published one by default), with its number."""
@@ -123,18 +161,30 @@ class Store:
     def count(self, gen: int) -> int:
         return self.rows(gen).count()
 
-    def generations(self) -> list[int]:
+    def _listed(self) -> list[tuple[int, str]]:
+        """(generation, folder's name) of all folders of the table."""
         at = self._path(self.table)
-        if not self.fs.exists(at):
-            return []
-        return sorted(int(s.getPath().getName().removeprefix("gen=")) for s in self.fs.listStatus(at))
+        names = [s.getPath().getName() for s in self.fs.listStatus(at)] if self.fs.exists(at) else []
+        return sorted((int(n.removeprefix("gen=").split("-")[0]), n) for n in names if n.startswith("gen="))
+
+    def generations(self) -> list[int]:
+        return [gen for gen, name in self._listed() if self._folder(gen).endswith(f"/{name}")]
 
     def collect_old(self) -> int:
-        """Drop generations below the published one; how many went."""
-        old = [g for g in self.generations() if g < self.manifest()["published"]]
-        for gen in old:
-            self.fs.delete(self._path(self._folder(gen)), True)
-        return len(old)
+        """Drop generations below the published one, and folders that the manifest doesn't name; how many generations went."""
+        published, old = self.manifest()["published"], 0
+        for gen, name in self._listed():
+            named = self._folder(gen).endswith(f"/{name}")
+            if gen < published or not named:
+                self.fs.delete(self._path(f"{self.table}/{name}"), True)
+                old += named
+        kept = {*self.manifest().get("segments", []), self.manifest().get("dead")}
+        at = self._path(f"{self.table}-postings")
+        for status in self.fs.listStatus(at) if self.fs.exists(at) else []:
+            name = status.getPath().getName()
+            if not any(k and k.endswith(f"/{name}") for k in kept):
+                self.fs.delete(status.getPath(), True)
+        return old
 
     # ---- sync ----
 
@@ -158,11 +208,11 @@ class Store:
 
         Unchanged files are copied forward, others chunked in the batches that ``batch`` deals them to. Each batch is one
         append, so a run that was broken off goes on behind the last; what an older attempt left of files that have changed
-        since is not published. ``call`` embeds texts for the store's profile; a content that the published generation has a
-        vector of isn't embedded again.
+        since is not published. ``call`` embeds texts for the store's profile, which can't be synced without it; a content is
+        embedded once, and not again where the published generation has its vector. Unchanged rows without a vector get one.
         """
-        if call is not None and self.profile is None:
-            raise ValueError("vectors need a profile")
+        if (call is None) != (self.profile is None):
+            raise ValueError("vectors need a profile" if self.profile is None else "a store with a profile needs a callable that embeds")
         if gate:
             found = maintenance.secret_findings(corpus, "content").select("path", "rule").limit(20).collect()
             if found:
@@ -174,7 +224,11 @@ class Store:
             plan = self.plan(corpus)
             unchanged = plan.where("action = 'unchanged'").select("path")
             both = self.rows(old).unionByName(self.rows(new))
-            self._append(maintenance.copy_forward(both, old, new, unchanged), new)
+            copied = maintenance.copy_forward(both, old, new, unchanged)
+            self._append(copied if call is None else copied.where("embedding IS NOT NULL"), new)
+            if call is not None:
+                bare = maintenance.copy_forward(both, old, new, unchanged).where("embedding IS NULL")
+                self._append(self._embedded(bare.drop("embedding"), old, call), new)
             todo = maintenance.remaining(plan, corpus, self.rows(new).select("path", "file_hash"))
             for part in batch(todo) if batch else [todo]:
                 self._append(self._embedded(self._chunked(part, repo, new), old, call), new)
@@ -183,7 +237,7 @@ class Store:
             if not gaps.isEmpty():
                 raise ParityError(f"generation {new} lacks {gaps.count()} unchanged files")
             counts = {r.action: r.files for r in maintenance.plan_counts(plan).collect()}
-            self._write_manifest(published=new, in_progress=None, head=head, dirty=dirty)
+            self._write_manifest(published=new, in_progress=None, head=head, dirty=dirty, **self._reindexed(new))
             self.collect_old()
             return counts | {"generation": new, "chunks": self.count(new)}
 
@@ -196,14 +250,34 @@ class Store:
         """``rows`` with their vectors: those of equal contents in the generation ``old``, else what ``call`` gives; null without it."""
         if call is None:
             return rows.withColumn("embedding", F.lit(None).cast("array<float>"))
+        rows = stage(rows, "chunks")
         known = self.rows(old).where("embedding IS NOT NULL").select("content_hash", "embedding").dropDuplicates(["content_hash"])
-        new = only_new(rows, known).withColumn("__asked", apply_prefix("content", self.profile.prefix_policy, "doc"))
-        made = embed(new, call, self.profile.dim, "__asked", self.profile.batch_size).drop("__asked")
-        return rows.join(known, "content_hash").unionByName(made)
+        new = only_new(rows.select("content_hash", "content").dropDuplicates(["content_hash"]), known)
+        asked = new.withColumn("__asked", apply_prefix("content", self.profile.prefix_policy, "doc"))
+        made = stage(embed(asked, call, self.profile.dim, "__asked", self.profile.batch_size).select("content_hash", "embedding"), "vectors")
+        return rows.join(known.unionByName(made), "content_hash")
+
+    def postings(self) -> Postings | None:
+        """The index of the published rows; None where none is kept."""
+        known = self.manifest()
+        return Postings(self.spark, known["segments"], known.get("dead")) if known.get("segments") else None
+
+    def _with_id(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("id", F.xxhash64("repo", "path", "content_hash"))
+
+    def _reindexed(self, gen: int) -> dict:
+        """What the manifest says of the index once it shows the generation ``gen``."""
+        if not self.indexed:
+            return {"segments": [], "dead": None}
+        at = f"{self.table}-postings"
+        index = refreshed(self.postings() or Postings(self.spark), self._with_id(self.rows(gen)), f"{at}/segment-{uuid.uuid4().hex}", f"{at}/dead-{uuid.uuid4().hex}")
+        return {"segments": index.segments, "dead": index.dead}
 
     def search(self, queries: DataFrame, **options) -> DataFrame:
         """Hybrid search (:func:`tidemark.operators.search.search`) of the published generation, with the profile's gate."""
-        chunks = self.rows().withColumn("id", F.xxhash64("repo", "path", "content_hash"))
+        chunks, index = self._with_id(self.rows()), self.postings()
+        if index is not None:
+            options.setdefault("lexical", index.topk)
         return search(chunks, queries, **({"gate": self.profile.gate if self.profile else None} | options))
 
     def _append(self, rows: DataFrame, gen: int) -> None:
@@ -217,10 +291,9 @@ class Store:
         kept = maintenance.only_live(rows, live)
         if rows.count() == kept.count():
             return
-        beside = f"{self.root}/chunks-{uuid.uuid4().hex}"
-        kept.drop("gen").write.parquet(beside)
-        self.fs.delete(self._path(self._folder(gen)), True)
-        self.fs.rename(self._path(beside), self._path(self._folder(gen)))
+        name = f"gen={gen}-{uuid.uuid4().hex[:8]}"
+        kept.drop("gen").write.parquet(f"{self.table}/{name}")
+        self._write_manifest(folders={str(gen): name})
 
 
 def run_migrations(store: Store, migrations: dict[int, Callable[[Store], None]]) -> list[int]:
