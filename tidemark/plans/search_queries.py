@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.stemming import STOP_WORDS, stem, stemmed_terms, stems_sql
 from ..operators import search as op
 from ..operators.vector_cells import VectorCells, recall
 from ..sources.postings import Postings, write_segment
@@ -147,12 +148,26 @@ def hybrid_search_indexed(spark, d):
     return shown(op.search(c, search_queries(spark, d), dense=cells.topk, lexical=_stored(spark, d).topk))
 
 
+def word_stems(spark, d):
+    """Every word of the documents with its stem."""
+    words = table(spark, d, "documents").select(F.explode(tx.tokens("text")).alias("word")).distinct()
+    return words.select("word", stem("word").alias("stem"))
+
+
+def stemmed_search(spark, d):
+    """Hybrid search with the third list at half weight: stems of the doc chunks, from a stored index of them."""
+    c, q, folder = chunks(spark, d), search_queries(spark, d), new_path(spark, "stems")
+    write_segment(op.scope(c, kind="doc").select("id", "content"), folder, stemmed_terms("content"))
+    asked = q.select("qid", F.transform(F.filter("terms", lambda t: ~t.isin(*STOP_WORDS)), stem).alias("terms"))
+    return shown(op.search(c, q, stemmed=Postings(spark, [folder]).topk(asked).select("qid", "id", "rank"), stemmed_weight=0.5))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         flagship_hybrid_search, dense_topk, dense_topk_single, lexical_topk_bm25, websearch_match, rrf_weighted, search_gate, search_filtered,
         provenance_mix, dedupe_hits, context_blocks, compact_content, hit_projection, batch_topk_per_label, fp16_round_trip,
-        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed,
+        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed, word_stems, stemmed_search,
     )
 }
 
@@ -202,3 +217,20 @@ ORACLE_SQL |= {
     "websearch_stored": ORACLE_SQL["websearch_match"],
     "hybrid_search_indexed": ORACLE_SQL["flagship_hybrid_search"],
 }
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_STEMMED = f"""words AS MATERIALIZED (SELECT DISTINCT unnest({TOKENS_SQL.format('content')}) AS w FROM chunks),
+stems AS MATERIALIZED (SELECT * FROM {stems_sql('words')} WHERE w NOT IN ({_STOP})),
+said AS (SELECT id, stem AS term FROM (SELECT id, unnest({TOKENS_SQL.format('content')}) AS w FROM chunks WHERE kind = 'doc') JOIN stems USING (w)),
+sizes AS (SELECT id, count(*) AS dl FROM said GROUP BY id),
+whole AS (SELECT count(*) AS n_docs, avg(coalesce(dl, 0)) AS avg_dl FROM chunks LEFT JOIN sizes USING (id) WHERE kind = 'doc'),
+wanted AS (SELECT DISTINCT qid, stem AS term FROM (SELECT qid, unnest(terms) AS w FROM asked) JOIN stems USING (w)),
+met AS (SELECT qid, id, term, tf, dl, count(*) OVER (PARTITION BY qid, term) AS df FROM (SELECT term, id, count(*) AS tf FROM said GROUP BY ALL) JOIN wanted USING (term) JOIN sizes USING (id)),
+stemmed AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY bm25 DESC, id) AS rank FROM
+  (SELECT qid, id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avg_dl))), 6) AS bm25, count(*) AS n FROM met, whole GROUP BY qid, id)
+  JOIN (SELECT qid, count(*) AS n FROM wanted GROUP BY qid) USING (qid, n) QUALIFY rank <= 50)"""
+_FUSED3 = fused_sql().replace("FROM lexical)", "FROM lexical UNION ALL SELECT qid, id, rank, NULL, 2, 0.5 FROM stemmed)")
+ORACLE_SQL |= {
+    "word_stems": f"WITH words AS (SELECT DISTINCT unnest({TOKENS_SQL.format('text')}) AS w FROM documents) SELECT w AS word, stem FROM {stems_sql('words')}",
+    "stemmed_search": f"WITH {', '.join([CHUNKS_SQL, QUERIES_SQL, DENSE_SQL, LEXICAL_SQL, _STEMMED, _FUSED3, hits_sql()])} {SHOWN_SQL}",
+}
