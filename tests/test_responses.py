@@ -141,3 +141,22 @@ def test_contracts(spark):
     vectors = {"object": "list", "model": "m", "data": [{"index": 0, "object": "embedding", "embedding": [0.5, "x", 1]}, {"index": 1, "object": "embedding", "embedding": []}], "usage": {"prompt_tokens": 1, "total_tokens": 1}}
     assert ev(spark, json.dumps(vectors))(lambda c: rs.violations(c, "embeddings")) == ["$.data[1].embedding", "$.data[0].embedding[1]"]
     assert ev(spark, json.dumps({"object": "list", "model": "m", "data": [{"index": 0, "object": "embedding", "embedding": [0.5]}], "usage": {"prompt_tokens": 1, "total_tokens": 1}}))(lambda c: rs.contract(c, "embeddings")).ok
+
+
+@pytest.mark.parametrize(("body", "url"), [
+    ('{"output": {"thumbnail": "http://h/x.png"}}', None), ('{"prompt": "http://h/p"}', None), ('{"url": 5, "video_url": "https://h/v"}', "https://h/v"),
+    ('{"output": ["http://h/1", "http://h/2"]}', "http://h/2"), ('{"output": {"url": "http://h/o"}, "artifacts": {"file_url": "http://h/a"}}', "http://h/a"),
+    ('{"data": {"results": [{"x": 1}, {"videos": [[{"download_url": "https://h/deep"}]]}]}}', "https://h/deep"), ('{"result": "http://h/bare", "url": "ftp://h"}', "http://h/bare"),
+    ('["http://h/list"]', None), ('"http://h/text"', None), ("no json", None), (None, None), ('{"output": null, "data": {"url": "http://h/d"}}', "http://h/d"),
+    ('{"output": [' + ", ".join(f'"http://h/{i}"' for i in range(12)) + "]}", "http://h/11"),
+])
+def test_addresses_of_results(spark, body, url):
+    assert ev(spark, body)(rs.artifact_url) == url
+
+
+def test_states_of_tasks(spark):
+    states = {"Success": "done", " done ": "done", "FINISHED": "running", "queued": "running", "timeout": "failed", "Failure": "failed", "expired": "running"}
+    for state, expected in states.items():
+        assert ev(spark, '{"state": "%s"}' % state)(rs.task_state) == expected
+    assert not ev(spark, '{"status": "finished", "url": "https://v"}')(rs.video_task).ok
+    assert not ev(spark, '{"status": "done", "output": {"thumbnail": "http://h/x.png"}}')(rs.video_task).ok

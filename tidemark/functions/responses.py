@@ -200,25 +200,71 @@ def needle(text, needle_text: str, window: int | None = None) -> Column:
     return verdict((at >= 0) & F.lit(needle_text != ""), "pos=", at)
 
 
-TASK_DONE, TASK_FAILED = ("SUCCESS", "SUCCEEDED", "COMPLETED", "DONE", "FINISHED"), ("FAIL", "FAILED", "ERROR", "CANCELLED", "CANCELED", "EXPIRED")
+# Fixed values of the video tasks' format: final states, address keys, and the containers that a result may lie in.
+TASK_DONE = ("SUCCESS", "SUCCEEDED", "COMPLETED", "DONE")
+TASK_FAILED = ("FAILED", "FAILURE", "ERROR", "CANCELLED", "CANCELED", "TIMEOUT")
+ADDRESS_KEYS = ("url", "video_url", "file_url", "output_url", "download_url")
+CONTAINERS = ("output", "result", "data", "results", "videos", "artifacts")
+#: How deep containers and lists may be nested.
+NESTING = 8
+
+
+def _first_text(body, keys: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.nullif(F.trim(text_at(body, f"$.{k}")), F.lit("")) for k in keys])
 
 
 def task_status(body) -> Column:
-    return F.upper(F.coalesce(*[F.nullif(text_at(body, f"$.{k}"), F.lit("")) for k in ("task_status", "status", "state")], F.lit("")))
+    return F.upper(F.coalesce(_first_text(body, ("task_status", "status", "state")), F.lit("")))
+
+
+def task_state(body) -> Column:
+    """``done``, ``failed``, or ``running`` for any other state."""
+    status = task_status(body)
+    return F.when(status.isin(*TASK_DONE), "done").when(status.isin(*TASK_FAILED), "failed").otherwise("running")
 
 
 def task_id(body) -> Column:
-    return F.coalesce(*[F.nullif(text_at(body, f"$.{k}"), F.lit("")) for k in ("id", "task_id", "taskId")])
+    return _first_text(body, ("id", "task_id", "taskId"))
 
 
 def artifact_url(body) -> Column:
-    """The first http(s) address under one of the address keys, at the top or within the result containers, in order of the text."""
-    keys = "url|video_url|file_url|output_url|download_url"
-    inside = F.concat_ws(" ", *[get(body, f"$.{k}") for k in ("output", "result", "data", "results", "videos", "artifacts")])
-    top = F.coalesce(*[F.when(get(body, f"$.{k}").rlike("^https?://"), get(body, f"$.{k}")) for k in keys.split("|")])
-    nested = F.regexp_extract(inside, f'"(?:{keys})"\\s*:\\s*"(https?://[^"]+)"', 1)
-    bare = F.regexp_extract(inside, '(?:^|[\\s\\[,"])(https?://[^"\\s,\\]]+)', 1)
-    return F.coalesce(top, F.nullif(nested, F.lit("")), F.nullif(bare, F.lit("")))
+    """The http(s) address of a result: under an address key of the body or of what its containers lead to, or a bare string there.
+
+    Only containers and lists are entered. A node's own address comes before its containers', later containers before
+    earlier ones, and later elements of a list before earlier ones.
+    """
+    kind = F.schema_of_variant
+    http = lambda text: F.when(text.rlike("^https?://"), text)
+
+    def text_under(v: Column, key: str) -> Column:
+        under = F.try_variant_get(v, f"$.{key}", "variant")
+        return F.when(kind(under) == "STRING", http(F.try_variant_get(v, f"$.{key}", "string")))
+
+    def own(v: Column) -> Column:
+        named = F.coalesce(*[text_under(v, k) for k in ADDRESS_KEYS])
+        return F.when(kind(v) == "STRING", http(v.cast("string"))).when(kind(v).startswith("OBJECT"), named)
+
+    def below(node: Column) -> Column:
+        v, at = node["v"], node["at"]
+        inner = [F.struct(F.concat(at, F.lit(str(i))).alias("at"), F.try_variant_get(v, f"$.{k}", "variant").alias("v")) for i, k in enumerate(reversed(CONTAINERS))]
+        items = F.try_variant_get(v, "$", "array<variant>")
+        last_first = F.transform(items, lambda x, i: F.struct(F.concat(at, F.lpad((F.size(items) - i).cast("string"), 9, "0")).alias("at"), x.alias("v")))
+        found = F.when(kind(v).startswith("OBJECT"), F.array(*inner)).when(kind(v).startswith("ARRAY"), last_first)
+        return F.filter(F.coalesce(found, F.array().cast(NODES)), lambda n: n["v"].isNotNull())
+
+    NODES = "array<struct<at:string,v:variant>>"
+    whole = F.try_parse_json(col(body))
+    level = F.when(kind(whole).startswith("OBJECT"), F.array(F.struct(F.lit("").alias("at"), whole.alias("v"))))
+
+    def search(nodes: Column, depth: int) -> Column:
+        here = F.filter(F.transform(nodes, lambda n: F.struct(n["at"].alias("at"), own(n["v"]).alias("url"))), lambda n: n["url"].isNotNull())
+        if not depth:
+            return here
+        deeper = F.transform(F.array(F.flatten(F.transform(nodes, below))), lambda next_level: search(next_level, depth - 1))
+        return F.concat(here, F.flatten(deeper))
+
+    # Places are numbered so that their order as text is the order of the visit.
+    return F.array_min(search(level, NESTING))["url"]
 
 
 def video_task(body) -> Column:
