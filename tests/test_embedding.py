@@ -51,3 +51,23 @@ def test_small_tables(spark):
     assert ev(spark, "sk-abcdef")(lambda c: tx.redact_array(F.array(c))) == ["sk-***REDACTED***"]
     page = '{"size": "1024x1024", "n": 2, "size": "x", "cover": "og-cover.png"}'
     assert ev(spark, page)(lambda c: web.parameters(c, ("size", "n", "cover", "none"))) == {"size": "1024x1024", "n": "2"}
+
+
+def test_half_precision_agrees_with_numpy(spark):
+    rng = np.random.default_rng(3)
+    whole = np.arange(65536, dtype=np.uint16).view(np.float16).astype(np.float64)
+    whole = np.unique(whole[np.isfinite(whole)])
+    ties = (whole[1:] + whole[:-1]) / 2  # between neighbours: to the even one
+    values = np.concatenate([whole, ties, np.nextafter(ties, np.inf), rng.normal(size=2000) * 10.0 ** rng.integers(-9, 6, 2000), [65519.999, 65520, 1e300, -1e300, 2.0**-25, 3e-8, 0]])
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4)
+    with np.errstate(over="ignore"):
+        for x, y in df.select("x", em.to_half(F.col("x")).alias("y")).collect():
+            assert y == float(np.float16(x)), x
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("-inf"),)], "x double").select(em.to_half(F.col("x")).alias("y")).collect()
+    assert odd[0].y is None and np.isnan(odd[1].y) and odd[2].y == float("-inf")
+
+
+def test_stored_vectors_are_parsed(spark):
+    cases = {"[1,2.5,-3e-2]": [1.0, 2.5, -0.03], " [ 1 , 2 ] ": [1.0, 2.0], "4,5": [4.0, 5.0], "[]": [], "": [], "[1,x]": [], "[1,,2]": [], None: []}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", em.parse_vector("t").alias("v")).collect()
+    assert {r.t: r.v for r in rows} == cases

@@ -74,3 +74,27 @@ def resolve_gate(gate: float | str | None, profile_gate: float | None) -> float
 def embedding_verdict(stored: Column, returned: Column, distance: Column, tolerance: float = 1e-3) -> Column:
     """Whether a stored vector came back with its length and within the distance."""
     return F.coalesce((F.size(stored) == F.size(returned)) & ~F.isnan(distance) & (distance <= tolerance), F.lit(False))
+
+
+def to_half(x: Column) -> Column:
+    """A number as binary16 keeps it: rounded to 11 significant bits (half to even), finer than 2**-24 nowhere, infinite from 65520.
+
+    The spacing of binary16 at ``x`` is a power of two, so dividing by it, rounding to a whole number and multiplying are exact.
+    """
+    x = x.cast("double")
+    size = F.abs(x)
+    spacing = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.when(size > 0, size))), F.lit(-14)) - 10)
+    rounded = F.signum(x) * F.rint(size / spacing) * spacing
+    infinite = F.signum(x) * F.lit(float("inf"))
+    return F.when(F.isnan(x), x).when(size >= 65520, infinite).when(size > 0, rounded).otherwise(x)
+
+
+def half_vector(vector: Column | str) -> Column:
+    return F.transform(col(vector), to_half)
+
+
+def parse_vector(text: Column | str) -> Column:
+    """The numbers of ``[1,2,3]`` (brackets may be missing); no numbers where the text is null, empty, or one of them isn't a number."""
+    inside = F.regexp_replace(F.trim(F.coalesce(col(text), F.lit(""))), r"(?s)^\[(.*)\]$", "$1")
+    numbers = F.transform(F.split(inside, ","), lambda x: F.trim(x).try_cast("double"))
+    return F.when(F.exists(numbers, lambda x: x.isNull()), F.array().cast("array<double>")).otherwise(numbers)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.stemming import STOP_WORDS, stem, stemmed_terms, stems_sql
+from ..operators import embedding as em
 from ..operators import search as op
 from ..operators.vector_cells import VectorCells, recall
 from ..sources.postings import Postings, write_segment
@@ -148,6 +149,14 @@ def hybrid_search_indexed(spark, d):
     return shown(op.search(c, search_queries(spark, d), dense=cells.topk, lexical=_stored(spark, d).topk))
 
 
+def half_round_trip(spark, d):
+    """Vectors through binary16 and their stored text: how far they come back, the largest change of a component, the verdict."""
+    v = table(spark, d, "embeddings").withColumn("back", em.parse_vector(F.format_string("[%s]", F.array_join(em.half_vector("embedding"), ","))))
+    v = v.withColumn("dist", F.round(op.cosine_distance(F.col("embedding"), F.col("back")), 6))
+    change = F.array_max(F.zip_with("embedding", "back", lambda x, y: F.abs(x.cast("double") - y)))
+    return v.select("vec_id", F.size("back").alias("dim"), "dist", F.round(change, 9).alias("change"), em.embedding_verdict(F.col("embedding"), F.col("back"), F.col("dist")).alias("ok"))
+
+
 def word_stems(spark, d):
     """Every word of the documents with its stem."""
     words = table(spark, d, "documents").select(F.explode(tx.tokens("text")).alias("word")).distinct()
@@ -167,7 +176,7 @@ QUERIES = {
     for f in (
         flagship_hybrid_search, dense_topk, dense_topk_single, lexical_topk_bm25, websearch_match, rrf_weighted, search_gate, search_filtered,
         provenance_mix, dedupe_hits, context_blocks, compact_content, hit_projection, batch_topk_per_label, fp16_round_trip,
-        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed, word_stems, stemmed_search,
+        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed, half_round_trip, word_stems, stemmed_search,
     )
 }
 
@@ -234,3 +243,8 @@ ORACLE_SQL |= {
     "word_stems": f"WITH words AS (SELECT DISTINCT unnest({TOKENS_SQL.format('text')}) AS w FROM documents) SELECT w AS word, stem FROM {stems_sql('words')}",
     "stemmed_search": f"WITH {', '.join([CHUNKS_SQL, QUERIES_SQL, DENSE_SQL, LEXICAL_SQL, _STEMMED, _FUSED3, hits_sql()])} {SHOWN_SQL}",
 }
+ORACLE_SQL["half_round_trip"] = f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+h AS (SELECT *, list_transform(e, lambda x: CASE WHEN x = 0 THEN 0 ELSE sign(x) * round_even(abs(x) / pow(2, greatest(floor(log2(abs(x))), -14) - 10), 0)
+  * pow(2, greatest(floor(log2(abs(x))), -14) - 10) END) AS b FROM v)
+SELECT vec_id, len(b)::INT AS dim, {COSINE_SQL.format('e', 'b')} AS dist, round(list_max(list_transform(range(1, len(e) + 1), lambda i: abs(e[i] - b[i]))), 9) AS change,
+  {COSINE_SQL.format('e', 'b')} <= 1e-3 AS ok FROM h"""
