@@ -7,6 +7,7 @@ so a lost one costs only the tasks that were running on it.
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,28 +42,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    _staged.append(path)
+    _staged.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Folders that this process has staged and not deleted, oldest first.
-_staged: list[str] = []
+class _Staged(threading.local):
+    """Folders that a thread has staged and not deleted, oldest first: queries that run side by side don't see each other's."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_staged = _Staged()
 
 
 def mark() -> int:
-    """A point in time for :func:`release`."""
-    return len(_staged)
+    """A point in time for :func:`release`, in the thread that calls both."""
+    return len(_staged.paths)
 
 
 def release(spark: SparkSession, since: int = 0, *keep: DataFrame) -> None:
-    """Delete the folders staged since a mark, apart from those that ``keep`` reads: those of an operator that has ended, or,
+    """Delete the folders that this thread staged since a mark, apart from those that ``keep`` reads: those of an operator that has ended, or,
     once its result is written, of a query."""
     kept = [file for df in keep for file in df.inputFiles()]
-    for path in _staged[since:]:
+    for path in _staged.paths[since:]:
         name = path.rsplit("/", 1)[1]
         if not any(f"/{name}/" in file for file in kept):
             _delete(spark, path)
-            _staged.remove(path)
+            _staged.paths.remove(path)
 
 
 def _delete(spark: SparkSession, folder: str) -> None:
@@ -75,4 +82,4 @@ def drop_staged(*frames: DataFrame) -> None:
     for df in frames:
         for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()[:1]}:
             _delete(df.sparkSession, folder)
-            _staged[:] = [path for path in _staged if path.rsplit("/", 1)[1] != folder.rsplit("/", 1)[1]]
+            _staged.paths[:] = [path for path in _staged.paths if path.rsplit("/", 1)[1] != folder.rsplit("/", 1)[1]]
