@@ -66,6 +66,33 @@ def test_recall_and_equal_results_however_the_rows_are_dealt(spark):
     rows.unpersist()
 
 
+def test_merged_shortlists_are_those_of_all_rows_at_once():
+    rng = np.random.default_rng(9)
+    query, row, near = rng.integers(0, 5, 4000), rng.integers(0, 300, 4000), rng.integers(0, 40, 4000).astype(np.float32)
+    want = []
+    for q in range(5):
+        least = {}
+        for r, s in zip(row[query == q].tolist(), near[query == q].tolist()):
+            least[r] = min(s, least.get(r, s))
+        want += [(q, r, s) for s, r in sorted((s, r) for r, s in least.items())[:17]]
+    held = None
+    for at in range(0, 4000, 333):
+        held = ads.best_of(held, (query[at : at + 333], row[at : at + 333], near[at : at + 333]), 17)
+    assert list(zip(*(c.tolist() for c in held))) == want
+    none = ads.best_of(None, (query[:0], row[:0], near[:0]), 17)
+    assert [len(c) for c in none] == [0, 0, 0] and list(zip(*(c.tolist() for c in ads.best_of(none, held, 17)))) == want
+
+
+def test_waves_of_blocks_give_the_same_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, rng.normal(size=8).tolist(), 0, "", "") for i in range(900)], SCHEMA)
+    want = sorted(map(tuple, ads.nearest(rows, every=30, k=5).collect()))
+    monkeypatch.setattr(ads, "HELD", 128 * 8)
+    monkeypatch.setattr(ads, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(ads, "SLAB", 100)
+    assert sorted(map(tuple, ads.nearest(rows, every=30, k=5).collect())) == want and len(want) == 150
+
+
 def test_ties_go_to_smaller_ids_among_many_copies(spark):
     same, rng = [1.0, 2.0, 3.0], np.random.default_rng(2)
     rows = [(i, same, 0, "", "") for i in range(500)] + [(i, rng.normal(size=3).tolist(), 0, "", "") for i in range(500, 700)]

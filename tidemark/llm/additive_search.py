@@ -6,13 +6,16 @@ partial sums. With the stored squared norm of the sum, a query's distance to it
 codewords and a lookup a codebook.
 
 The index is a table of slabs: ids, codes and norms of many rows as binary values. Blocks of queries are a table as well, and
-one pass scores every slab for every block. Each work item passes on a shortlist a query, the best of all of those are one
-shortlist a query, and only that is compared exactly with the original vectors, wherever its rows lay.
+one pass scores every slab for every block. A task keeps one shortlist a query over all its slabs and passes it on at its end, the
+best of all tasks are one shortlist a query, and only that is compared exactly with the original vectors, wherever its rows lay.
+A shortlist grows with the square root of the table, since so do the rows that a code of fixed size can't tell from the nearest.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,10 +30,11 @@ BOOKS, WORDS, BEAM = 18, 256, 4
 #: Vectors that the codebooks are learnt from, at most: those first in order of a hash of their ids.
 TRAINING = 8_000
 ROUNDS = 5
-#: Rows that are compared exactly with a query, or SHORTLIST_TIMES as many as are asked for, if that is more.
-SHORTLIST, SHORTLIST_TIMES = 128, 4
-#: Rows of a slab and queries of a block, at most.
-SLAB, QUERY_BLOCK = 32_768, 2048
+#: Rows that are compared exactly with a query: the greatest of SHORTLIST, SHORTLIST_TIMES as many as are asked for, and
+#: SHORTLIST_ROOTS times the square root of the table's rows.
+SHORTLIST, SHORTLIST_TIMES, SHORTLIST_ROOTS = 128, 4, 1.5
+#: Rows of a slab, queries of a block, and entries of shortlists that a task holds, at most.
+SLAB, QUERY_BLOCK, HELD = 32_768, 2048, 4 << 20
 SEED = 11
 
 
@@ -152,16 +156,16 @@ def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, np.nda
     return stage(vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary"), "additive-index"), codebooks
 
 
-def query_blocks(queries: DataFrame) -> DataFrame:
-    """(query_ids, queries): binary values of QUERY_BLOCK queries at most, in order of their ids."""
-    numbered = byte_offsets(queries.withColumn("size", F.lit(1)), ["vec_id"]).withColumn("block", F.expr(f"row DIV {QUERY_BLOCK}"))
+def query_blocks(queries: DataFrame, size: int) -> DataFrame:
+    """(block, query_ids, queries): binary values of ``size`` queries at most, in order of their ids."""
+    numbered = byte_offsets(queries.withColumn("size", F.lit(1)), ["vec_id"]).withColumn("block", F.expr(f"row DIV {size}"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         values = np.array(pdf["embedding"].tolist(), "<f8")
-        return pd.DataFrame({"query_ids": [pdf["vec_id"].to_numpy("<i8").tobytes()], "queries": [values.tobytes()]})
+        return pd.DataFrame({"block": [pdf["block"].iat[0]], "query_ids": [pdf["vec_id"].to_numpy("<i8").tobytes()], "queries": [values.tobytes()]})
 
-    return stage(numbered.groupBy("block").applyInPandas(pack, "query_ids binary, queries binary"), "query-blocks")
+    return stage(numbered.groupBy("block").applyInPandas(pack, "block long, query_ids binary, queries binary"), "query-blocks")
 
 
 def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -190,25 +194,57 @@ def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Itera
             yield np.full(len(chosen), query_ids[at + q]), names[chosen], scores[q, chosen]
 
 
-def candidates(slabs: DataFrame, blocks: DataFrame, codebooks: np.ndarray, short: int) -> DataFrame:
-    """(query_id, vec_id): of each query the ``short`` rows with the smallest lookup scores, equal ones by the smaller id."""
+def best_of(held: tuple[np.ndarray, ...] | None, found: tuple[np.ndarray, ...], short: int) -> tuple[np.ndarray, ...]:
+    """(query_id, vec_id, score) of the ``short`` smallest scores of each query in both, by query, score and id; a row counts once."""
+    query, row, near = found
+    if held is not None and len(held[0]):
+        # What lies behind the end of a full shortlist can't enter it.
+        names, starts, counts = np.unique(held[0], return_index=True, return_counts=True)
+        limits = np.where(counts >= short, held[2][starts + counts - 1], np.inf)
+        place = np.minimum(np.searchsorted(names, query), len(names) - 1)
+        enters = (names[place] != query) | (near <= limits[place])
+        query, row, near = (np.concatenate([a, b[enters]]) for a, b in zip(held, found, strict=True))
+    order = np.lexsort((near, row, query))
+    query, row, near = query[order], row[order], near[order]
+    first = np.concatenate([[True], (query[1:] != query[:-1]) | (row[1:] != row[:-1])]) if len(query) else np.zeros(0, bool)
+    query, row, near = query[first], row[first], near[first]
+    order = np.lexsort((row, near, query))
+    query, row, near = query[order], row[order], near[order]
+    _, starts, counts = np.unique(query, return_index=True, return_counts=True)
+    kept = np.arange(len(query)) - np.repeat(starts, counts) < short
+    return query[kept], row[kept], near[kept]
+
+
+def candidates(slabs: DataFrame, blocks: DataFrame, codebooks: np.ndarray, short: int, together: int) -> DataFrame:
+    """(query_id, vec_id): of each query the ``short`` rows with the smallest lookup scores, equal ones by the smaller id.
+
+    ``together`` blocks are sent to all slabs at once; a task holds a shortlist for each of their queries and passes on no others.
+    """
     books, dims = codebooks.shape[0], codebooks.shape[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, ...]] = {}
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, codes, norms, query_ids, queries = (c[row].as_buffer() for c in batch.columns)
+                ids, codes, norms, block, query_ids, queries = batch.columns
+                ids, codes, norms, query_ids, queries = (c[row].as_buffer() for c in (ids, codes, norms, query_ids, queries))
                 found = shortlists(
                     np.frombuffer(query_ids, "<i8"), np.frombuffer(queries, "<f8").reshape(-1, dims), codebooks,
                     np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(-1, books), np.frombuffer(norms, "<f4"), short,
                 )
-                columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "near"])
-
-    # A stated query set, in blocks, against all rows.
-    pairs = slabs.repartition(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).crossJoin(blocks)
-    scored = pairs.mapInArrow(run, "query_id long, vec_id long, near float")
-    one = scored.groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
+                number = block[row].as_py()
+                best[number] = best_of(best.get(number), tuple(np.concatenate(c) for c in zip(*found, strict=True)), short)
+        for number in sorted(best):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.pop(number)], names=["query_id", "vec_id", "near"])
+
+    # A stated query set, in blocks, against all rows. The blocks sent at once hold HELD / short queries at most.
+    dealt = slabs.repartition(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    waves = -(-blocks.count() // together)
+    scored = [
+        dealt.crossJoin(F.broadcast(blocks.where(F.expr(f"block DIV {together} = {wave}")))).mapInArrow(run, "query_id long, vec_id long, near float")
+        for wave in range(max(1, waves))
+    ]
+    one = reduce(DataFrame.unionAll, scored).groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "vec_id"))
     return one.withColumn("place", place).where(F.col("place") <= short).select("query_id", "vec_id")
 
@@ -231,7 +267,10 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     if codebooks is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    found = stage(candidates(slabs, query_blocks(queries), codebooks, max(SHORTLIST, SHORTLIST_TIMES * k)), "shortlists")
+    rows = slabs.agg(F.sum(F.octet_length("ids") / 8).cast("long")).first()[0]
+    short = max(SHORTLIST, SHORTLIST_TIMES * k, math.ceil(SHORTLIST_ROOTS * math.sqrt(rows)))
+    size = max(1, min(QUERY_BLOCK, HELD // short))
+    found = stage(candidates(slabs, query_blocks(queries, size), codebooks, short, max(1, HELD // (size * short))), "shortlists")
     with_rows = found.join(vectors, "vec_id").withColumnRenamed("embedding", "__row")
     with_both = with_rows.join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__query")), "query_id")
     one = with_both.groupBy("query_id", "vec_id").agg(F.min(euclidean(F.col("__row"), F.col("__query"))).alias("score"))
