@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 CHARS_PER_TOKEN = 4
 
@@ -109,22 +110,34 @@ def redact(text: Column | str, prefixes: tuple[str, ...] = SECRET_PREFIXES) -> C
     return F.regexp_replace(keyed, "(?i)\\b(Bearer\\s+)[A-Za-z0-9_\\-.]{4,}", f"$1{REDACTED}")
 
 
-# What ends the name of a parameter with credentials, what shows them anywhere in a query, and the replacement.
-CREDENTIAL_NAMES = ("Signature", "signature", "Credential", "AccessKeyId", "q-ak", "token", "Token")
-CREDENTIAL_SIGNS = (
-    "UCloudPublicKey", "OSSAccessKeyId", "X-Amz-Signature", "X-Amz-Credential", "SignedHeaders", "q-sign-algorithm", "q-signature",
-    "security-token", "pre-signed", "presigned",
+# What the names of parameters with credentials end with, in lower case; what shows credentials in any value; and
+# the replacement.
+CREDENTIAL_NAMES = (
+    "signature", "credential", "accesskeyid", "publickey", "signedheaders", "sign-algorithm", "q-ak", "token",
 )
-CREDENTIAL_VALUE = "AKID[A-Za-z0-9]{6,}"
+CREDENTIAL_VALUE = "AKID[A-Za-z0-9]{6,}|(?i)pre-?signed"
 SIGNED_URL = "__REDACTED_SIGNED_URL__"
 
 
+def parameters(query: Column) -> Column:
+    """The (name, value) pairs of a query string, with those of an address within a value, encoded or not. A parameter without = has a
+    null value."""
+    pieces = F.split(query, "[?&]|(?i)%3F|%26")
+
+    def pair(piece: Column) -> Column:
+        sides = F.split(piece, "=|(?i)%3D", 2)
+        return F.struct(F.lower(sides[0]).alias("name"), F.try_element_at(sides, F.lit(2)).alias("value"))
+
+    return F.transform(pieces, pair)
+
+
 def carries_credentials(query: Column) -> Column:
-    """Whether a query string has a parameter that signs it, or shows a key."""
-    fields = F.split(query, "=")
-    names = F.slice(fields, F.lit(1), F.size(fields) - 1)
-    named = F.exists(names, lambda n: F.exists(F.array(*map(F.lit, CREDENTIAL_NAMES)), lambda end: F.endswith(n, end)))
-    return named | F.exists(F.array(*map(F.lit, CREDENTIAL_SIGNS)), lambda sign: F.contains(query, sign)) | query.rlike(CREDENTIAL_VALUE)
+    """Whether a query string has a parameter that signs it, or a value that shows a key."""
+
+    def signs(pair: Column) -> Column:
+        return pair["value"].isNotNull() & F.exists(F.array(*map(F.lit, CREDENTIAL_NAMES)), lambda end: F.endswith(pair["name"], end))
+
+    return F.exists(parameters(query), signs) | query.rlike(CREDENTIAL_VALUE)
 
 
 def redact_signed_urls(text: Column | str) -> Column:
@@ -237,6 +250,42 @@ def redact_array(values: Column | str) -> Column:
     return F.transform(col(values), lambda v: redact(v))
 
 
+def redact_nested(value: Column | str, schema: DataType) -> Column:
+    """A value of any nested type with each string in it redacted; keys of maps, nulls and other types stay."""
+    c = col(value)
+    if isinstance(schema, StringType):
+        return redact(c)
+    if isinstance(schema, ArrayType):
+        return F.transform(c, lambda v: redact_nested(v, schema.elementType))
+    if isinstance(schema, MapType):
+        return F.transform_values(c, lambda _, v: redact_nested(v, schema.valueType))
+    if isinstance(schema, StructType):
+        fields = [redact_nested(c[f.name], f.dataType).alias(f.name) for f in schema.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    return c
+
+
+def redact_columns(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with columns (all, if none is named) redacted by :func:`redact_nested`."""
+    return rows.withColumns({c: redact_nested(F.col(f"`{c}`"), rows.schema[c].dataType) for c in columns or rows.columns})
+
+
+def redact_json(text: Column | str) -> Column:
+    """A JSON text with each string value redacted, at any depth; names stay. What isn't JSON is redacted as plain text.
+
+    Strings are unescaped before they are looked at and escaped again, so no escape hides a key or its beginning.
+    """
+    whole = col(text)
+    pieces = F.regexp_extract_all(whole, F.lit('"(?:\\\\.|[^"\\\\])*"(?:\\s*:)?|[^"]+'), F.lit(0))
+
+    def one(piece: Column) -> Column:
+        plain = F.get_json_object(F.concat(F.lit('{"v":'), piece, F.lit("}")), "$.v")
+        shown = F.to_json(F.struct(redact(plain).alias("v")))
+        return F.when(piece.startswith('"') & piece.endswith('"'), F.substring(shown, F.lit(6), F.length(shown) - 6)).otherwise(piece)
+
+    return F.when(F.try_parse_json(whole).isNotNull(), F.array_join(F.transform(pieces, one), "")).otherwise(redact(whole))
+
+
 def is_reasoning_model(group: Column | str, without: tuple[str, ...]) -> Column:
     """Not one of the groups that never reason, with or without ``-fast``."""
     return ~F.regexp_replace(col(group), "-fast$", "").isin(*without)

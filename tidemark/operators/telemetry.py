@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tri_state
+from ..staging import stage
 
 SLO_MS, ALERT_PERCENT = 200.0, 50.0
 
 
 def pct_ceil(value: str, p: float) -> Column:
-    """Nearest-rank percentile: the value of rank max(1, ceil(p * n)); null for no values. Keeps a count for each value."""
+    """Nearest-rank percentile: the value of rank max(1, ceil(p * n)); null for no values. Keeps a count for each
+    value of a group in one task; :func:`large_percentiles` doesn't."""
     return F.expr(f"percentile_disc({p!r}D) WITHIN GROUP (ORDER BY {value})")
 
 
@@ -173,3 +178,46 @@ def stress_verdict(summary: DataFrame, max_error_rate: float = 0.0, allow_degrad
 
 def concurrency_verdict(summary: DataFrame, all_ok: bool = True) -> DataFrame:
     return summary.withColumn("passed", (F.col("n") > 0) & ((F.col("ok") == F.col("n")) if all_ok else (F.col("ok") >= 1)))
+
+
+def selected_ranks(rows: DataFrame, value: str, ranks: dict[str, Callable[[Column], Column]], *by: str) -> DataFrame:
+    """A row for each group (one for all rows where ``by`` is empty): ``by``, ``n`` values that aren't null, and for each name in
+    ``ranks`` the value whose rank (from 1, by value) that function of ``n`` says; null where there is none.
+
+    For groups of any size: values are counted before they are shuffled, lie in ranges of (group, value), and a range's total says
+    whether a rank lies in it. Only ranges that hold an asked rank are put in order, so no task holds more than one range.
+    Rows with a null in ``by`` are a group of their own; NaN is the greatest value.
+    """
+    groups = rows.groupBy(*by).agg(F.count(value).alias("n"))
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(counts.repartitionByRange(parts, *by, "__value").withColumn("__part", F.spark_partition_id()), "ranges")
+    # A row for each range and group in it: ranges of a group follow one another, so there are no more than ranges and groups.
+    totals = ranged.groupBy(*by, "__part").agg(F.sum("__n").alias("__sum"))
+    before = Window.partitionBy(*by).orderBy("__part")
+    based = totals.withColumn("__base", F.sum("__sum").over(before) - F.col("__sum"))
+
+    def same(left: DataFrame, right: DataFrame, *more: str) -> Column:
+        return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in (*by, *more)], F.lit(True))
+
+    asked = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("long").alias("rank")) for name, rank in ranks.items()]))
+    wanted = groups.where("n > 0").withColumn("__asked", asked).select(*by, F.col("__asked.name").alias("__name"), F.col("__asked.rank").alias("__rank"))
+    inside = (wanted["__rank"] > based["__base"]) & (wanted["__rank"] <= based["__base"] + based["__sum"])
+    held = based.join(wanted, same(based, wanted) & inside).select(*[based[c] for c in by], "__part", "__name", (F.col("__rank") - F.col("__base")).alias("__rank"))
+    held = stage(held.groupBy(*by, "__part").agg(F.collect_list(F.struct("__name", "__rank")).alias("__asked")), "ranks")
+    in_range = ranged.join(held, same(ranged, held, "__part")).select(*[ranged[c] for c in by], ranged["__part"], "__value", "__n", "__asked")
+    upto = F.sum("__n").over(Window.partitionBy(*by, "__part").orderBy("__value"))
+    hits = F.filter("__asked", lambda a: (a["__rank"] <= F.col("__upto")) & (a["__rank"] > F.col("__upto") - F.col("__n")))
+    found = in_range.withColumn("__upto", upto).select(*by, "__value", F.explode(hits).alias("__hit"))
+    values = found.groupBy(*by).agg(*[F.max(F.when(F.col("__hit.__name") == name, F.col("__value"))).alias(name) for name in ranks])
+    return groups.join(values, same(groups, values), "left").select(*[groups[c] for c in by], "n", *ranks)
+
+
+def large_percentiles(rows: DataFrame, value: str, percents: tuple[int, ...] = (50, 90, 95), *by: str, floor: bool = False) -> DataFrame:
+    """As :func:`pct_ceil` (or :func:`pct_floor`) in columns p50, p90 .., for groups whose distinct values don't fit into a task."""
+
+    def rank(percent: int) -> Callable[[Column], Column]:
+        share = F.lit(percent / 100)
+        return lambda n: F.least(n, F.floor(n * share) + 1) if floor else F.greatest(F.lit(1), F.ceil(n * share))
+
+    return selected_ranks(rows, value, {f"p{p}": rank(p) for p in percents}, *by)
