@@ -276,7 +276,7 @@ def redact_json(text: Column | str) -> Column:
     Strings are unescaped before they are looked at and escaped again, so no escape hides a key or its beginning.
     """
     whole = col(text)
-    pieces = F.regexp_extract_all(whole, F.lit('"(?:\\\\.|[^"\\\\])*"(?:\\s*:)?|[^"]+'), F.lit(0))
+    pieces = F.regexp_extract_all(whole, F.lit('"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"(?:\\s*+:)?+|[^"]++'), F.lit(0))
 
     def one(piece: Column) -> Column:
         plain = F.get_json_object(F.concat(F.lit('{"v":'), piece, F.lit("}")), "$.v")
