@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import telemetry
 from ..operators.chunking import file_definitions
+from ..sources.generations import Profile
+from ..sources.registry import NotReady, Registry
+from ..staging import new_path
 from .fixtures import table
+from .maintenance_queries import letters
 
 LANGUAGES = ("javascript", "go", "csharp", "bash", "typescript")
 
@@ -61,7 +65,30 @@ def large_percentiles(spark, d):
     return one.unionByName(telemetry.large_percentiles(lines, "price", (50, 90, 95), floor=True).withColumn("l_returnflag", F.lit("all")))
 
 
-QUERIES = {f.__name__: f for f in (code_definitions, nested_redaction, large_percentiles)}
+def profile_status(spark, d):
+    """Three profiles over whole texts: one of the head, in use; one of a commit before that; one that was never synced. Putting the
+    last two to use is refused, which ``refused`` says."""
+    files = table(spark, d, "documents").select(
+        F.concat(F.lit("docs/"), F.col("doc_id").cast("string")).alias("path"), F.lit("code").alias("kind"), F.lit(None).cast("string").alias("lang"),
+        tx.git_blob_sha(F.encode("text", "UTF-8")).alias("blob_sha"), F.regexp_replace("text", "\n", " ").alias("content"), "doc_id",
+    )
+    registry = Registry(spark, new_path(spark, "profiles"))
+    for slug in ("first", "second", "third"):
+        registry.register(Profile(slug, 4))
+    registry.store("first").sync(files.drop("doc_id"), "r", head="h2", gate=False, call=letters)
+    registry.store("second").sync(files.where("doc_id % 3 > 0").drop("doc_id"), "r", head="h1", gate=False, call=letters)
+    registry.use("first", "h2", seen=registry.version())
+    refused = {}
+    for slug in ("second", "third"):
+        try:
+            registry.use(slug, "h2")
+        except NotReady as e:
+            refused[slug] = e.state
+    said = F.create_map(*[F.lit(x) for pair in refused.items() for x in pair])
+    return registry.status("h2").withColumn("refused", F.try_element_at(said, "profile"))
+
+
+QUERIES = {f.__name__: f for f in (code_definitions, nested_redaction, large_percentiles, profile_status)}
 
 _SAID = "regexp_replace(regexp_replace(t, '\\b(sk_live_|sk_test_|sk-)[A-Za-z0-9_\\-]{4,}', '\\1***REDACTED***', 'gi'), '\\b(Bearer\\s+)[A-Za-z0-9_\\-.]{4,}', '\\1***REDACTED***', 'gi')"
 ORACLE_SQL = {
@@ -74,4 +101,8 @@ ORACLE_SQL = {
     "large_percentiles": """WITH g AS (SELECT l_returnflag, list(l_extendedprice::DOUBLE ORDER BY l_extendedprice) AS v FROM lineitem GROUP BY 1), a AS (SELECT list(l_extendedprice::DOUBLE ORDER BY l_extendedprice) AS v FROM lineitem)
         SELECT l_returnflag, len(v)::BIGINT AS n, v[ceil(len(v) * 0.5::DOUBLE)::BIGINT] AS p50, v[ceil(len(v) * 0.9::DOUBLE)::BIGINT] AS p90, v[ceil(len(v) * 0.95::DOUBLE)::BIGINT] AS p95 FROM g
         UNION ALL SELECT 'all', len(v)::BIGINT, v[floor(len(v) * 0.5::DOUBLE)::BIGINT + 1], v[floor(len(v) * 0.9::DOUBLE)::BIGINT + 1], v[floor(len(v) * 0.95::DOUBLE)::BIGINT + 1] FROM a""",
+    "profile_status": """WITH w AS (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents), c AS (SELECT DISTINCT doc_id, substr(t, i * 1600 + 1, 1600) FROM (SELECT doc_id, t, unnest(range(ceil(length(t) / 1600)::INT)) AS i FROM w WHERE trim(t) <> '')),
+        n AS (SELECT count(DISTINCT doc_id) AS f1, count(*) AS c1, count(DISTINCT doc_id) FILTER (doc_id % 3 > 0) AS f2, count(*) FILTER (doc_id % 3 > 0) AS c2 FROM c)
+        SELECT v.* FROM n, LATERAL (VALUES ('first', true, 1, 'h2', f1, c1, 0::BIGINT, 'ready', NULL), ('second', false, 1, 'h1', f2, c2, 0, 'stale', 'stale'), ('third', false, 0, NULL, 0, 0, 0, 'missing', 'missing'))
+          v(profile, in_use, generation, head, files, chunks, unusable, state, refused)""",
 }
