@@ -254,3 +254,11 @@ def clamp_k(k: int | None, omitted: int = 6) -> tuple[int, int]:
     """(how many to return, how deep to search): an omitted k is 6, others are held within 1 to 50; 8 deep at least."""
     k = omitted if k is None else max(1, min(k, 50))
     return k, max(k, FINAL_K)
+
+
+def shown_hits(chunks: DataFrame, queries: DataFrame, k: int | None = None, **options) -> DataFrame:
+    """What a caller is shown: of a search that goes deeper than ``k`` (:func:`clamp_k`), without hits that repeat an earlier one, the
+    first ``k``, numbered by ``shown``. A smaller k shows the start of what a larger one shows, as long as both search 8 deep."""
+    wanted, depth = clamp_k(k)
+    once = dedupe_hits(search(chunks, queries, depth, **options))
+    return once.withColumn("shown", F.row_number().over(Window.partitionBy("qid").orderBy("pos"))).where(F.col("shown") <= wanted)

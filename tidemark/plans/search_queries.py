@@ -149,6 +149,12 @@ def hybrid_search_indexed(spark, d):
     return shown(op.search(c, search_queries(spark, d), dense=cells.topk, lexical=_stored(spark, d).topk))
 
 
+def search_shown(spark, d):
+    """Three hits a question, of a search that goes eight deep."""
+    hits = op.shown_hits(chunks(spark, d), search_queries(spark, d), 3)
+    return hits.select("qid", "id", F.col("pos").cast("int").alias("pos"), F.col("shown").cast("int").alias("shown"))
+
+
 def half_round_trip(spark, d):
     """Vectors through binary16 and their stored text: how far they come back, the largest change of a component, the verdict."""
     v = table(spark, d, "embeddings").withColumn("back", em.parse_vector(F.format_string("[%s]", F.array_join(em.half_vector("embedding"), ","))))
@@ -176,7 +182,7 @@ QUERIES = {
     for f in (
         flagship_hybrid_search, dense_topk, dense_topk_single, lexical_topk_bm25, websearch_match, rrf_weighted, search_gate, search_filtered,
         provenance_mix, dedupe_hits, context_blocks, compact_content, hit_projection, batch_topk_per_label, fp16_round_trip,
-        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed, half_round_trip, word_stems, stemmed_search,
+        dense_cells_exact, dense_cells_recall, lexical_stored, websearch_stored, hybrid_search_indexed, half_round_trip, word_stems, stemmed_search, search_shown,
     )
 }
 
@@ -243,6 +249,9 @@ ORACLE_SQL |= {
     "word_stems": f"WITH words AS (SELECT DISTINCT unnest({TOKENS_SQL.format('text')}) AS w FROM documents) SELECT w AS word, stem FROM {stems_sql('words')}",
     "stemmed_search": f"WITH {', '.join([CHUNKS_SQL, QUERIES_SQL, DENSE_SQL, LEXICAL_SQL, _STEMMED, _FUSED3, hits_sql()])} {SHOWN_SQL}",
 }
+ORACLE_SQL["search_shown"] = f"""WITH {SEARCH_SQL},\n{hits_sql(k=8)}, once AS (SELECT * FROM hits
+    QUALIFY row_number() OVER (PARTITION BY qid, path, coalesce(symbol, ''), kind, left(content, 200) ORDER BY pos) = 1)
+    SELECT qid, id, pos::INT AS pos, row_number() OVER (PARTITION BY qid ORDER BY pos)::INT AS shown FROM once QUALIFY shown <= 3"""
 ORACLE_SQL["half_round_trip"] = f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 h AS (SELECT *, list_transform(e, lambda x: CASE WHEN x = 0 THEN 0 ELSE sign(x) * round_even(abs(x) / pow(2, greatest(floor(log2(abs(x))), -14) - 10), 0)
   * pow(2, greatest(floor(log2(abs(x))), -14) - 10) END) AS b FROM v)

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import struct
+import uuid
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +16,7 @@ from ..operators import telemetry
 from ..operators.chunking import file_definitions
 from ..sources.generations import Profile
 from ..sources.registry import NotReady, Registry
+from ..sources.versioned import versioned_files
 from ..staging import new_path
 from .fixtures import table
 from .maintenance_queries import letters
@@ -88,7 +95,44 @@ def profile_status(spark, d):
     return registry.status("h2").withColumn("refused", F.try_element_at(said, "profile"))
 
 
-QUERIES = {f.__name__: f for f in (code_definitions, nested_redaction, large_percentiles, profile_status)}
+TREE_IDS = 2048
+
+
+def _write_index(files: pd.DataFrame, folder: str) -> pd.DataFrame:
+    """An index file (format 2) of a tree of its own; a task that is run again writes the same bytes."""
+    tree, body = files["tree"].iloc[0], struct.pack(">4sII", b"DIRC", 2, len(files))
+    for path, blob in sorted(zip(map(str.encode, files["path"]), files["blob_sha"])):
+        entry = bytes(24) + struct.pack(">I", 0o100644) + bytes(12) + bytes.fromhex(blob) + struct.pack(">H", min(len(path), 0xFFF)) + path
+        body += entry + bytes(8 - len(entry) % 8)
+    system, top = fs.FileSystem.from_uri(folder)
+    place = f"{top}/{tree}/.git"
+    system.create_dir(place)
+    attempt = f"{place}/{uuid.uuid4().hex}"
+    with system.open_output_stream(attempt) as f:
+        f.write(body + hashlib.sha1(body).digest())
+    system.move(attempt, f"{place}/index")
+    return pd.DataFrame({"tree": [tree], "files": [len(files)]})
+
+
+def versioned_listing(spark, d):
+    """Trees of 2,048 ids each, with a file for each text, written as index files and listed again; what the tree before hadn't got
+    (ids that 7 divides weren't there, ids that 5 divides had another text) would be opened."""
+    docs, folder = table(spark, d, "documents"), new_path(spark, "trees")
+    text, name = F.coalesce("text", F.lit("")), F.element_at(F.array(*map(F.lit, ("md", "py", "bin", "cs"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    files = docs.select(
+        F.floor(F.col("doc_id") / TREE_IDS).cast("string").alias("tree"), "doc_id",
+        F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit("-"), F.md5(F.encode(text, "UTF-8")), F.lit("."), name).alias("path"),
+        tx.git_blob_sha(F.encode(text, "UTF-8")).alias("blob_sha"),
+    ).distinct()
+    files.groupBy("tree").applyInPandas(lambda pdf: _write_index(pdf, folder), "tree string, files long").count()
+    listed = versioned_files(spark, folder).withColumn("tree", F.substring_index("root", "/", -1))
+    before = files.where("doc_id % 7 <> 0").select("tree", "path", F.when(F.col("doc_id") % 5 == 0, F.lit("0" * 40)).otherwise(F.col("blob_sha")).alias("blob_sha"))
+    found = listed.join(before.withColumn("known", F.lit(True)), ["tree", "path", "blob_sha"], "left")
+    kind = tx.classify_path("path")["kind"]
+    return found.select("tree", "path", "mode", "blob_sha", "stage", kind.alias("kind"), (kind.isNotNull() & F.col("known").isNull()).alias("opened"))
+
+
+QUERIES = {f.__name__: f for f in (code_definitions, nested_redaction, large_percentiles, profile_status, versioned_listing)}
 
 _SAID = "regexp_replace(regexp_replace(t, '\\b(sk_live_|sk_test_|sk-)[A-Za-z0-9_\\-]{4,}', '\\1***REDACTED***', 'gi'), '\\b(Bearer\\s+)[A-Za-z0-9_\\-.]{4,}', '\\1***REDACTED***', 'gi')"
 ORACLE_SQL = {
@@ -101,6 +145,9 @@ ORACLE_SQL = {
     "large_percentiles": """WITH g AS (SELECT l_returnflag, list(l_extendedprice::DOUBLE ORDER BY l_extendedprice) AS v FROM lineitem GROUP BY 1), a AS (SELECT list(l_extendedprice::DOUBLE ORDER BY l_extendedprice) AS v FROM lineitem)
         SELECT l_returnflag, len(v)::BIGINT AS n, v[ceil(len(v) * 0.5::DOUBLE)::BIGINT] AS p50, v[ceil(len(v) * 0.9::DOUBLE)::BIGINT] AS p90, v[ceil(len(v) * 0.95::DOUBLE)::BIGINT] AS p95 FROM g
         UNION ALL SELECT 'all', len(v)::BIGINT, v[floor(len(v) * 0.5::DOUBLE)::BIGINT + 1], v[floor(len(v) * 0.9::DOUBLE)::BIGINT + 1], v[floor(len(v) * 0.95::DOUBLE)::BIGINT + 1] FROM a""",
+    "versioned_listing": """WITH f AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents), k(m, ext, kind) AS (VALUES (0, 'md', 'doc'), (1, 'py', 'code'), (2, 'bin', NULL), (3, 'cs', 'code'))
+        SELECT floor(doc_id / 2048)::BIGINT::VARCHAR AS tree, 'docs/' || doc_id || '-' || md5(t) || '.' || ext AS path, '100644' AS mode, sha1(encode('blob ' || strlen(t)) || '\\x00'::BLOB || encode(t)) AS blob_sha,
+          0 AS stage, kind, kind IS NOT NULL AND (doc_id % 7 = 0 OR doc_id % 5 = 0) AS opened FROM f JOIN k ON doc_id % 4 = m""",
     "profile_status": """WITH w AS (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents), c AS (SELECT DISTINCT doc_id, substr(t, i * 1600 + 1, 1600) FROM (SELECT doc_id, t, unnest(range(ceil(length(t) / 1600)::INT)) AS i FROM w WHERE trim(t) <> '')),
         n AS (SELECT count(DISTINCT doc_id) AS f1, count(*) AS c1, count(DISTINCT doc_id) FILTER (doc_id % 3 > 0) AS f2, count(*) FILTER (doc_id % 3 > 0) AS c2 FROM c)
         SELECT v.* FROM n, LATERAL (VALUES ('first', true, 1, 'h2', f1, c1, 0::BIGINT, 'ready', NULL), ('second', false, 1, 'h1', f2, c2, 0, 'stale', 'stale'), ('third', false, 0, NULL, 0, 0, 0, 'missing', 'missing'))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import telemetry as op
+from ..sources.series import append_series
+from ..staging import new_path
 from .fixtures import table
 
 #: Prices a million tokens: one group is free, one unknown.
@@ -137,12 +139,23 @@ def stress_errors(spark, d):
     return op.error_histogram(stress(spark, d), "grp")
 
 
+def cost_series(spark, d):
+    """A snapshot of the spend for each of three days, appended to one series; the one of the first day is lost, as the series
+    was damaged before the second was taken."""
+    calls, path = priced(spark, d), new_path(spark, "series")
+    for n, day in enumerate(("2024-01-10", "2024-01-20", "2024-01-31")):
+        if n == 1:
+            calls.limit(1).select(F.lit('{"taken_at": "2024-01-').alias("value")).write.mode("append").text(path)
+        series = append_series(op.cost_snapshots(calls.where(F.col("day") <= day), day), path)
+    return series
+
+
 def cost_snapshot(spark, d):
     return op.cost_snapshots(priced(spark, d), "2024-03-01")
 
 
 _NAMES = """spend_totals spend_by_group spend_by_day spend_in_scope spend_log_parse uncached_percentiles cache_hit_tristate latency_slo latency_by_kind
-latency_by_profile search_errors staleness_stats event_types slo_alert stress_summary concurrency_summary stress_errors cost_snapshot""".split()
+latency_by_profile search_errors staleness_stats event_types slo_alert stress_summary concurrency_summary stress_errors cost_snapshot cost_series""".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 
 _CALLS = """k AS (SELECT *, (props::JSON->>'k')::BIGINT AS k FROM events),
@@ -211,5 +224,10 @@ ORACLE_SQL = {
         coalesce(p95_ms > 2 * p50_ms, false) AS degraded, round((n - ok)::DOUBLE / n, 6) <= 0.25 AS passed FROM g""",
     "concurrency_summary": f"{_SUMMARY} SELECT grp, n, ok, p50_ms, p95_ms, ok >= 1 AS passed FROM g",
     "stress_errors": f"WITH {_STRESS} SELECT grp, status_code, count(*) AS n FROM r WHERE status_code <> 200 GROUP BY ALL",
+    "cost_series": f"WITH {_CALLS}"
+    + " UNION ALL ".join(
+        f" SELECT '{day}' AS taken_at, calls, spend, no_cache, savings, hit_rate FROM ({_spend('', '(SELECT * FROM priced WHERE day <= ' + chr(39) + day + chr(39) + ')')})"
+        for day in ("2024-01-20", "2024-01-31")
+    ),
     "cost_snapshot": f"WITH {_CALLS} SELECT '2024-03-01' AS taken_at, calls, spend, no_cache, savings, hit_rate FROM ({_spend('')})",
 }
