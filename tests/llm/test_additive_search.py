@@ -66,6 +66,20 @@ def test_recall_and_equal_results_however_the_rows_are_dealt(spark):
     rows.unpersist()
 
 
+@pytest.mark.parametrize("rows", ["wide", "scales", "far away"])
+def test_recall_on_rows_that_codes_tell_apart_badly(spark, rows):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(4_000, 128 if rows == "wide" else 32))
+    data = {"wide": data, "scales": data * 10 ** rng.uniform(-3, 3, (4_000, 1)), "far away": data + 1e4}[rows].astype(np.float32)
+    got = ads.nearest(spark.createDataFrame([(i, v.tolist(), 0, "", "") for i, v in enumerate(data)], SCHEMA).repartition(3), every=100, k=10).collect()
+    hits = 0
+    for q in range(0, 4_000, 100):
+        away = ads.distances(data.astype(float), data[q].astype(float))
+        away[q] = np.inf
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(away, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 400
+
+
 def test_merged_shortlists_are_those_of_all_rows_at_once():
     rng = np.random.default_rng(9)
     query, row, near = rng.integers(0, 5, 4000), rng.integers(0, 300, 4000), rng.integers(0, 40, 4000).astype(np.float32)

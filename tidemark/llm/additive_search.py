@@ -8,13 +8,18 @@ codewords and a lookup a codebook.
 The index is a table of slabs: ids, codes and norms of many rows as binary values. Blocks of queries are a table as well, and
 one pass scores every slab for every block. A task keeps one shortlist a query over all its slabs and passes it on at its end, the
 best of all tasks are one shortlist a query, and only that is compared exactly with the original vectors, wherever its rows lay.
-A shortlist grows with the square root of the table, since so do the rows that a code of fixed size can't tell from the nearest.
+A shortlist grows with the square root of the table, since so do the rows that a code of fixed size can't tell from the nearest;
+where that is too short for the rows at hand, as an exact pass for some of the queries shows, it is as long as they need.
+
+Vectors are coded less the sample's mean and in units of its spread. Scores are summed in double precision, so that rows that
+differ little from one another aren't lost in the size of what they share.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -33,6 +38,8 @@ ROUNDS = 5
 #: Rows that are compared exactly with a query: the greatest of SHORTLIST, SHORTLIST_TIMES as many as are asked for, and
 #: SHORTLIST_ROOTS times the square root of the table's rows.
 SHORTLIST, SHORTLIST_TIMES, SHORTLIST_ROOTS = 128, 4, 1.5
+#: Queries that are also answered exactly, and the share of their nearest rows that the shortlist has to hold.
+MEASURED, WANTED = 128, 0.97
 #: Rows of a slab, queries of a block, and entries of shortlists that a task holds, at most.
 SLAB, QUERY_BLOCK, HELD = 32_768, 2048, 4 << 20
 SEED = 11
@@ -93,8 +100,8 @@ def encode(vectors: np.ndarray, codebooks: np.ndarray, beam: int = BEAM) -> tupl
 
 def lookup_scores(queries: np.ndarray, codebooks: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
     """Squared distances of each query to each coded vector, less the query's own squared norm."""
-    table = np.einsum("qd,mkd->mqk", queries.astype(np.float32), codebooks, optimize=True)
-    inner = np.zeros((len(queries), len(codes)), np.float32)
+    table = np.einsum("qd,mkd->mqk", queries.astype(np.float64), codebooks.astype(np.float64), optimize=True)
+    inner = np.zeros((len(queries), len(codes)))
     for m in range(len(codebooks)):
         inner += table[m][:, codes[:, m]]
     return norms - 2 * inner
@@ -127,25 +134,53 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, np.ndarray | None]:
-    """(ids, codes, norms) slabs of all rows, written to the shared folder, and the codebooks; None twice for an empty table."""
+@dataclass(frozen=True)
+class Quantiser:
+    """Codebooks of vectors less ``middle``, in units of ``unit``."""
+
+    books: np.ndarray
+    middle: np.ndarray
+    unit: float
+
+    @classmethod
+    def of(cls, sample: np.ndarray) -> Quantiser:
+        middle = sample.mean(0)
+        # A power of two: vectors are scaled without rounding.
+        unit = 2.0 ** np.frexp(max(float(np.abs(sample - middle).max()), np.finfo(float).tiny))[1]
+        return cls(learn_codebooks((sample - middle) / unit), middle, unit)
+
+    def scaled(self, vectors: np.ndarray) -> np.ndarray:
+        return (vectors - self.middle) / self.unit
+
+    def coded(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, squared norms of the sums, squared errors), both in double precision."""
+        vectors = self.scaled(vectors)
+        codes, _ = encode(vectors, self.books)
+        sums = np.zeros(vectors.shape)
+        for m, book in enumerate(self.books):
+            sums += book[codes[:, m]]
+        return codes, (sums * sums).sum(1), ((vectors - sums) ** 2).sum(1)
+
+
+def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, Quantiser | None]:
+    """(ids, codes, norms, errors) slabs of all rows, written to the shared folder, and the codebooks; None twice for an empty table."""
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRAINING).select("embedding").toArrow().column(0).combine_chunks()
     if not len(sample):
         return None, None
-    codebooks = learn_codebooks(matrix(sample, dims))
+    quantiser = Quantiser.of(matrix(sample, dims))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def slab() -> pa.RecordBatch:
             packed = [b"".join(column) for column in zip(*held, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in packed], names=["ids", "codes", "norms"])
+            return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in packed], names=["ids", "codes", "norms", "errors"])
 
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
-                codes, norms = encode(matrix(batch.column(1), dims), codebooks)
-                held.append((batch.column(0).to_numpy().astype("<i8").tobytes(), codes.tobytes(), norms.astype("<f4").tobytes()))
+                codes, norms, errors = quantiser.coded(matrix(batch.column(1), dims))
+                held.append((batch.column(0).to_numpy().astype("<i8").tobytes(), codes.tobytes(), norms.astype("<f8").tobytes(), errors.astype("<f8").tobytes()))
                 size += batch.num_rows
                 if size >= SLAB:
                     yield slab()
@@ -153,7 +188,75 @@ def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, np.nda
         if size:
             yield slab()
 
-    return stage(vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary"), "additive-index"), codebooks
+    return stage(vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary, errors binary"), "additive-index"), quantiser
+
+
+def true_nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int) -> tuple[list, dict[int, np.ndarray]]:
+    """The measured queries' vectors, after (query_id, vec_id, near, embedding) of the k nearest rows of each of at most MEASURED queries, by an exact pass over all rows."""
+    asked = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MEASURED).collect()
+    names, points = np.array([r.vec_id for r in asked], np.int64), np.array([r.embedding for r in asked], float).reshape(-1, dims)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                ids = batch.column(0).to_numpy()
+                away = distances(points[:, None, :], matrix(batch.column(1), dims)[None, :, :])
+                away[names[:, None] == ids] = np.inf
+                limit = np.partition(away, k - 1, axis=1)[:, k - 1] if k < len(ids) else np.full(len(names), np.inf)
+                query, row = np.nonzero((away <= limit[:, None]) & np.isfinite(away))
+                best = best_of(best, (names[query], ids[row], away[query, row]), k)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best], names=["query_id", "vec_id", "near"])
+
+    met = vectors.select("vec_id", "embedding").mapInArrow(run, "query_id long, vec_id long, near double")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "vec_id"))
+    once = met.groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
+    nearest = stage(once.withColumn("place", place).where(F.col("place") <= k).drop("place"), "true-nearest")
+    rows = vectors.join(F.broadcast(nearest.select("vec_id").distinct()), "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return nearest.join(rows, "vec_id").collect(), dict(zip(names.tolist(), points, strict=True))  # MEASURED * k rows at most
+
+
+def needed(vectors: DataFrame, slabs: DataFrame, quantiser: Quantiser, queries: DataFrame, dims: int, k: int) -> tuple[int, float]:
+    """(rows, weight): how long a shortlist holds the share WANTED of the nearest rows of the measured queries, and whether a row's score
+    is its code's (0.0) or that and the code's squared error (1.0), whichever needs the shorter one.
+
+    The error counts where rows are coded unequally well (no structure, many dimensions), and misleads where they lie in clusters.
+    """
+    found, points = true_nearest(vectors, queries, dims, k)
+    if not found:
+        return 0, 0.0
+    codes, norms, errors = quantiser.coded(np.array([r.embedding for r in found], float))
+    ids, owners = np.array([r.vec_id for r in found], np.int64), np.array([r.query_id for r in found], np.int64)
+    names = np.unique(owners)
+    asked = quantiser.scaled(np.stack([points[n] for n in names.tolist()]))
+    of_query = [np.flatnonzero(owners == n) for n in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ahead = np.zeros((2, len(ids)), np.int64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                all_ids, all_codes, all_norms, all_errors = (c[row].as_buffer() for c in batch.columns)
+                all_ids, all_norms, all_errors = np.frombuffer(all_ids, "<i8"), np.frombuffer(all_norms, "<f8"), np.frombuffer(all_errors, "<f8")
+                all_codes = np.frombuffer(all_codes, np.uint8).reshape(len(all_ids), -1)
+                for at in range(0, len(all_ids), 4096):
+                    cut = slice(at, at + 4096)
+                    plain = lookup_scores(asked, quantiser.books, np.concatenate([all_codes[cut], codes]), np.concatenate([all_norms[cut], norms]))
+                    n = len(all_ids[cut])
+                    for weight in (0, 1):
+                        scores = plain + weight * np.concatenate([all_errors[cut], errors])
+                        for q, mine in enumerate(of_query):
+                            other, own = scores[q, :n], scores[q, n + mine][:, None]
+                            before = (other < own) | ((other == own) & (all_ids[cut] < ids[mine][:, None]))
+                            ahead[weight, mine] += (before & (all_ids[cut] != names[q])).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], len(ids))), pa.array(np.tile(np.arange(len(ids)), 2)), pa.array(ahead.ravel())], names=["weight", "row", "n"])
+
+    counts = slabs.mapInArrow(run, "weight long, row long, n long").groupBy("weight", "row").agg(F.sum("n").alias("n")).collect()  # twice MEASURED * k
+    places = {w: np.sort([r.n for r in counts if r.weight == w]) for w in (0, 1)}
+    lengths = {w: int(p[math.ceil(WANTED * len(p)) - 1]) + 1 for w, p in places.items()}
+    weight = min(lengths, key=lambda w: (lengths[w], w))
+    return lengths[weight], float(weight)
 
 
 def query_blocks(queries: DataFrame, size: int) -> DataFrame:
@@ -215,22 +318,22 @@ def best_of(held: tuple[np.ndarray, ...] | None, found: tuple[np.ndarray, ...],
     return query[kept], row[kept], near[kept]
 
 
-def candidates(slabs: DataFrame, blocks: DataFrame, codebooks: np.ndarray, short: int, together: int) -> DataFrame:
+def candidates(slabs: DataFrame, blocks: DataFrame, quantiser: Quantiser, short: int, together: int, weight: float = 0.0) -> DataFrame:
     """(query_id, vec_id): of each query the ``short`` rows with the smallest lookup scores, equal ones by the smaller id.
 
     ``together`` blocks are sent to all slabs at once; a task holds a shortlist for each of their queries and passes on no others.
     """
-    books, dims = codebooks.shape[0], codebooks.shape[2]
+    books, dims = quantiser.books.shape[0], quantiser.books.shape[2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[np.ndarray, ...]] = {}
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, codes, norms, block, query_ids, queries = batch.columns
-                ids, codes, norms, query_ids, queries = (c[row].as_buffer() for c in (ids, codes, norms, query_ids, queries))
+                ids, codes, norms, errors, block, query_ids, queries = batch.columns
+                ids, codes, norms, errors, query_ids, queries = (c[row].as_buffer() for c in (ids, codes, norms, errors, query_ids, queries))
                 found = shortlists(
-                    np.frombuffer(query_ids, "<i8"), np.frombuffer(queries, "<f8").reshape(-1, dims), codebooks,
-                    np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(-1, books), np.frombuffer(norms, "<f4"), short,
+                    np.frombuffer(query_ids, "<i8"), quantiser.scaled(np.frombuffer(queries, "<f8").reshape(-1, dims)), quantiser.books,
+                    np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(-1, books), np.frombuffer(norms, "<f8") + weight * np.frombuffer(errors, "<f8"), short,
                 )
                 number = block[row].as_py()
                 best[number] = best_of(best.get(number), tuple(np.concatenate(c) for c in zip(*found, strict=True)), short)
@@ -241,7 +344,7 @@ def candidates(slabs: DataFrame, blocks: DataFrame, codebooks: np.ndarray, short
     dealt = slabs.repartition(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     waves = -(-blocks.count() // together)
     scored = [
-        dealt.crossJoin(F.broadcast(blocks.where(F.expr(f"block DIV {together} = {wave}")))).mapInArrow(run, "query_id long, vec_id long, near float")
+        dealt.crossJoin(F.broadcast(blocks.where(F.expr(f"block DIV {together} = {wave}")))).mapInArrow(run, "query_id long, vec_id long, near double")
         for wave in range(max(1, waves))
     ]
     one = reduce(DataFrame.unionAll, scored).groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
@@ -263,14 +366,18 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     components, a candidate their nearest. An empty table gives no rows; other columns aren't read.
     """
     vectors, dims = usable(vectors)
-    slabs, codebooks = build_index(vectors, dims)
-    if codebooks is None:
+    slabs, quantiser = build_index(vectors, dims)
+    if quantiser is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = slabs.agg(F.sum(F.octet_length("ids") / 8).cast("long")).first()[0]
     short = max(SHORTLIST, SHORTLIST_TIMES * k, math.ceil(SHORTLIST_ROOTS * math.sqrt(rows)))
+    weight = 0.0
+    if rows > short + 1:
+        long, weight = needed(vectors, slabs, quantiser, queries, dims, k)
+        short = max(short, long)
     size = max(1, min(QUERY_BLOCK, HELD // short))
-    found = stage(candidates(slabs, query_blocks(queries, size), codebooks, short, max(1, HELD // (size * short))), "shortlists")
+    found = stage(candidates(slabs, query_blocks(queries, size), quantiser, short, max(1, HELD // (size * short)), weight), "shortlists")
     with_rows = found.join(vectors, "vec_id").withColumnRenamed("embedding", "__row")
     with_both = with_rows.join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__query")), "query_id")
     one = with_both.groupBy("query_id", "vec_id").agg(F.min(euclidean(F.col("__row"), F.col("__query"))).alias("score"))
