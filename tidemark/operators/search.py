@@ -1,7 +1,8 @@
 """Hybrid search: dense and lexical top-k lists, weighted reciprocal-rank fusion, distance gate, deterministic order.
 
-All operators take many queries at once: a query frame has ``qid``, ``qvec`` and ``terms`` or ``q``. It is sent to every
-task, so its size is checked first; ``in_blocks`` and ``search`` send larger sets in blocks of ``QUERY_BLOCK``.
+All operators take many queries at once: a query frame has ``qid``, ``qvec`` and ``terms`` or ``q``. ``dense_topk`` and
+``lexical_topk`` also give the chunks, for ``QUERY_BLOCK`` queries at most; ``dense_lists``, ``lexical_lists`` and ``search``
+take any number (:mod:`.toplists`).
 """
 
 from __future__ import annotations
@@ -9,13 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..staging import stage
+from . import toplists
 
 DEPTH, FINAL_K, RRF_K = 50, 8, 60
 STEMMED_WEIGHT = 0.0
@@ -43,37 +43,32 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 
 def _bounded(queries: DataFrame) -> DataFrame:
-    """A query frame small enough to send to every task."""
+    """A query frame of one block."""
     n = queries.limit(QUERY_BLOCK + 1).count()
     if n > QUERY_BLOCK:
         raise ValueError(f"more than {QUERY_BLOCK} queries in one call; pass them in blocks (query_blocks)")
-    return F.broadcast(queries)
+    return queries
 
 
 def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> list[DataFrame]:
-    """The queries in blocks that search() accepts, dealt by a hash of their ids."""
+    """The queries in blocks that the functions for one block accept, dealt by a hash of their ids."""
     n = max(1, -(-queries.count() * 2 // block))
     return [queries.where(F.pmod(F.xxhash64("qid"), F.lit(n)) == i) for i in range(n)]
 
 
-def in_blocks(find: Callable[[DataFrame], DataFrame], queries: DataFrame) -> DataFrame:
-    """What ``find`` gives for any number of queries. Of more than one block, each block's rows are written before the next."""
-    if queries.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK:
-        return find(queries)
-    blocks = query_blocks(stage(queries, "queries"), QUERY_BLOCK)
-    return reduce(DataFrame.unionByName, [stage(find(block), "found") for block in blocks])
-
-
 def top(lists: DataFrame, n: int, *order: Column) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(*order, "id"))
     return lists.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def dense_lists(chunks: DataFrame, queries: DataFrame, n: int = DEPTH) -> DataFrame:
+    """qid, id, rank, dist: of any number of queries the n nearest chunks by cosine distance, ties by id."""
+    return toplists.dense(chunks, queries, n)
+
+
 def dense_topk(chunks: DataFrame, queries: DataFrame, n: int = DEPTH) -> DataFrame:
     """qid, rank, dist and the chunk: the n nearest chunks by cosine distance, ties by id."""
-    found = _bounded(queries.select("qid", "qvec")).join(chunks)
-    found = found.withColumn("dist", F.round(cosine_distance(F.col("embedding"), F.col("qvec")), 6)).where("dist IS NOT NULL")
-    return top(found.drop("embedding", "qvec"), n, F.col("dist"))
+    return dense_lists(chunks, _bounded(queries), n).join(chunks.drop("embedding"), "id")
 
 
 def dense_topk_one(chunks: DataFrame, vector: list[float], n: int = DEPTH) -> DataFrame:
@@ -151,24 +146,15 @@ def postings(chunks: DataFrame) -> DataFrame:
     )
 
 
-def lexical_topk(chunks: DataFrame, queries: DataFrame, n: int = DEPTH, index: DataFrame | None = None) -> DataFrame:
+def lexical_lists(chunks: DataFrame, queries: DataFrame, n: int = DEPTH) -> DataFrame:
+    """qid, id, rank, bm25: of the chunks that hold all of a query's terms, the n with the highest BM25, for any number of queries."""
+    listed = chunks.select("id", tokens("content").alias("terms"))
+    return toplists.lexical(lambda terms: toplists.count_terms(listed, terms), None, queries, n, K1, B)
+
+
+def lexical_topk(chunks: DataFrame, queries: DataFrame, n: int = DEPTH) -> DataFrame:
     """qid, rank, bm25 and the chunk: of the chunks that hold all of a query's terms, the n with the highest BM25."""
-    index = postings(chunks) if index is None else index
-    asked = _bounded(queries.select("qid", F.array_distinct("terms").alias("terms")))
-    asked = asked.select("qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-    corpus = chunks.agg(
-        F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(tokens("content"))).alias("avg_dl")
-    )  # one row
-    hits = index.join(F.broadcast(asked), "term")
-    df = hits.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("df"))
-    scored = hits.join(df, ["qid", "term"]).join(F.broadcast(corpus))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avg_dl")))
-    best = scored.groupBy("qid", "id").agg(
-        F.round(F.sum(part), 6).alias("bm25"), F.count(F.lit(1)).alias("n"), F.max("n_terms").alias("n_terms")
-    )
-    best = top(best.where("n = n_terms").select("qid", "id", "bm25"), n, F.desc("bm25"))
-    return best.join(chunks.select(*COLUMNS), "id")
+    return lexical_lists(chunks, _bounded(queries), n).join(chunks.select(*COLUMNS), "id")
 
 
 def reciprocal_rank_fusion(lists: list[DataFrame], weights: list[float] | None = None, k: int = RRF_K) -> DataFrame:
@@ -213,8 +199,8 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int =
 
     ``dense`` and ``lexical`` give the lists of (queries, depth) from an index (cells, postings) of the same chunks.
     """
-    dense = dense or (lambda all, n: in_blocks(lambda block: dense_topk(chunks, block, n).select("qid", "id", "rank", "dist"), all))
-    lexical = lexical or (lambda all, n: in_blocks(lambda block: lexical_topk(chunks, block, n).select("qid", "id", "rank"), all))
+    dense = dense or (lambda all, n: dense_lists(chunks, all, n))
+    lexical = lexical or (lambda all, n: lexical_lists(chunks, all, n))
     lists = [dense(queries, depth).select("qid", "id", "rank", "dist"), lexical(queries, depth).select("qid", "id", "rank")]
     used = list(weights)
     if stemmed is not None and stemmed_weight:

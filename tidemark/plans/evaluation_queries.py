@@ -28,8 +28,7 @@ def questions(spark, d):
 
 def retrieved(spark, d):
     c = chunks(spark, d)
-    shown = ["qid", "rank", "dist", "path", "symbol", "kind"]
-    dense = search.in_blocks(lambda block: search.dense_topk(c, block, 10).select(*shown), questions(spark, d))
+    dense = search.dense_lists(c, questions(spark, d), 10).join(c.select("id", "path", "symbol", "kind"), "id").drop("id")
     return search.distance_gate(dense, GATE).select(F.col("qid").cast("string").alias("id"), F.col("rank").alias("pos"), "path", "symbol", "kind")
 
 

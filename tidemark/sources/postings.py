@@ -21,13 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..operators.search import B, DEPTH, K1, LexicalQuery, in_blocks, top
+from ..operators import toplists
+from ..operators.search import B, DEPTH, K1, LexicalQuery, top
 from ..staging import stage
 
 #: Folders that terms are dealt to, postings of a block, segments and share of dead rows from which the index is written anew.
 BUCKETS, BLOCK, MOST_SEGMENTS, MOST_DEAD = 64, 128, 8, 0.25
 #: Postings that are scored before blocks are skipped by their bounds, as a multiple of the rows asked for.
 HEAD = 4
+#: Queries from which on each posting of their terms is read once for all of them, not once a query.
+MANY = 16
 
 BLOCKS = "term string, first_id long, last_id long, n int, ids array<long>, lengths array<int>, positions array<array<int>>, max_tf int, min_length int, bucket int"
 
@@ -141,9 +144,24 @@ class Postings:
         """qid, rank, id, bm25: of the rows that hold all of a query's terms, the n with the highest BM25, ties by id.
 
         A query's rarest term is read first. Of its blocks those with the highest bounds are scored, and the n-th best score
-        then rules out all blocks whose bound (with the best that the other terms can add) is lower.
+        then rules out all blocks whose bound (with the best that the other terms can add) is lower. MANY queries and more meet
+        the rows of their terms in one pass over these terms' postings.
         """
-        return in_blocks(lambda block: self._topk(block, n), queries)
+        if queries.limit(MANY).count() < MANY:
+            return self._topk(queries, n)
+        corpus = self.corpus().first()
+        return toplists.lexical(self._counted, lambda: (corpus.n_docs, corpus.mean), queries, n, K1, B).select("qid", "id", "bm25", "rank")
+
+    def _counted(self, terms: pa.Array) -> DataFrame:
+        """id, length, codes, tfs of the living rows that hold some of the terms."""
+        if not len(terms):
+            return self.spark.createDataFrame([], "id long, length int, codes array<int>, tfs array<int>")
+        coded = self.spark.createDataFrame([(t, i) for i, t in enumerate(terms.to_pylist())], "term string, code int")
+        each = self.blocks(terms.to_pylist()).select("term", F.explode(F.arrays_zip("ids", "lengths", F.transform("positions", F.size).alias("tfs"))).alias("p"))
+        rows = self._living(each.join(F.broadcast(coded), "term").select(F.col("p.ids").alias("id"), F.col("p.lengths").alias("length"), "code", F.col("p.tfs").alias("tf")))
+        # A row holds no more of them than it has words.
+        found = rows.groupBy("id").agg(F.max("length").alias("length"), F.collect_list(F.struct("code", "tf")).alias("held"))
+        return found.select("id", "length", F.col("held.code").alias("codes"), F.col("held.tf").alias("tfs"))
 
     def _topk(self, queries: DataFrame, n: int) -> DataFrame:
         once = queries.select("qid", F.array_distinct("terms").alias("terms")).select("qid", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
