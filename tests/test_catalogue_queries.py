@@ -29,3 +29,17 @@ def test_query(spark, con, sf_dir, name):
     assert columns == sorted(want.columns)
     order = [want.columns.index(c) for c in columns]
     assert sorted(repr(tuple(r[c] for c in columns)) for r in got.collect()) == sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall())
+
+
+@pytest.mark.parametrize("name", ["page_text", "enrich_full_outer"])
+def test_pages_cut_within_a_reference(spark, con, sf_dir, tmp_path, name):
+    for table in ("customer", "supplier", "nation"):
+        os.symlink(f"{sf_dir}/{table}.parquet", tmp_path / f"{table}.parquet")
+    pages = ["<title>a &amp b &am</title><p>x &copy; &quot;y&quot; &lt</p>", "<title>a &quot;b&quot; &amp; c </title>&notit; &eacute; &amp;lt;"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    query, own = catalogue.QUERIES[name](spark, str(tmp_path)), duckdb.connect()
+    for table in ("customer", "supplier", "nation"):
+        own.sql(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet')")
+    own.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = own.sql(catalogue.ORACLE_SQL[name])
+    assert sorted(repr(tuple(r)) for r in query.select(*want.columns).collect()) == sorted(map(repr, want.fetchall()))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from functools import cache
+from functools import cache, reduce
+from html import unescape as html_unescape
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,11 +95,25 @@ def unescape(text: Column | str) -> Column:
     return F.when(F.contains(whole, F.lit("&")), F.array_join(F.transform(F.split(whole, "(?=&)"), one), "")).otherwise(whole)
 
 
+#: The references that the pages' SQL decodes, in its order.
+PAGE_REFERENCES = ("&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;", "&copy;", "&middot;", "&amp;")
+
+
+def unescape_only(text: Column | str, references: tuple[str, ...]) -> Column:
+    """Just these references become characters, one after the other; all others stay, cut ones and those without a semicolon too."""
+    return reduce(lambda t, r: F.replace(t, F.lit(r), F.lit(html_unescape(r))), references, col(text))
+
+
 def strip_tags(html: Column | str) -> Column:
     """Tags become blanks, entities characters, runs of white space one blank."""
     return F.trim(F.regexp_replace(unescape(F.regexp_replace(col(html), "<[^>]+>", " ")), "(?U)\\s+", " "))
 
 
+def strip_tags_only(html: Column | str, references: tuple[str, ...]) -> Column:
+    """As :func:`strip_tags`, with :func:`unescape_only`."""
+    return F.trim(F.regexp_replace(unescape_only(F.regexp_replace(col(html), "<[^>]+>", " "), references), "(?U)\\s+", " "))
+
+
 #: Prefixes behind which a run of token characters is a secret.
 SECRET_PREFIXES = ("sk_live_", "sk_test_", "sk-")
 REDACTED = "***REDACTED***"

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, strip_tags, unescape
+from .text import col, strip_tags, strip_tags_only, unescape
 
 # The pages' names. Of a field's (tag, class) rules the first that finds text counts; a class with * is a prefix.
 RULES = {
@@ -48,18 +48,18 @@ def inner(html: Column | str, tag: str, css: str = "") -> Column:
     return F.regexp_extract_all(col(html), F.lit(element(tag, css)), F.lit(1))
 
 
-def texts(html: Column | str, tag: str, css: str = "") -> Column:
+def texts(html: Column | str, tag: str, css: str = "", references: tuple[str, ...] | None = None) -> Column:
     """The texts of every such element, without empty ones."""
-    return F.filter(F.transform(inner(html, tag, css), strip_tags), lambda x: x != "")
+    return F.filter(F.transform(inner(html, tag, css), strip_tags if references is None else lambda x: strip_tags_only(x, references)), lambda x: x != "")
 
 
-def field(html: Column | str, name: str) -> Column:
+def field(html: Column | str, name: str, references: tuple[str, ...] | None = None) -> Column:
     """The first text that a field's rules find; null for none."""
-    return F.coalesce(*[F.try_element_at(texts(html, tag, css), F.lit(1)) for tag, css in RULES[name]])
+    return F.coalesce(*[F.try_element_at(texts(html, tag, css, references), F.lit(1)) for tag, css in RULES[name]])
 
 
-def title(html: Column | str) -> Column:
-    return field(html, "title")
+def title(html: Column | str, references: tuple[str, ...] | None = None) -> Column:
+    return field(html, "title", references)
 
 
 def vendor(html: Column | str) -> Column:
