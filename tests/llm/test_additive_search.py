@@ -129,3 +129,18 @@ def test_odd_rows(spark, monkeypatch, block):
 
 def test_empty(spark):
     assert ads.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_what_leaves_tasks_is_in_proportion_to_what_is_asked_for(spark, monkeypatch):
+    rng, real, counts = np.random.default_rng(6), ads.stage, []
+
+    def counted(df, name):
+        got = real(df, name)
+        if {"query_id", "vec_id"} <= set(got.columns):
+            counts.append(got.count())
+        return got
+
+    monkeypatch.setattr(ads, "stage", counted)
+    rows = spark.createDataFrame([(i, rng.normal(size=8).tolist(), 0, "", "") for i in range(3000)], SCHEMA)
+    assert ads.nearest(rows, every=100, k=5).count() == 150
+    assert counts and max(counts) <= 30 * 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,11 +5,12 @@ learnt by k-means on the residuals that the ones before leave, over a bounded sa
 partial sums. With the stored squared norm of the sum, a query's distance to it takes one table of inner products with all
 codewords and a lookup a codebook.
 
-The index is a table of slabs: ids, codes and norms of many rows as binary values. Blocks of queries are a table as well, and
-one pass scores every slab for every block. A task keeps one shortlist a query over all its slabs and passes it on at its end, the
-best of all tasks are one shortlist a query, and only that is compared exactly with the original vectors, wherever its rows lay.
-A shortlist grows with the square root of the table, since so do the rows that a code of fixed size can't tell from the nearest;
-where that is too short for the rows at hand, as an exact pass for some of the queries shows, it is as long as they need.
+The index is a table of slabs: ids, codes, norms and the original vectors of many rows as binary values. Rows are dealt to slabs by
+a hash of their ids, so a slab is the same sample of the table however the rows came. Blocks of queries are a table as well, and one
+pass scores every slab for every block. In each slab a query has a shortlist by codes, which is compared exactly right there, and a
+task passes on the nearest rows that it found for a query, no others. What leaves a task is in proportion to queries and to what
+is asked for, and a shortlist depends on the size of a slab, not of the table. Where it is too short for the rows at hand, as an exact
+pass for some of the queries shows, it is as long as they need.
 
 Vectors are coded less the sample's mean and in units of its spread. Scores are summed in double precision, so that rows that
 differ little from one another aren't lost in the size of what they share.
@@ -35,13 +36,13 @@ BOOKS, WORDS, BEAM = 18, 256, 4
 #: Vectors that the codebooks are learnt from, at most: those first in order of a hash of their ids.
 TRAINING = 8_000
 ROUNDS = 5
-#: Rows that are compared exactly with a query: the greatest of SHORTLIST, SHORTLIST_TIMES as many as are asked for, and
-#: SHORTLIST_ROOTS times the square root of the table's rows.
+#: Rows of a slab that are compared exactly with a query: the greatest of SHORTLIST, SHORTLIST_TIMES as many as are asked for, and
+#: SHORTLIST_ROOTS times the square root of the slab's rows.
 SHORTLIST, SHORTLIST_TIMES, SHORTLIST_ROOTS = 128, 4, 1.5
 #: Queries that are also answered exactly, and the share of their nearest rows that the shortlist has to hold.
 MEASURED, WANTED = 128, 0.97
-#: Rows of a slab, queries of a block, and entries of shortlists that a task holds, at most.
-SLAB, QUERY_BLOCK, HELD = 32_768, 2048, 4 << 20
+#: Rows of a slab in the mean, queries of a block, entries of shortlists of the blocks sent at once, and components compared at once.
+SLAB, QUERY_BLOCK, HELD, COMPARED = 4096, 2048, 4 << 20, 1 << 18
 SEED = 11
 
 
@@ -116,8 +117,8 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """(vec_id, embedding) rows that take part, and their dimensions: the most frequent length, the smaller of equals.
+def usable(vectors: DataFrame) -> tuple[DataFrame, int, int]:
+    """(vec_id, embedding) rows that take part, their dimensions (the most frequent length, the smaller of equals), and their number.
 
     Rows with a null id, and vectors that are null, zero, of another length, or hold a null or non-finite component, don't.
     """
@@ -126,8 +127,8 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     )
     kept = vectors.select("vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(F.coalesce(fine, F.lit(False)))
     sizes = kept.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    dims = sizes[0].n if sizes else 0
-    return kept.where(F.size("embedding") == dims), dims
+    dims, count = (sizes[0].n, sizes[0]["count"]) if sizes else (0, 0)
+    return kept.where(F.size("embedding") == dims), dims, count
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -162,37 +163,57 @@ class Quantiser:
         return codes, (sums * sums).sum(1), ((vectors - sums) ** 2).sum(1)
 
 
-def build_index(vectors: DataFrame, dims: int) -> tuple[DataFrame | None, Quantiser | None]:
-    """(ids, codes, norms, errors) slabs of all rows, written to the shared folder, and the codebooks; None twice for an empty table."""
+def slab_number(slabs: int) -> Column:
+    """The slab that a row is dealt to."""
+    return F.pmod(F.xxhash64("vec_id"), F.lit(slabs)).cast("int")
+
+
+SLABS = "slab int, ids binary, codes binary, norms binary, errors binary, vectors binary"
+
+
+def build_index(vectors: DataFrame, dims: int, number: int) -> tuple[DataFrame | None, Quantiser | None]:
+    """:data:`SLABS` of all rows, written to the shared folder, and the codebooks; None twice for an empty table.
+
+    A slab holds a ``number``-th of the rows, in order of their ids; one that many rows of a single id make much larger is cut.
+    """
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRAINING).select("embedding").toArrow().column(0).combine_chunks()
     if not len(sample):
         return None, None
-    quantiser = Quantiser.of(matrix(sample, dims))
+    quantiser, most = Quantiser.of(matrix(sample, dims)), 4 * SLAB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, of = [], 0, None
 
         def slab() -> pa.RecordBatch:
             packed = [b"".join(column) for column in zip(*held, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in packed], names=["ids", "codes", "norms", "errors"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([of], pa.int32()), *(pa.array([c], pa.binary()) for c in packed)], names=["slab", "ids", "codes", "norms", "errors", "vectors"]
+            )
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                codes, norms, errors = quantiser.coded(matrix(batch.column(1), dims))
-                held.append((batch.column(0).to_numpy().astype("<i8").tobytes(), codes.tobytes(), norms.astype("<f8").tobytes(), errors.astype("<f8").tobytes()))
-                size += batch.num_rows
-                if size >= SLAB:
-                    yield slab()
-                    held, size = [], 0
+            numbers = whole.column(0).to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                for at in range(start, end, 2048):
+                    if size and (numbers[start] != of or size >= most):
+                        yield slab()
+                        held, size = [], 0
+                    of, batch = int(numbers[start]), whole.slice(at, min(2048, end - at))
+                    rows = matrix(batch.column(2), dims)
+                    codes, norms, errors = quantiser.coded(rows)
+                    ids = batch.column(1).to_numpy().astype("<i8")
+                    held.append((ids.tobytes(), codes.tobytes(), norms.astype("<f8").tobytes(), errors.astype("<f8").tobytes(), rows.astype("<f8").tobytes()))
+                    size += batch.num_rows
         if size:
             yield slab()
 
-    return stage(vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary, errors binary"), "additive-index"), quantiser
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = vectors.select(slab_number(number).alias("slab"), "vec_id", "embedding").repartition(parts, "slab").sortWithinPartitions("slab", "vec_id")
+    return stage(dealt.mapInArrow(run, SLABS), "additive-index"), quantiser
 
 
-def true_nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int) -> tuple[list, dict[int, np.ndarray]]:
-    """The measured queries' vectors, after (query_id, vec_id, near, embedding) of the k nearest rows of each of at most MEASURED queries, by an exact pass over all rows."""
+def true_nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int, number: int) -> tuple[list, dict[int, np.ndarray]]:
+    """The measured queries' vectors, after (query_id, vec_id, near, embedding, slab) of the k nearest rows of each of at most MEASURED queries, by an exact pass over all rows."""
     asked = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MEASURED).collect()
     names, points = np.array([r.vec_id for r in asked], np.int64), np.array([r.embedding for r in asked], float).reshape(-1, dims)
 
@@ -215,42 +236,46 @@ def true_nearest(vectors: DataFrame, queries: DataFrame, dims: int, k: int) -> t
     once = met.groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
     nearest = stage(once.withColumn("place", place).where(F.col("place") <= k).drop("place"), "true-nearest")
     rows = vectors.join(F.broadcast(nearest.select("vec_id").distinct()), "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    return nearest.join(rows, "vec_id").collect(), dict(zip(names.tolist(), points, strict=True))  # MEASURED * k rows at most
+    return nearest.join(rows, "vec_id").withColumn("slab", slab_number(number)).collect(), dict(zip(names.tolist(), points, strict=True))  # MEASURED * k rows at most
 
 
-def needed(vectors: DataFrame, slabs: DataFrame, quantiser: Quantiser, queries: DataFrame, dims: int, k: int) -> tuple[int, float]:
-    """(rows, weight): how long a shortlist holds the share WANTED of the nearest rows of the measured queries, and whether a row's score
+def needed(vectors: DataFrame, slabs: DataFrame, quantiser: Quantiser, queries: DataFrame, dims: int, k: int, number: int) -> tuple[int, float]:
+    """(rows, weight): how long a slab's shortlists hold the share WANTED of the nearest rows of the measured queries, and whether a row's score
     is its code's (0.0) or that and the code's squared error (1.0), whichever needs the shorter one.
 
     The error counts where rows are coded unequally well (no structure, many dimensions), and misleads where they lie in clusters.
     """
-    found, points = true_nearest(vectors, queries, dims, k)
+    found, points = true_nearest(vectors, queries, dims, k, number)
     if not found:
         return 0, 0.0
     codes, norms, errors = quantiser.coded(np.array([r.embedding for r in found], float))
     ids, owners = np.array([r.vec_id for r in found], np.int64), np.array([r.query_id for r in found], np.int64)
-    names = np.unique(owners)
-    asked = quantiser.scaled(np.stack([points[n] for n in names.tolist()]))
-    of_query = [np.flatnonzero(owners == n) for n in names]
+    scaled = {n: quantiser.scaled(v) for n, v in points.items()}
+    of_slab = {n: np.flatnonzero([r.slab == n for r in found]) for n in {r.slab for r in found}}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ahead = np.zeros((2, len(ids)), np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
-                all_ids, all_codes, all_norms, all_errors = (c[row].as_buffer() for c in batch.columns)
+                here = of_slab.get(batch.column(0)[row].as_py(), np.zeros(0, int))  # nearest rows that lie in this slab
+                if not len(here):
+                    continue
+                all_ids, all_codes, all_norms, all_errors = (c[row].as_buffer() for c in batch.columns[1:5])
                 all_ids, all_norms, all_errors = np.frombuffer(all_ids, "<i8"), np.frombuffer(all_norms, "<f8"), np.frombuffer(all_errors, "<f8")
                 all_codes = np.frombuffer(all_codes, np.uint8).reshape(len(all_ids), -1)
-                for at in range(0, len(all_ids), 4096):
-                    cut = slice(at, at + 4096)
-                    plain = lookup_scores(asked, quantiser.books, np.concatenate([all_codes[cut], codes]), np.concatenate([all_norms[cut], norms]))
-                    n = len(all_ids[cut])
+                ahead = np.zeros((2, len(here)), np.int64)
+                for name in np.unique(owners[here]).tolist():
+                    mine = np.flatnonzero(owners[here] == name)
+                    rows = here[mine]
+                    plain = lookup_scores(scaled[name][None], quantiser.books, np.concatenate([all_codes, codes[rows]]), np.concatenate([all_norms, norms[rows]]))[0]
+                    n = len(all_ids)
                     for weight in (0, 1):
-                        scores = plain + weight * np.concatenate([all_errors[cut], errors])
-                        for q, mine in enumerate(of_query):
-                            other, own = scores[q, :n], scores[q, n + mine][:, None]
-                            before = (other < own) | ((other == own) & (all_ids[cut] < ids[mine][:, None]))
-                            ahead[weight, mine] += (before & (all_ids[cut] != names[q])).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], len(ids))), pa.array(np.tile(np.arange(len(ids)), 2)), pa.array(ahead.ravel())], names=["weight", "row", "n"])
+                        scores = plain + weight * np.concatenate([all_errors, errors[rows]])
+                        other, own = scores[:n], scores[n:][:, None]
+                        before = (other < own) | ((other == own) & (all_ids < ids[rows][:, None]))
+                        ahead[weight, mine] = (before & (all_ids != name)).sum(1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([0, 1], len(here))), pa.array(np.tile(here, 2)), pa.array(ahead.ravel())], names=["weight", "row", "n"]
+                )
 
     counts = slabs.mapInArrow(run, "weight long, row long, n long").groupBy("weight", "row").agg(F.sum("n").alias("n")).collect()  # twice MEASURED * k
     places = {w: np.sort([r.n for r in counts if r.weight == w]) for w in (0, 1)}
@@ -271,13 +296,13 @@ def query_blocks(queries: DataFrame, size: int) -> DataFrame:
     return stage(numbered.groupBy("block").applyInPandas(pack, "block long, query_ids binary, queries binary"), "query-blocks")
 
 
-def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query_id, vec_id, score) arrays: of each query the ``short`` rows of a slab with the smallest lookup scores, itself
-    excluded; equal scores by the smaller id, rows of one id as one."""
+def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, row) places, for some queries at a time: of each query the ``short`` rows of a slab with the smallest lookup scores, itself excluded; equal scores
+    by the smaller id. Rows of one id count as one, by the smallest of their scores, and are all given."""
     order = np.argsort(ids, kind="stable")
     ids, codes, norms = ids[order], codes[order], norms[order]
     starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    names = ids[starts]
+    names, sizes = ids[starts], np.diff(starts, append=len(ids))
     for at in range(0, len(query_ids), 64):
         scores = lookup_scores(queries[at : at + 64], codebooks, codes, norms)
         if len(names) < len(ids):
@@ -288,13 +313,24 @@ def shortlists(query_ids, queries, codebooks, ids, codes, norms, short) -> Itera
                 scores[q, place] = np.inf
         if short < len(names):
             limit = np.partition(scores, short - 1, axis=1)[:, short - 1]
+        found = []
         for q in range(len(scores)):
             chosen = np.arange(len(names))
             if short < len(names):
                 below, ties = np.flatnonzero(scores[q] < limit[q]), np.flatnonzero(scores[q] == limit[q])
                 chosen = np.concatenate([below, ties[: short - len(below)]])
             chosen = chosen[np.isfinite(scores[q, chosen])]
-            yield np.full(len(chosen), query_ids[at + q]), names[chosen], scores[q, chosen]
+            of = sizes[chosen]
+            rows = order[np.repeat(starts[chosen], of) + np.arange(of.sum()) - np.repeat(np.cumsum(of) - of, of)]
+            found.append((np.full(len(rows), at + q), rows))
+        yield tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def compared(points: np.ndarray, vectors: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The distances of pairs, by their places, as :func:`distances` gives them."""
+    step = max(1, COMPARED // max(points.shape[1], 1))
+    cuts = [slice(at, at + step) for at in range(0, len(row), step)]
+    return np.concatenate([distances(points[query[c]], vectors[row[c]]) for c in cuts]) if cuts else np.zeros(0)
 
 
 def best_of(held: tuple[np.ndarray, ...] | None, found: tuple[np.ndarray, ...], short: int) -> tuple[np.ndarray, ...]:
@@ -318,10 +354,10 @@ def best_of(held: tuple[np.ndarray, ...] | None, found: tuple[np.ndarray, ...],
     return query[kept], row[kept], near[kept]
 
 
-def candidates(slabs: DataFrame, blocks: DataFrame, quantiser: Quantiser, short: int, together: int, weight: float = 0.0) -> DataFrame:
-    """(query_id, vec_id): of each query the ``short`` rows with the smallest lookup scores, equal ones by the smaller id.
+def candidates(slabs: DataFrame, blocks: DataFrame, quantiser: Quantiser, short: int, together: int, k: int, weight: float = 0.0) -> DataFrame:
+    """(query_id, vec_id, score): of each query the k nearest rows among the ``short`` of each slab with the smallest lookup scores.
 
-    ``together`` blocks are sent to all slabs at once; a task holds a shortlist for each of their queries and passes on no others.
+    ``together`` blocks are sent to all slabs at once; a task holds k rows for each of their queries and passes on no others.
     """
     books, dims = quantiser.books.shape[0], quantiser.books.shape[2]
 
@@ -329,33 +365,27 @@ def candidates(slabs: DataFrame, blocks: DataFrame, quantiser: Quantiser, short:
         best: dict[int, tuple[np.ndarray, ...]] = {}
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, codes, norms, errors, block, query_ids, queries = batch.columns
-                ids, codes, norms, errors, query_ids, queries = (c[row].as_buffer() for c in (ids, codes, norms, errors, query_ids, queries))
-                found = shortlists(
-                    np.frombuffer(query_ids, "<i8"), quantiser.scaled(np.frombuffer(queries, "<f8").reshape(-1, dims)), quantiser.books,
-                    np.frombuffer(ids, "<i8"), np.frombuffer(codes, np.uint8).reshape(-1, books), np.frombuffer(norms, "<f8") + weight * np.frombuffer(errors, "<f8"), short,
-                )
-                number = block[row].as_py()
-                best[number] = best_of(best.get(number), tuple(np.concatenate(c) for c in zip(*found, strict=True)), short)
+                _, ids, codes, norms, errors, vectors, block, names, points = (c[row] for c in batch.columns)
+                ids, norms, errors, vectors, names, points = (
+                    np.frombuffer(c.as_buffer(), t) for c, t in ((ids, "<i8"), (norms, "<f8"), (errors, "<f8"), (vectors, "<f8"), (names, "<i8"), (points, "<f8"))
+                )
+                codes, vectors, points = np.frombuffer(codes.as_buffer(), np.uint8).reshape(-1, books), vectors.reshape(-1, dims), points.reshape(-1, dims)
+                found = []
+                for query, at in shortlists(names, quantiser.scaled(points), quantiser.books, ids, codes, norms + weight * errors, short):
+                    found.append(best_of(None, (names[query], ids[at], compared(points, vectors, query, at)), k))
+                number = block.as_py()
+                best[number] = best_of(best.get(number), tuple(np.concatenate(c) for c in zip(*found, strict=True)), k)
         for number in sorted(best):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.pop(number)], names=["query_id", "vec_id", "near"])
 
-    # A stated query set, in blocks, against all rows. The blocks sent at once hold HELD / short queries at most.
+    # A stated query set, in blocks, against all rows.
     dealt = slabs.repartition(int(slabs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     waves = -(-blocks.count() // together)
-    scored = [
+    met = [
         dealt.crossJoin(F.broadcast(blocks.where(F.expr(f"block DIV {together} = {wave}")))).mapInArrow(run, "query_id long, vec_id long, near double")
         for wave in range(max(1, waves))
     ]
-    one = reduce(DataFrame.unionAll, scored).groupBy("query_id", "vec_id").agg(F.min("near").alias("near"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "vec_id"))
-    return one.withColumn("place", place).where(F.col("place") <= short).select("query_id", "vec_id")
-
-
-def euclidean(a: Column, b: Column) -> Column:
-    """The distance of two arrays in double precision, summed in the order of the dimensions."""
-    gaps = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x))
+    return reduce(DataFrame.unionAll, met).groupBy("query_id", "vec_id").agg(F.min("near").alias("score"))
 
 
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
@@ -365,24 +395,21 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     :func:`usable` says which rows take part. Rows with one id count as one: the query is their first vector in order of
     components, a candidate their nearest. An empty table gives no rows; other columns aren't read.
     """
-    vectors, dims = usable(vectors)
-    slabs, quantiser = build_index(vectors, dims)
+    vectors, dims, rows = usable(vectors)
+    number = max(1, -(-rows // SLAB))
+    slabs, quantiser = build_index(vectors, dims, number)
     if quantiser is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    rows = slabs.agg(F.sum(F.octet_length("ids") / 8).cast("long")).first()[0]
-    short = max(SHORTLIST, SHORTLIST_TIMES * k, math.ceil(SHORTLIST_ROOTS * math.sqrt(rows)))
+    short = max(SHORTLIST, SHORTLIST_TIMES * k, math.ceil(SHORTLIST_ROOTS * math.sqrt(min(rows, SLAB))))
     weight = 0.0
     if rows > short + 1:
-        long, weight = needed(vectors, slabs, quantiser, queries, dims, k)
+        long, weight = needed(vectors, slabs, quantiser, queries, dims, k, number)
         short = max(short, long)
     size = max(1, min(QUERY_BLOCK, HELD // short))
-    found = stage(candidates(slabs, query_blocks(queries, size), quantiser, short, max(1, HELD // (size * short)), weight), "shortlists")
-    with_rows = found.join(vectors, "vec_id").withColumnRenamed("embedding", "__row")
-    with_both = with_rows.join(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__query")), "query_id")
-    one = with_both.groupBy("query_id", "vec_id").agg(F.min(euclidean(F.col("__row"), F.col("__query"))).alias("score"))
+    found = stage(candidates(slabs, query_blocks(queries, size), quantiser, short, max(1, HELD // (size * short)), k, weight), "nearest-found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return one.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def exact_sql(every: int = 100, k: int = 10) -> str:
