@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import search, toplists
+from tidemark.sources import postings
 
 
 def test_values_round_as_columns_do(spark):
@@ -39,3 +40,21 @@ def test_equal_sets_of_terms_are_scored_once(spark):
     assert toplists.term_sets(queries).select("terms").distinct().count() == 1
     found = search.lexical_lists(rows, queries, 5)
     assert found.count() == 7_500 and found.select("id", "rank", "bm25").distinct().count() == 5
+
+
+def test_texts_that_lie_in_one_partition_are_cut_by_all_tasks(spark, monkeypatch, tmp_path):
+    seen, real, staged = [], toplists.count_terms, postings.stage
+    chunks = spark.createDataFrame([(i, f"a{i % 7} b{i % 11} c") for i in range(600)], "id long, content string").coalesce(1)
+    queries = spark.createDataFrame([(i, [f"a{i % 7}", "c"]) for i in range(20)], "qid long, terms array<string>")
+
+    def watched(rows):
+        seen.append(rows.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+        return rows
+
+    monkeypatch.setattr(toplists, "count_terms", lambda rows, terms: real(watched(rows), terms))
+    monkeypatch.setattr(postings, "stage", lambda df, name: staged(watched(df) if name == "terms" else df, name))
+    want = sorted(map(str, search.lexical_lists(chunks, queries, 5).select("qid", "id", "rank", "bm25").collect()))
+    postings.write_segment(chunks, f"{tmp_path}/index")
+    got = postings.Postings(spark, [f"{tmp_path}/index"]).topk(queries, 5)
+    assert sorted(map(str, got.select("qid", "id", "rank", "bm25").collect())) == want and len(want) == 100
+    assert len(seen) == 2 and all(len(parts) == toplists.tasks(spark) and max(p["count"] for p in parts) <= 600 / len(parts) + 1 for parts in seen)

@@ -148,7 +148,7 @@ def postings(chunks: DataFrame) -> DataFrame:
 
 def lexical_lists(chunks: DataFrame, queries: DataFrame, n: int = DEPTH) -> DataFrame:
     """qid, id, rank, bm25: of the chunks that hold all of a query's terms, the n with the highest BM25, for any number of queries."""
-    listed = chunks.select("id", tokens("content").alias("terms"))
+    listed = toplists.spread(chunks.select("id", "content")).select("id", tokens("content").alias("terms"))
     return toplists.lexical(lambda terms: toplists.count_terms(listed, terms), None, queries, n, K1, B)
 
 

@@ -129,6 +129,12 @@ def tasks(spark) -> int:
     return TASKS * spark.sparkContext.defaultParallelism
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt evenly to all tasks. Chunks that were filtered by a broadcast join lie in the few files that hold their ids, and a
+    few tasks would then do all the work on their texts."""
+    return rows.repartition(tasks(rows.sparkSession))
+
+
 def _waves(queries: DataFrame, n: int, key: str, width: int = 1) -> list[DataFrame]:
     """The staged queries in parts whose lists a task can hold."""
     most = max(1, min(HELD // max(n, 1), SENT // width))

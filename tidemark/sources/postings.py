@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 from ..operators import toplists
 from ..operators.search import B, DEPTH, K1, LexicalQuery, top
-from ..staging import stage
+from ..staging import drop_staged, stage
 
 #: Folders that terms are dealt to, postings of a block, segments and share of dead rows from which the index is written anew.
 BUCKETS, BLOCK, MOST_SEGMENTS, MOST_DEAD = 64, 128, 8, 0.25
@@ -76,10 +76,12 @@ def _cut(rows: pa.Table, size: int, last: bool) -> tuple[pa.RecordBatch, pa.Tabl
 def write_segment(rows: DataFrame, folder: str, terms: Column | None = None) -> None:
     """Index ``rows`` (id, content) below ``folder``: blocks by bucket, and the rows' lengths (null for a null content).
 
-    ``terms`` gives a row's terms in order (all tokens of the content, if it is None). Postings are range-partitioned by
+    ``terms`` gives a row's terms in order (all tokens of the content, if it is None); they are cut once, dealt evenly to all tasks,
+    and staged, as sampling the ranges reads them a second time and the lengths a third. Postings are range-partitioned by
     bucket, term and id, so a term that stands in every row is cut over as many tasks as it needs; a task holds one block.
     """
-    listed = rows.select(F.col("id").cast("long").alias("id"), (tokens("content") if terms is None else terms).alias("terms"))
+    spread = toplists.spread(rows.select(F.col("id").cast("long").alias("id"), "content"))
+    listed = stage(spread.select("id", (tokens("content") if terms is None else terms).alias("terms")), "terms")
 
     size = BLOCK
 
@@ -104,6 +106,7 @@ def write_segment(rows: DataFrame, folder: str, terms: Column | None = None) ->
     ordered = keyed.repartitionByRange(parts, "bucket", "term", "id").sortWithinPartitions("bucket", "term", "id")
     ordered.mapInArrow(blocks, BLOCKS).write.partitionBy("bucket").parquet(f"{folder}/blocks")
     listed.select("id", F.when(F.col("terms").isNotNull(), F.size("terms")).alias("length")).write.parquet(f"{folder}/lengths")
+    drop_staged(listed)
 
 
 def bm25(df: Column, tf: Column, length: Column, n_docs: Column, mean: Column) -> Column:
@@ -157,8 +160,11 @@ class Postings:
         if not len(terms):
             return self.spark.createDataFrame([], "id long, length int, codes array<int>, tfs array<int>")
         coded = self.spark.createDataFrame([(t, i) for i, t in enumerate(terms.to_pylist())], "term string, code int")
-        each = self.blocks(terms.to_pylist()).select("term", F.explode(F.arrays_zip("ids", "lengths", F.transform("positions", F.size).alias("tfs"))).alias("p"))
-        rows = self._living(each.join(F.broadcast(coded), "term").select(F.col("p.ids").alias("id"), F.col("p.lengths").alias("length"), "code", F.col("p.tfs").alias("tf")))
+        # Of many terms neither a list of literals nor a filter of the scan: their blocks are found by the join.
+        numbers = [r.b for r in coded.select(bucket(F.col("term")).alias("b")).distinct().collect()]
+        blocks = self._read("blocks", BLOCKS).where(F.col("bucket").isin(sorted(numbers))).join(F.broadcast(coded), "term")
+        each = blocks.select("code", F.explode(F.arrays_zip("ids", "lengths", F.transform("positions", F.size).alias("tfs"))).alias("p"))
+        rows = self._living(each.select(F.col("p.ids").alias("id"), F.col("p.lengths").alias("length"), "code", F.col("p.tfs").alias("tf")))
         # A row holds no more of them than it has words.
         found = rows.groupBy("id").agg(F.max("length").alias("length"), F.collect_list(F.struct("code", "tf")).alias("held"))
         return found.select("id", "length", F.col("held.code").alias("codes"), F.col("held.tf").alias("tfs"))
