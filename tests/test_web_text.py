@@ -94,3 +94,12 @@ def test_small_functions(spark):
     assert ev(spark, "a" * 10)(lambda c: tx.compact_content(c, F.lit("p"), 8)) == "a" * 8 + "\n[... 2 chars omitted: p]"
     assert ev(spark, "x")(lambda c: tx.needle_context("N", 20, 0.5, "0123456789")) == "0123456789\nN\n0123456789"
     assert ev(spark, "a|b\n c")(tx.markdown_cell) == "a\\|b c" and ev(spark, "q")(lambda c: tx.apply_prefix(c, "retrieval", "query")) == "task: code retrieval | query: q"
+
+
+def test_a_section_is_looked_for_once(spark):
+    html = spark.createDataFrame([("<h2>Technical specifications</h2><table><tr><td>a</td><td>1</td></tr><tr><td>a</td><td>2</td></tr></table>",)], "html string")
+    found = html.select(web.specs("html").alias("specs"))
+    assert found.first().specs == {"a": "2"}
+    for column in (web.specs, web.use_cases, web.overview):
+        plan = html.select(column("html").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(?i)(?=<h[23]") == 1

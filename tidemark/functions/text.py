@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import cache, reduce
 from html import unescape as html_unescape
 
@@ -17,6 +18,12 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` names it: inside lambdas nothing else keeps it from being
+    computed once a name, and once an element."""
+    return F.transform(F.array(value), then)[0]
+
+
 def tokens(text: Column | str) -> Column:
     """Lower-case runs of letters, digits and underscores, in order."""
     return F.filter(F.split(F.lower(col(text)), "[^\\p{L}\\p{N}_]+"), lambda t: t != "")
@@ -82,17 +89,20 @@ def unescape(text: Column | str) -> Column:
         return F.coalesce(F.try_element_at(points, point.cast("string")), char)
 
     def one(piece: Column) -> Column:
-        name = F.regexp_extract(piece, reference, 1)
+        return let(F.regexp_extract(piece, reference, 1), lambda name: decoded(piece, name))
+
+    def decoded(piece: Column, name: Column) -> Column:
         behind = F.substring(piece, F.length(name) + 2, F.length(piece))
         shorter = F.transform(F.sequence(F.length(name), F.lit(1), F.lit(-1)), lambda n: F.substring(name, F.lit(1), n))
-        old = F.try_element_at(F.filter(shorter, lambda n: F.map_contains_key(old_names, n)), F.lit(1))
-        named = F.coalesce(
-            F.concat(F.try_element_at(whole_names, name), behind), F.concat(F.try_element_at(old_names, old), F.substring(piece, F.length(old) + 2, F.length(piece)))
-        )
+        found = F.try_element_at(F.filter(shorter, lambda n: F.map_contains_key(old_names, n)), F.lit(1))
+        by_old = let(found, lambda old: F.concat(F.try_element_at(old_names, old), F.substring(piece, F.length(old) + 2, F.length(piece))))
+        named = F.coalesce(F.concat(F.try_element_at(whole_names, name), behind), by_old)
         return F.when(name == "", piece).when(name.startswith("#"), F.concat(number(name), behind)).otherwise(F.coalesce(named, piece))
 
-    whole = col(text)
-    return F.when(F.contains(whole, F.lit("&")), F.array_join(F.transform(F.split(whole, "(?=&)"), one), "")).otherwise(whole)
+    def all_of(whole: Column) -> Column:
+        return F.when(F.contains(whole, F.lit("&")), F.array_join(F.transform(F.split(whole, "(?=&)"), one), "")).otherwise(whole)
+
+    return let(col(text), all_of)
 
 
 #: The references that the pages' SQL decodes, in its order.

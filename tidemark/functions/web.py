@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, strip_tags, strip_tags_only, unescape
+from .text import col, let, strip_tags, strip_tags_only, unescape
 
 # The pages' names. Of a field's (tag, class) rules the first that finds text counts; a class with * is a prefix.
 RULES = {
@@ -95,25 +95,27 @@ def section(html: Column | str, name: str) -> Column:
 
 
 def overview(html: Column | str, cap: int = 1200) -> Column:
-    return F.nullif(F.substring(strip_tags(section(html, OVERVIEW)), 1, cap), F.lit(""))
+    return let(F.substring(strip_tags(section(html, OVERVIEW)), 1, cap), lambda text: F.nullif(text, F.lit("")))
 
 
 def use_cases(html: Column | str) -> Column:
     """The items of the section, or where it has none its small headings."""
-    part = section(html, USE_CASES)
-    choices = [texts(part, tag) for tag in ("li", "h4", "h5")]
-    small = F.concat(*choices[1:])
-    return F.coalesce(F.when(F.size(choices[0]) > 0, choices[0]), small, F.array().cast("array<string>"))
+
+    def of(part: Column) -> Column:
+        small = F.concat(texts(part, "h4"), texts(part, "h5"))
+        return let(texts(part, "li"), lambda items: F.coalesce(F.when(F.size(items) > 0, items), small, F.array().cast("array<string>")))
+
+    return let(section(html, USE_CASES), of)
 
 
 def last_of_each(entries: Column) -> Column:
     """Of entries (k, v) with one key, the last."""
-    return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["k"] == e["k"]))
+    return let(entries, lambda all: F.filter(all, lambda e, i: ~F.exists(F.slice(all, i + 2, F.size(all)), lambda other: other["k"] == e["k"])))
 
 
 def specs(html: Column | str) -> Column:
     """map of a page's specification table and cards; of a repeated label the last value."""
-    rows = html_table(F.coalesce(section(html, SPECIFICATIONS), F.lit("")))["rows"]
+    rows = let(F.coalesce(section(html, SPECIFICATIONS), F.lit("")), lambda part: html_table(part)["rows"])
     table = F.transform(F.filter(rows, lambda r: F.size(r) > 1), lambda r: F.struct(r[0].alias("k"), r[1].alias("v")))
     cards = F.transform(
         F.arrays_zip(inner(html, "div", "spec-label").alias("k"), inner(html, "div", "spec-value").alias("v")),
@@ -138,8 +140,8 @@ def prices(html: Column | str) -> Column:
 
         by_cell = F.try_element_at(F.filter(cells, mine), F.lit(-1))["v"]
         by_label = F.try_element_at(F.filter(labelled, lambda e: F.lower(strip_tags(e["k"])) == kind), F.lit(1))["v"]
-        found = F.coalesce(by_cell, F.nullif(strip_tags(by_label), F.lit("")))
-        return F.when(found.startswith("$$"), F.substring(found, 2, 1 << 20)).otherwise(found)
+        said = F.coalesce(by_cell, let(strip_tags(by_label), lambda text: F.nullif(text, F.lit(""))))
+        return let(said, lambda found: F.when(found.startswith("$$"), F.substring(found, 2, 1 << 20)).otherwise(found))
 
     return F.struct(F.coalesce(of("input"), F.try_element_at(specs(html), F.lit(TOKEN_PRICE))).alias("input"), of("output", "input").alias("output"))
 
@@ -174,15 +176,19 @@ def code_kind(code: Column, lang: Column) -> Column:
 def json_ld_product(html: Column | str) -> Column:
     """struct<brand, description, price, currency, availability, price_valid_until> of the last Product in a page's JSON-LD."""
     raw = F.regexp_extract(col(html), '(?s)<script type="application/ld\\+json">(.*?)</script>', 1)
-    graph = F.coalesce(F.get_json_object(raw, "$.@graph"), F.get_json_object(raw, "$['@graph']"), raw)
-    nodes = F.from_json(F.when(F.ltrim(graph).startswith("["), graph).otherwise(F.concat(F.lit("["), graph, F.lit("]"))), "array<string>")
-    product = F.try_element_at(F.filter(nodes, lambda n: F.get_json_object(n, "$['@type']") == "Product"), F.lit(-1))
-    get = lambda p: F.nullif(F.get_json_object(product, p), F.lit(""))
-    brand = F.when(F.ltrim(get("$.brand")).startswith("{"), get("$.brand.name")).otherwise(get("$.brand"))
-    return F.struct(
-        brand.alias("brand"), get("$.description").alias("description"), get("$.offers.price").alias("price"), get("$.offers.priceCurrency").alias("currency"),
-        F.substring_index(get("$.offers.availability"), "/", -1).alias("availability"), get("$.offers.priceValidUntil").alias("price_valid_until"),
-    )
+    graph = let(raw, lambda r: F.coalesce(F.get_json_object(r, "$.@graph"), F.get_json_object(r, "$['@graph']"), r))
+    listed = let(graph, lambda g: F.when(F.ltrim(g).startswith("["), g).otherwise(F.concat(F.lit("["), g, F.lit("]"))))
+    product = F.try_element_at(F.filter(F.from_json(listed, "array<string>"), lambda n: F.get_json_object(n, "$['@type']") == "Product"), F.lit(-1))
+
+    def fields(product: Column) -> Column:
+        get = lambda p: let(F.get_json_object(product, p), lambda text: F.nullif(text, F.lit("")))
+        brand = let(get("$.brand"), lambda text: F.when(F.ltrim(text).startswith("{"), get("$.brand.name")).otherwise(text))
+        return F.struct(
+            brand.alias("brand"), get("$.description").alias("description"), get("$.offers.price").alias("price"), get("$.offers.priceCurrency").alias("currency"),
+            F.substring_index(get("$.offers.availability"), "/", -1).alias("availability"), get("$.offers.priceValidUntil").alias("price_valid_until"),
+        )
+
+    return let(product, fields)
 
 
 def available_list(text: Column | str) -> Column:
