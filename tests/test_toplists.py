@@ -58,3 +58,14 @@ def test_texts_that_lie_in_one_partition_are_cut_by_all_tasks(spark, monkeypatch
     got = postings.Postings(spark, [f"{tmp_path}/index"]).topk(queries, 5)
     assert sorted(map(str, got.select("qid", "id", "rank", "bm25").collect())) == want and len(want) == 100
     assert len(seen) == 2 and all(len(parts) == toplists.tasks(spark) and max(p["count"] for p in parts) <= 600 / len(parts) + 1 for parts in seen)
+
+
+def test_asked_terms_are_cut_once(spark, monkeypatch):
+    """A filter on terms that are still to be cut is pushed down, and cuts them once for each of its conditions."""
+    plans, staged = [], toplists.stage
+    monkeypatch.setattr(toplists, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or staged(df, name))
+    chunks = spark.createDataFrame([(i, "A b C" if i % 2 else "b C") for i in range(40)], "id long, content string")
+    queries = chunks.where("id % 10 = 0").join(spark.range(40), "id").select(F.col("id").alias("qid"), F.split(F.upper("content"), " ").alias("terms"))
+    assert search.lexical_lists(chunks.select("id", F.upper("content").alias("content")), queries, 3).count() == 0
+    assert search.lexical_lists(chunks, queries.withColumn("terms", F.transform("terms", F.lower)), 3).count() == 12
+    assert all(plan.count("split(upper(content") <= 1 for plan in plans) and sum("split(upper(content" in plan for plan in plans) == 2

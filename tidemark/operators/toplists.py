@@ -210,7 +210,8 @@ def lexical(counted: Callable[[pa.Array], DataFrame], corpus: Callable[[], tuple
     ``counted`` gives id, length, codes, tfs of all rows: which of the asked terms (by their places) a row holds, and how often; a null
     length is that of a null content. ``corpus`` gives the number of rows and their mean length; None takes them from ``counted``.
     """
-    asked = stage(term_sets(queries), "asked-sets")
+    # Written before they are filtered: a filter on terms that are still to be cut would cut those of every row it is pushed down to.
+    asked = stage(term_sets(stage(queries.select("qid", "terms"), "asked-terms")), "asked-sets")
     sets = stage(asked.groupBy("terms").agg(F.min("qid").alias("qid")), "term-sets")  # one of the queries names the set
     kind = sets.schema["qid"].dataType.simpleString()
 
