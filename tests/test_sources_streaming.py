@@ -158,3 +158,38 @@ def test_sections(spark):
     assert [r.heading for r in carried.collect()] == [None, "# a", "# a", "# b", None, None]
     assert [r.fenced for r in sections.inside_fence(rows, "doc", "line", mark).orderBy("doc", "line").collect()] == [False, True, True, False, False, False]
     assert sorted(map(tuple, sections.slices(rows, "doc", "line", mark).collect())) == [(1, 2, 4), (1, 4, 5)]
+
+
+def test_a_sync_hashes_each_text_twice_at_most(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def hashed(text):
+        read.add(1)
+        return str(len(text)) + text[:9]
+
+    for head, n in (("h1", 40), ("h2", 50)):  # the second time ten files are new
+        before = read.value
+        files = live(spark, {f"{i}.md": f"{i} text of a file" for i in range(n)}).withColumn("blob_sha", hashed("content"))
+        assert generations.Store(spark, f"file://{tmp_path}/s").sync(files, "r", head)["chunks"] == n
+        assert read.value - before <= 2 * n
+
+
+def test_files_are_cut_without_a_shuffle_where_nothing_is_stored(spark, tmp_path, monkeypatch):
+    plans, staged = [], generations.stage
+    seen = lambda df, name: (name == "chunks" and plans.append(df._jdf.queryExecution().executedPlan().toString())) or staged(df, name)
+    monkeypatch.setattr(generations, "stage", seen)
+    files = live(spark, {f"{i}.md": f"# A\n{'one ' * 500}\n# A\n{'one ' * 500}\n# {i}\n" for i in range(12)})
+    many, one = (generations.Store(spark, f"file://{tmp_path}/{s}", generations.Profile("letters", 2)) for s in "ab")
+    many.sync(files.repartition(8).where("path <> ''").withColumn("lang", F.lower("lang")), "r", call=count_letters)
+    one.sync(files.coalesce(1), "r", call=count_letters)
+    assert sum("ENSURE_REQUIREMENTS" in p for p in plans[1::2]) == 0 and "RoundRobin" in plans[-1]
+    rows = lambda store: sorted((r.path, r.ordinal, r.content, r.file_hash, list(r.embedding)) for r in store.rows().collect())
+    assert rows(many) == rows(one) and len(rows(one)) >= 12
+    assert all(ok for store in (many, one) for ok, _ in generations.verify(store))
+
+
+def test_a_path_that_is_there_twice_has_its_rows_once(spark, tmp_path):
+    store = generations.Store(spark, f"file://{tmp_path}/s")
+    files = live(spark, {"a.md": "one", "b.md": "two"})
+    assert store.sync(files.unionByName(files), "r", "h1")["chunks"] == 2 and all(ok for ok, _ in generations.verify(store))

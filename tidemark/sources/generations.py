@@ -30,6 +30,7 @@ from ..operators import maintenance
 from ..operators.chunking import chunk_files
 from ..operators.embedding import embed, only_new
 from ..operators.search import search
+from ..operators.toplists import spread
 from ..staging import stage
 from .postings import Postings, refreshed
 
@@ -221,7 +222,10 @@ class Store:
             old = self.manifest()["published"]
             new = old + 1
             self._write_manifest(in_progress=new)
-            plan = self.plan(corpus)
+            # Both are read several times; a corpus may hash whole texts for them.
+            live = stage(corpus.select("path", "blob_sha"), "live")
+            plan = stage(self.plan(live), "sync-plan")
+            bare_table = not any(self.fs.exists(self._path(self._folder(gen))) for gen in (old, new))
             unchanged = plan.where("action = 'unchanged'").select("path")
             both = self.rows(old).unionByName(self.rows(new))
             copied = maintenance.copy_forward(both, old, new, unchanged)
@@ -229,10 +233,11 @@ class Store:
             if call is not None:
                 bare = maintenance.copy_forward(both, old, new, unchanged).where("embedding IS NULL")
                 self._append(self._embedded(bare.drop("embedding"), old, call), new)
-            todo = maintenance.remaining(plan, corpus, self.rows(new).select("path", "file_hash"))
+            todo = self._all_new(corpus, live) if bare_table else maintenance.remaining(plan, corpus, self.rows(new).select("path", "file_hash"))
+            repeated = not live.where("path IS NOT NULL").groupBy("path").count().where("count > 1").isEmpty()
             for part in batch(todo) if batch else [todo]:
-                self._append(self._embedded(self._chunked(part, repo, new), old, call), new)
-            self._drop_dead(new, corpus)
+                self._append(self._embedded(self._chunked(part, repo, new, repeated), old, call), new)
+            self._drop_dead(new, live)
             gaps = maintenance.parity_gaps(self.rows(old).unionByName(self.rows(new)), old, new, unchanged)
             if not gaps.isEmpty():
                 raise ParityError(f"generation {new} lacks {gaps.count()} unchanged files")
@@ -241,10 +246,17 @@ class Store:
             self.collect_old()
             return counts | {"generation": new, "chunks": self.count(new)}
 
-    def _chunked(self, files: DataFrame, repo: str, gen: int) -> DataFrame:
-        hashes = files.select("path", F.col("blob_sha").alias("file_hash"))
-        rows = chunk_files(files).join(hashes, "path").withColumns({"repo": F.lit(repo), "content_hash": content_hash("content"), "gen": F.lit(gen)})
-        return maintenance.first_rows(rows)
+    def _all_new(self, corpus: DataFrame, live: DataFrame) -> DataFrame:
+        """What is to be done where nothing is stored: all files, without a join. They are dealt out where fewer tasks than cores read them
+        (``live`` has a file of each)."""
+        files = corpus.where("path IS NOT NULL").withColumn("action", F.lit("new"))
+        return files if len(live.inputFiles()) >= self.spark.sparkContext.defaultParallelism else spread(files)
+
+    def _chunked(self, files: DataFrame, repo: str, gen: int, repeated: bool) -> DataFrame:
+        """The chunks of ``files``. A file is cut by one task, which leaves out its equal contents; only a corpus with ``repeated`` paths is shuffled for that."""
+        rows = chunk_files(files.withColumnRenamed("blob_sha", "file_hash"), "file_hash", once=True)
+        rows = rows.withColumns({"repo": F.lit(repo), "content_hash": content_hash("content"), "gen": F.lit(gen)})
+        return maintenance.first_rows(rows) if repeated else rows
 
     def _embedded(self, rows: DataFrame, old: int, call: Callable[[list[str]], list[list[float]]] | None) -> DataFrame:
         """``rows`` with their vectors: those of equal contents in the generation ``old``, else what ``call`` gives; null without it."""
@@ -284,10 +296,9 @@ class Store:
         names = [f.split()[0] for f in ROW_SCHEMA.split(", ")]
         rows.select(*names).write.mode("append").parquet(self._folder(gen))
 
-    def _drop_dead(self, gen: int, corpus: DataFrame) -> None:
-        """Rewrite a generation without rows of contents that aren't live, if there are any."""
+    def _drop_dead(self, gen: int, live: DataFrame) -> None:
+        """Rewrite a generation without rows of contents that aren't live (path, blob_sha), if there are any."""
         rows = self.rows(gen)
-        live = corpus.select("path", "blob_sha")
         kept = maintenance.only_live(rows, live)
         if rows.count() == kept.count():
             return
