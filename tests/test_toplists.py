@@ -69,3 +69,25 @@ def test_asked_terms_are_cut_once(spark, monkeypatch):
     assert search.lexical_lists(chunks.select("id", F.upper("content").alias("content")), queries, 3).count() == 0
     assert search.lexical_lists(chunks, queries.withColumn("terms", F.transform("terms", F.lower)), 3).count() == 12
     assert all(plan.count("split(upper(content") <= 1 for plan in plans) and sum("split(upper(content" in plan for plan in plans) == 2
+
+
+def test_dense_lists_are_bounded_before_tasks_make_them(spark, monkeypatch):
+    """A task passes on its share of a list, not a list of its own."""
+    seen, real = [], toplists.reduce
+    monkeypatch.setattr(toplists, "reduce", lambda join, parts: seen.append(real(join, parts)) or seen[-1])
+    x = np.random.default_rng(5).normal(size=(3_000, 8))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, embedding array<double>")
+    queries = rows.where("id % 100 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    found = search.dense_lists(rows, queries, 20)
+    assert found.count() == 600 and seen[0].count() <= 1.5 * 600
+    few = search.dense_lists(rows.where("id < 15"), queries, 20)  # fewer rows than a list: no bound
+    assert few.count() == 30 * 15
+
+
+def test_bounds_hold_for_rounded_ties(spark):
+    """Rows beyond the nth by less than a unit tie with it: the smaller ids belong to the list, wherever they lie."""
+    rows = spark.createDataFrame([(i, [1.0, 1e-5 * ((i * 7) % 300)]) for i in range(300)], "id long, embedding array<double>")
+    queries = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1e-3])], "qid long, qvec array<double>")
+    pairs = rows.crossJoin(queries).withColumn("dist", F.round(search.cosine_distance(F.col("embedding"), F.col("qvec")), 6))
+    want = sorted(map(str, search.top(pairs, 10, F.col("dist")).select("qid", "id", "rank", "dist").collect()))
+    assert sorted(map(str, search.dense_lists(rows, queries, 10).collect())) == want

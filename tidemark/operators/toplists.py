@@ -3,7 +3,8 @@
 Rows are streamed, queries are sent to all tasks in waves (HELD entries of lists a task holds, at most). Matrix products find which
 pairs can enter a list; these alone are computed with the operations, and in the order, of the column expressions that
 :mod:`.search` states. Cuts follow rounded values and then ids, as the lists do, so nothing that belongs to a list is lost.
-What is shuffled grows with queries and tasks, not with pairs.
+What is shuffled grows with queries and tasks, not with pairs. Dense lists are bounded first (:func:`_limits`), so a task passes on
+hardly more than its share of a list.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from ..staging import stage
 
 #: Entries of lists that a task holds, bytes of query vectors sent out, tasks a core, rows and queries of a matrix product, entries of a matrix of terms and rows.
 HELD, SENT, TASKS, ROWS, QUERIES, CELLS = 4 << 20, 64 << 20, 3, 2048, 512, 2 << 20
+#: Distances that a task gives for the bounds of lists: so many a query, or so many times its share of a list.
+EACH = 4
 #: Places that values are rounded to, and squared lengths within which products neither overflow nor vanish.
 PLACES, LEAST, MOST = 6, 1e-140, 1e140
 LAST = np.iinfo(np.int64).max
@@ -41,10 +44,10 @@ def rounded(values: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """The ``n`` rows of least key of each query, ties by id."""
+    """The ``n`` rows of least key of each query, ties by id. With ``limits``, rows beyond the query's are left out."""
 
-    def __init__(self, count: int, n: int):
-        self.n, self.limit, self.size = n, np.full(count, LAST), 0
+    def __init__(self, count: int, n: int, limits: np.ndarray | None = None):
+        self.n, self.limit, self.size = n, np.full(count, LAST) if limits is None else limits.copy(), 0
         self.held: list[tuple[np.ndarray, ...]] = []
 
     def add(self, query: np.ndarray, ids: np.ndarray, key: np.ndarray, value: np.ndarray) -> None:
@@ -99,13 +102,29 @@ def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def near_pairs(x: np.ndarray, xx: np.ndarray, q: np.ndarray, qq: np.ndarray, limit: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-    """(row, query, cosine distance): all pairs that can be among the n nearest of a query whose list ends at ``limit`` (in units)."""
+def _products(x: np.ndarray, xx: np.ndarray, q: np.ndarray, qq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cosine distances (query, row) by a matrix product; rows and queries that it holds for. Of other rows the distance is infinite here."""
     plain_x, plain_q = (xx > LEAST) & (xx < MOST), (qq > LEAST) & (qq < MOST)
     ux = np.where(plain_x[:, None], x, 0) / np.sqrt(np.where(plain_x, xx, 1))[:, None]
     uq = np.where(plain_q[:, None], q, 0) / np.sqrt(np.where(plain_q, qq, 1))[:, None]
     away = 1.0 - uq @ ux.T
     away[:, ~plain_x] = np.inf
+    return away, plain_x, plain_q
+
+
+def nearest(x: np.ndarray, xx: np.ndarray, q: np.ndarray, qq: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """The distances of ``held`` (query, place) and of the rows, the least of each query, as many as ``held`` has places."""
+    away, _, plain_q = _products(x, xx, q, qq)
+    away[~plain_q] = np.inf
+    m = held.shape[1]
+    if len(x) > m:
+        away = np.partition(away, m - 1, axis=1)[:, :m]
+    return np.partition(np.concatenate([held, away], axis=1), m - 1, axis=1)[:, :m]
+
+
+def near_pairs(x: np.ndarray, xx: np.ndarray, q: np.ndarray, qq: np.ndarray, limit: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """(row, query, cosine distance): all pairs that can be among the n nearest of a query whose list ends at ``limit`` (in units)."""
+    away, plain_x, plain_q = _products(x, xx, q, qq)
     most = np.where(limit == LAST, np.inf, limit * 10.0**-PLACES)
     open_ = np.flatnonzero(np.isinf(most))
     if len(open_) and n < len(x):
@@ -142,6 +161,37 @@ def _waves(queries: DataFrame, n: int, key: str, width: int = 1) -> list[DataFra
     return [queries] if waves < 2 else [queries.where(F.pmod(F.xxhash64(key), F.lit(waves)) == i) for i in range(waves)]
 
 
+def _limits(rows: DataFrame, groups: list[tuple], count: int, n: int) -> np.ndarray:
+    """Of each query a distance, in units, that no row of its list exceeds: every task gives the distances of the few rows nearest to it
+    (by the matrix product), and the nth of all of them is such a bound. Queries with fewer rows have none."""
+    each = min(n, max(EACH, -(-EACH * n // rows.sparkSession.sparkContext.defaultParallelism)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.full((count, each), np.inf)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                for _, x in _by_length(batch.column(1).slice(start, ROWS)):
+                    with np.errstate(all="ignore"):
+                        xx = _running(x * x)
+                    for places, vectors, sizes, _ in groups:
+                        for of in range(0, len(places) if vectors.shape[1] == x.shape[1] else 0, QUERIES):
+                            some = slice(of, of + QUERIES)
+                            held[places[some]] = nearest(x, xx, vectors[some], sizes[some], held[places[some]])
+        query, place = np.nonzero(held < np.inf)
+        ends = np.searchsorted(query, np.arange(count + 1)).astype(np.int32)
+        for at in range(0, count, 65_536):
+            some = ends[at : at + 65_537]
+            away = pa.ListArray.from_arrays(pa.array(some - some[0]), pa.array(held[query, place][some[0] : some[-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(some) - 1)), away], names=["query", "away"])
+
+    nth = F.get(F.sort_array(F.flatten(F.collect_list("away"))), n - 1)
+    found = rows.mapInArrow(run, "query long, away array<double>").where(F.size("away") > 0).groupBy("query").agg(nth.alias("nth"))
+    bounds = found.where(F.col("nth").isNotNull()).toArrow()  # of a wave's queries at most
+    limits = np.full(count, LAST)
+    limits[bounds.column("query").to_numpy()] = rounded(bounds.column("nth").to_numpy()) + 1
+    return limits
+
+
 def dense(rows: DataFrame, queries: DataFrame, n: int, probed: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """qid, id, rank, dist: of each query (qid, qvec) the n nearest ``rows`` (id, embedding) by cosine distance, ties by id.
 
@@ -152,7 +202,9 @@ def dense(rows: DataFrame, queries: DataFrame, n: int, probed: Callable[[np.ndar
     width = asked.agg(F.max(F.size("qvec"))).first()[0] or 1
     waves = _waves(asked, n, "qid", 8 * width)
     rows = _no_nulls(rows.select(*columns), "embedding")
-    rows = rows.repartition(tasks(spark)) if len(waves) == 1 else stage(rows.repartition(tasks(spark)), "rows")
+    # Cells in few tasks each, those with many rows in several; without cells a wave reads the rows twice.
+    rows = rows.repartitionByRange(tasks(spark), "cell", "id").sortWithinPartitions("cell") if probed else rows.repartition(tasks(spark))
+    rows = rows if probed and len(waves) == 1 else stage(rows, "rows")
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((asked, "qid"), (rows, "id"))}
     arrow = pa.string() if kinds["id"] == "string" else None
 
@@ -163,8 +215,10 @@ def dense(rows: DataFrame, queries: DataFrame, n: int, probed: Callable[[np.ndar
         for at, vectors in _by_length(sent.column(1).chunk(0)) if sent.num_rows else ():
             groups.append((at, vectors, _running(vectors * vectors), probed(vectors) if probed else None))
 
+        limits = np.full(len(names), LAST) if probed else _limits(rows, groups, len(names), n)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lists = Lists(len(names), n)
+            lists = Lists(len(names), n, limits)
             asking: dict[int, list[np.ndarray]] = {}
             for g, (_, _, _, cells) in enumerate(groups if probed else []):
                 order = np.argsort(cells.ravel(), kind="stable")
