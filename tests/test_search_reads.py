@@ -10,8 +10,21 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["dedupe_hits"])
+def test_hits_are_told_apart_by_heads_cut_where_texts_are_read(spark, sf_dir, name):
+    assert "substring(text#" in plan(search_queries.QUERIES[name](spark, sf_dir))
+
+
 def test_recall_of_cells_makes_the_exact_lists_once(spark, sf_dir, monkeypatch):
     seen, dense = [], toplists.dense
     monkeypatch.setattr(toplists, "dense", lambda *given: seen.append(len(given)) or dense(*given))
     assert search_queries.dense_cells_recall(spark, sf_dir).first().reached
     assert seen == [3, 4]  # the exact lists, and those of the probed cells
+
+
+def test_hits_keep_whole_contents_unless_others_are_joined(spark, sf_dir):
+    c, q = search_queries.chunks(spark, sf_dir), search_queries.search_queries(spark, sf_dir)
+    whole = {(r.qid, r.pos): r for r in search.search(c, q).collect()}
+    heads = {(r.qid, r.pos): r for r in search.search(c, q, joined=search_queries.chunks(spark, sf_dir, 9)).collect()}
+    assert whole.keys() == heads.keys() and all(r.content[:9] == heads[k].content and r.id == heads[k].id for k, r in whole.items())
+    assert max(len(r.content) for r in whole.values()) > 9

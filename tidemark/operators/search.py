@@ -21,6 +21,8 @@ DEPTH, FINAL_K, RRF_K = 50, 8, 60
 STEMMED_WEIGHT = 0.0
 QUERY_BLOCK = 1000
 K1, B = 1.2, 0.75
+#: Characters by which hits are told apart.
+HEAD = 200
 COLUMNS = ["id", "repo", "path", "lang", "kind", "symbol", "content"]
 
 
@@ -194,10 +196,12 @@ def final_order(fused: DataFrame, k: int = FINAL_K) -> DataFrame:
 
 def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int = DEPTH, rrf_k: int = RRF_K, gate: float | None = None,
            weights: tuple[float, float] = (1.0, 1.0), stemmed: DataFrame | None = None, stemmed_weight: float = STEMMED_WEIGHT,
-           dense: Callable[[DataFrame, int], DataFrame] | None = None, lexical: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+           dense: Callable[[DataFrame, int], DataFrame] | None = None, lexical: Callable[[DataFrame, int], DataFrame] | None = None,
+           joined: DataFrame | None = None) -> DataFrame:
     """Hybrid search of many queries (qid, qvec, terms). The stemmed list is joined in only where its weight isn't 0.
 
     ``dense`` and ``lexical`` give the lists of (queries, depth) from an index (cells, postings) of the same chunks.
+    ``joined`` are the same chunks as hits should have them, such as with the heads of their contents alone.
     """
     dense = dense or (lambda all, n: dense_lists(chunks, all, n))
     lexical = lexical or (lambda all, n: lexical_lists(chunks, all, n))
@@ -207,7 +211,7 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int =
         lists.append(stemmed)
         used.append(stemmed_weight)
     fused = distance_gate(reciprocal_rank_fusion(lists, used, rrf_k), gate)
-    return final_order(fused.join(chunks.select(*COLUMNS), "id"), k)
+    return final_order(fused.join((chunks if joined is None else joined).select(*COLUMNS), "id"), k)
 
 
 def provenance() -> Column:
@@ -224,8 +228,8 @@ def source_label() -> Column:
 
 
 def dedupe_hits(hits: DataFrame, order: str = "pos") -> DataFrame:
-    """Of hits that agree in path, symbol, kind and the first 200 characters, the first."""
-    key = ["qid", "path", F.coalesce("symbol", F.lit("")), "kind", F.substring("content", 1, 200)]
+    """Of hits that agree in path, symbol, kind and the first 200 characters (HEAD), the first."""
+    key = ["qid", "path", F.coalesce("symbol", F.lit("")), "kind", F.substring("content", 1, HEAD)]
     return hits.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(order))).where("__n = 1").drop("__n")
 
 

@@ -12,10 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def chunks(spark, sf_dir) -> DataFrame:
-    """Chunks: documents with the embedding of the same number."""
+def chunks(spark, sf_dir, head: int | None = None) -> DataFrame:
+    """Chunks: documents with the embedding of the same number; with ``head``, only so many first characters, cut where they are read."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label")
-    return table(spark, sf_dir, "documents").join(vectors, "doc_id").select(
+    texts = table(spark, sf_dir, "documents")
+    texts = texts if head is None else texts.withColumn("text", F.substring("text", 1, head))
+    return texts.join(vectors, "doc_id").select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("repo"),
         F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
