@@ -10,6 +10,15 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["hit_projection", "provenance_mix", "search_gate", "flagship_hybrid_search"])
+def test_texts_of_questions_are_read_once_for_both_lists(spark, sf_dir, monkeypatch, name):
+    """The lists read the written questions, so neither of them joins documents and vectors again."""
+    plans, staged = {}, toplists.stage
+    monkeypatch.setattr(toplists, "stage", lambda df, name: plans.setdefault(name, plan(df)) and staged(df, name))
+    assert search_queries.QUERIES[name](spark, sf_dir).count() > 0
+    assert not any("Join" in plans[part] for part in ("asked", "asked-terms"))
+
+
 @pytest.mark.parametrize("name", ["dedupe_hits", "search_shown"])
 def test_hits_are_told_apart_by_heads_cut_where_texts_are_read(spark, sf_dir, name):
     assert "substring(text#" in plan(search_queries.QUERIES[name](spark, sf_dir))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..staging import stage
 from . import toplists
 
 DEPTH, FINAL_K, RRF_K = 50, 8, 60
@@ -203,6 +204,7 @@ def search(chunks: DataFrame, queries: DataFrame, k: int = FINAL_K, depth: int =
     ``dense`` and ``lexical`` give the lists of (queries, depth) from an index (cells, postings) of the same chunks.
     ``joined`` are the same chunks as hits should have them, such as with the heads of their contents alone.
     """
+    queries = stage(queries, "queries")  # read once for both lists
     dense = dense or (lambda all, n: dense_lists(chunks, all, n))
     lexical = lexical or (lambda all, n: lexical_lists(chunks, all, n))
     lists = [dense(queries, depth).select("qid", "id", "rank", "dist"), lexical(queries, depth).select("qid", "id", "rank")]
