@@ -31,6 +31,11 @@ def test_recall_of_cells_makes_the_exact_lists_once(spark, sf_dir, monkeypatch):
     assert seen == [3, 4]  # the exact lists, and those of the probed cells
 
 
+@pytest.mark.parametrize("name", ["per_question", "recall_overall", "recall_breakdown", "recall_gate", "recall_misses"])
+def test_questions_are_made_once(spark, sf_dir, name):
+    assert "arg_min" not in (made := plan(evaluation_queries.QUERIES[name](spark, sf_dir))).lower() and "min_by" not in made.lower()
+
+
 def test_hits_keep_whole_contents_unless_others_are_joined(spark, sf_dir):
     c, q = search_queries.chunks(spark, sf_dir), search_queries.search_queries(spark, sf_dir)
     whole = {(r.qid, r.pos): r for r in search.search(c, q).collect()}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation as op
 from ..operators import search
+from ..staging import stage
 from .fixtures import CHUNKS_SQL, COSINE_SQL, chunks, table
 
 GATE = 0.15
@@ -26,14 +27,15 @@ def questions(spark, d):
     )
 
 
-def retrieved(spark, d):
+def retrieved(spark, d, asked):
     c = chunks(spark, d)
-    dense = search.dense_lists(c, questions(spark, d), 10).join(c.select("id", "path", "symbol", "kind"), "id").drop("id")
+    dense = search.dense_lists(c, asked, 10).join(c.select("id", "path", "symbol", "kind"), "id").drop("id")
     return search.distance_gate(dense, GATE).select(F.col("qid").cast("string").alias("id"), F.col("rank").alias("pos"), "path", "symbol", "kind")
 
 
 def per_question(spark, d):
-    per = op.per_question(questions(spark, d), retrieved(spark, d))
+    asked = stage(questions(spark, d), "questions")  # asked, and compared with what is found, twice
+    per = op.per_question(asked.drop("qid", "qvec"), retrieved(spark, d, asked))
     return per.withColumns({c: F.col(c).cast("long") for c in ("rank", "targets", "covered")})
 
 
