@@ -43,3 +43,13 @@ def test_pages_cut_within_a_reference(spark, con, sf_dir, tmp_path, name):
     own.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
     want = own.sql(catalogue.ORACLE_SQL[name])
     assert sorted(repr(tuple(r)) for r in query.select(*want.columns).collect()) == sorted(map(repr, want.fetchall()))
+
+
+def test_a_sync_of_texts_that_are_null_or_blank_or_have_other_line_ends(spark, tmp_path):
+    texts = [None, "", " ", "\n", "\t", "\r", "\x85", "\u2028", "\xa0", "a\rb", "ab\r\n" * 900, "\x1c" * 1700, "y" * 3200, "y" * 1599 + "\r" + "y" * 1599 + " ", "plain"]
+    rows = [(i, texts[i % len(texts)], [None, "en"][i % 2]) for i in range(385)]
+    spark.createDataFrame(rows + rows[:40], "doc_id long, text string, lang string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    query, own = catalogue.QUERIES["store_sync"](spark, str(tmp_path)), duckdb.connect()
+    own.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = own.sql(catalogue.ORACLE_SQL["store_sync"])
+    assert sorted(map(tuple, query.select(*want.columns).collect())) == sorted(want.fetchall())

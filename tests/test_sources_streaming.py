@@ -65,6 +65,25 @@ def test_generations(spark, tmp_path):
     assert store.manifest()["profile"] == "space" and all(ok for ok, _ in generations.verify(store))
 
 
+def test_files_without_chunks_are_known_to_be_stored(spark, tmp_path):
+    store = generations.Store(spark, f"file://{tmp_path}/s")
+    assert store.sync(live(spark, {"a.md": "one", "b.md": "", "c.md": " \n", "d.md": " "}), "r") == {"new": 4, "generation": 1, "chunks": 1}
+    again = store.sync(live(spark, {"a.md": "one", "b.md": "", "c.md": "now", "e.md": ""}), "r")
+    assert again == {"unchanged": 2, "changed": 1, "removed": 1, "new": 1, "generation": 2, "chunks": 2}
+    assert len(list((tmp_path / "s/chunks-files").iterdir())) == 1
+    # A list of another generation (an earlier version published since) doesn't count: the files with chunks do.
+    store._write_manifest(files=store.manifest()["files"] | {"gen": 1})
+    assert sorted(r.path for r in store.files().collect()) == ["a.md", "c.md"]
+
+
+def test_a_path_that_is_named_twice_counts_twice(spark, tmp_path):
+    store, one = generations.Store(spark, f"file://{tmp_path}/s"), live(spark, {"a.md": "one"})
+    assert store.sync(one.unionByName(one).unionByName(live(spark, {"b.md": "two"})), "r") == {"new": 3, "generation": 1, "chunks": 2}
+    assert store.sync(one.unionByName(one), "r") == {"unchanged": 2, "removed": 1, "generation": 2, "chunks": 1}
+    assert store.sync(one, "r") == {"unchanged": 1, "removed": 1, "generation": 3, "chunks": 1}
+    assert store.sync(live(spark, {"b.md": "two"}), "r") == {"new": 1, "removed": 1, "generation": 4, "chunks": 1}
+
+
 def test_a_broken_run_goes_on_and_leaves_nothing_dead(spark, tmp_path):
     store = generations.Store(spark, f"file://{tmp_path}/s")
     store.sync(live(spark, {"a.md": "one"}), "r")

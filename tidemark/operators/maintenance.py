@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 ROW_KEY = ["repo", "path", "content_hash", "gen"]
 
 
-def sync_plan(live: DataFrame, stored: DataFrame) -> DataFrame:
-    """path, action: live (path, blob_sha) against stored (path, file_hash): new, changed, unchanged or removed."""
-    old = stored.select(F.col("path").alias("__path"), "file_hash")
-    both = live.select("path", "blob_sha").join(old, F.col("path") == F.col("__path"), "full_outer")
+def sync_plan(live: DataFrame, stored: DataFrame, repeated: bool = False) -> DataFrame:
+    """path, action: live (path, blob_sha) against stored (path, file_hash): new, changed, unchanged or removed. With ``repeated`` paths
+    may stand there several times: those of a path are paired in the order of their hashes."""
+    new, old = live.select("path", "blob_sha"), stored.select(F.col("path").alias("__path"), "file_hash")
+    same = F.col("path") == F.col("__path")
+    if repeated:
+        new = new.withColumn("__n", F.row_number().over(Window.partitionBy("path").orderBy("blob_sha")))
+        old = old.withColumn("__m", F.row_number().over(Window.partitionBy("__path").orderBy("file_hash")))
+        same &= F.col("__n") == F.col("__m")
+    both = new.join(old, same, "full_outer")
     action = (
         F.when(F.col("path").isNull(), "removed").when(F.col("__path").isNull(), "new")
         .when(F.col("blob_sha") == F.col("file_hash"), "unchanged").otherwise("changed")

@@ -5,7 +5,8 @@ space) has a table and a manifest of its own, named after it, and its rows have
 Hadoop's file system, so the root may lie wherever Spark reads. The manifest is written beside and renamed into place;
 readers see the published generation until then. Nothing that a manifest names is deleted or renamed: a generation that is
 written anew gets another folder (``gen=<n>-<attempt>``), which the manifest then names, and folders that no manifest names are
-collected after the next publication.
+collected after the next publication. A table ``chunks-files`` beside them lists the files of the published generation, so that one
+without chunks is known to be stored.
 
 One writer at a time holds ``<root>/lock``, a lease with an owner and an expiry. Whoever takes it raises the manifest's fencing
 number, and publishes only while that number is its own, so a writer whose lease ran out can't overwrite its successor. An
@@ -179,12 +180,12 @@ class Store:
             if gen < published or not named:
                 self.fs.delete(self._path(f"{self.table}/{name}"), True)
                 old += named
-        kept = {*self.manifest().get("segments", []), self.manifest().get("dead")}
-        at = self._path(f"{self.table}-postings")
-        for status in self.fs.listStatus(at) if self.fs.exists(at) else []:
-            name = status.getPath().getName()
-            if not any(k and k.endswith(f"/{name}") for k in kept):
-                self.fs.delete(status.getPath(), True)
+        kept = {*self.manifest().get("segments", []), self.manifest().get("dead"), self.manifest().get("files", {}).get("at")}
+        for at in (self._path(f"{self.table}-postings"), self._path(f"{self.table}-files")):
+            for status in self.fs.listStatus(at) if self.fs.exists(at) else []:
+                name = status.getPath().getName()
+                if not any(k and k.endswith(f"/{name}") for k in kept):
+                    self.fs.delete(status.getPath(), True)
         return old
 
     # ---- sync ----
@@ -200,8 +201,27 @@ class Store:
             return "the index is of another commit"
         return "the tree has changes that aren't indexed" if dirty or known["dirty"] else None
 
-    def plan(self, corpus: DataFrame) -> DataFrame:
-        return maintenance.sync_plan(corpus, self.rows().select("path", "file_hash").distinct())
+    def _known_files(self) -> dict:
+        """What the manifest says of the list of the published generation's files; nothing where an earlier version wrote that."""
+        known = self.manifest()
+        return listed if (listed := known.get("files", {})).get("gen") == known["published"] else {}
+
+    def files(self) -> DataFrame:
+        """path, file_hash of the files that the published generation was made of; those with chunks where they weren't listed."""
+        known = self._known_files()
+        if not known:
+            return self.rows().select("path", "file_hash").distinct()
+        return self.spark.read.schema("path string, file_hash string").parquet(known["at"])
+
+    def _write_files(self, live: DataFrame, gen: int, repeated: bool) -> dict:
+        """List the files of a generation; what the manifest is to say of that."""
+        at = f"{self.table}-files/{uuid.uuid4().hex}"
+        live.where("path IS NOT NULL").select("path", F.col("blob_sha").alias("file_hash")).write.parquet(at)
+        return {"gen": gen, "at": at, "repeated": repeated}
+
+    def plan(self, corpus: DataFrame, repeated: bool = False) -> DataFrame:
+        """path, action of the files of ``corpus`` and of the store; ``repeated`` says that ``corpus`` may name a path twice."""
+        return maintenance.sync_plan(corpus, self.files(), repeated or self._known_files().get("repeated", False))
 
     def sync(self, corpus: DataFrame, repo: str, head: str | None = None, dirty: bool = False, batch: Callable[[DataFrame], list[DataFrame]] | None = None,
              gate: bool = True, call: Callable[[list[str]], list[list[float]]] | None = None) -> dict:
@@ -224,7 +244,8 @@ class Store:
             self._write_manifest(in_progress=new)
             # Both are read several times; a corpus may hash whole texts for them.
             live = stage(corpus.select("path", "blob_sha"), "live")
-            plan = stage(self.plan(live), "sync-plan")
+            repeated = not live.where("path IS NOT NULL").groupBy("path").count().where("count > 1").isEmpty()
+            plan = stage(self.plan(live, repeated), "sync-plan")
             bare_table = not any(self.fs.exists(self._path(self._folder(gen))) for gen in (old, new))
             unchanged = plan.where("action = 'unchanged'").select("path")
             both = self.rows(old).unionByName(self.rows(new))
@@ -234,7 +255,6 @@ class Store:
                 bare = maintenance.copy_forward(both, old, new, unchanged).where("embedding IS NULL")
                 self._append(self._embedded(bare.drop("embedding"), old, call), new)
             todo = self._all_new(corpus, live) if bare_table else maintenance.remaining(plan, corpus, self.rows(new).select("path", "file_hash"))
-            repeated = not live.where("path IS NOT NULL").groupBy("path").count().where("count > 1").isEmpty()
             for part in batch(todo) if batch else [todo]:
                 self._append(self._embedded(self._chunked(part, repo, new, repeated), old, call), new)
             self._drop_dead(new, live)
@@ -242,7 +262,8 @@ class Store:
             if not gaps.isEmpty():
                 raise ParityError(f"generation {new} lacks {gaps.count()} unchanged files")
             counts = {r.action: r.files for r in maintenance.plan_counts(plan).collect()}
-            self._write_manifest(published=new, in_progress=None, head=head, dirty=dirty, **self._reindexed(new))
+            listed = self._write_files(live, new, repeated)
+            self._write_manifest(published=new, in_progress=None, head=head, dirty=dirty, files=listed, **self._reindexed(new))
             self.collect_old()
             return counts | {"generation": new, "chunks": self.count(new)}
 
